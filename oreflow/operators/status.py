@@ -18,7 +18,9 @@ def merge_status(
     its own. The source is reduced to one row per key before the shuffle, so the result always has
     the target's row count, and the join is left outer, so Spark may split a hot key's target rows.
     """
-    new = F.col("status") if status is None else F.lit(status)
-    outcome = source.groupBy(key).agg(F.max(new).alias("new_status"))
+    if status is not None:
+        outcome = source.select(key).distinct().withColumn("new_status", F.lit(status))
+    else:
+        outcome = source.groupBy(key).agg(F.max("status").alias("new_status"))
     merged = target.join(outcome, key, "left")
     return merged.withColumn("status", F.coalesce("new_status", "status")).select(*target.columns)
