@@ -6,8 +6,6 @@ blank, padded, negative or malformed are spread through it, so every rule and ed
 
 from __future__ import annotations
 
-from functools import partial
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,23 +129,23 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base(spark, sf_dir).select(F.struct(*fields).alias("movie"))
 
 
-def _envelope(batches, array_col: str):
-    """Put one partition's records into one document, batch by batch."""
-    lead = f'{{"{array_col}": [\n'
-    for batch in batches:
-        lines = []
-        for text in batch.column(0).to_pylist():
-            lines.append(lead + text)
-            lead = ",\n"
-        yield pa.RecordBatch.from_pydict({"value": lines})
-    yield pa.RecordBatch.from_pydict({"value": [("" if lead[0] == "," else lead) + "]}"]})
-
-
 def write_documents(df: DataFrame, payload: str, path: str, files: int) -> None:
     """Write the records as that many multi-line JSON files, each holding one array."""
+
+    # nested, so that it travels to the executors by value: they need not have this package
+    def enclose(batches):
+        lead = f'{{"{payload}": [\n'
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append(lead + text)
+                lead = ",\n"
+            yield pa.RecordBatch.from_pydict({"value": lines})
+        yield pa.RecordBatch.from_pydict({"value": ["]}" if lead[0] == "," else lead + "]}"]})
+
     text = F.to_json(payload, {"pretty": "true"}).alias("value")
     spread = df.repartition(files, F.col(f"{payload}.{df.schema[payload].dataType.names[0]}"))
-    spread.select(text).mapInArrow(partial(_envelope, array_col=payload), "value string").write.text(path)
+    spread.select(text).mapInArrow(enclose, "value string").write.text(path)
 
 
 def file_count(spark: SparkSession, sf_dir: str) -> int:
