@@ -129,9 +129,10 @@ def raw_file_provenance(spark, sf_dir):
     listed = raw_files(spark, folder).select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
     read = read.withColumn("path", F.regexp_replace("source_file", "^file:/+", "/"))
     seen = read.join(listed.withColumn("listed", F.lit(1)), "path", "left")
-    return seen.agg(
-        F.sum("n").alias("n_records"), F.count_if(F.col("listed").isNull()).alias("n_unlisted")
-    ).join(rejects.agg(F.count(F.lit(1)).alias("n_rejects")))
+    facts = seen.select("n", F.lit(0).alias("reject"), F.col("listed").isNull().cast("int").alias("unlisted"))
+    facts = facts.union(rejects.select(F.lit(0), F.lit(1), F.lit(0)))
+    totals = {"n": "n_records", "reject": "n_rejects", "unlisted": "n_unlisted"}
+    return facts.agg(*[F.sum(c).alias(name) for c, name in totals.items()])
 
 
 @check(rec("select id, 'orders' datasource, 'new' status, date '2024-05-06' p_ingestdate from rec"))
@@ -267,9 +268,10 @@ def profile_counts(spark, sf_dir):
 )
 def drop_all_null(spark, sf_dir):
     rows = flat(spark, sf_dir).select("budget", "items")
-    kept = rows.dropna("all").agg(F.count(F.lit(1)).alias("n_kept"))
-    total = rows.agg(F.count(F.lit(1)).alias("n"), F.count("budget").alias("n_budget"))
-    return total.join(kept).select("n", "n_budget", (F.col("n") - F.col("n_kept")).alias("n_empty"))
+    facts = rows.select(F.lit(1).alias("n"), F.col("budget").isNotNull().cast("int").alias("b"))
+    facts = facts.withColumn("gone", F.lit(1)).union(rows.dropna("all").select(F.lit(0), F.lit(0), F.lit(-1)))
+    totals = {"n": "n", "b": "n_budget", "gone": "n_empty"}
+    return facts.agg(*[F.sum(c).alias(name) for c, name in totals.items()])
 
 
 @check(rec(f"select {SCALARS_SQL} from rec where budget is not null and runtime is not null"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,30 +38,40 @@ def settle(
 
     The same result as merging the rows at ``from_status``, with ``outcome`` computed from each row's
     payload, back into the table. As a copy's payload gives the same outcome, a row at
-    ``from_status`` needs no join to know it. Only the copies that stand elsewhere and differ from
-    their outcome are looked up by key, and in most batches there are none, so the payload is not
-    shuffled. A null outcome leaves the row as it is, and so does a null record, which has no key.
+    ``from_status`` needs no join to know it, and the payload is not shuffled. Only rows that stand
+    elsewhere and differ from their outcome are looked up by key, on the dates that have any. A null
+    outcome leaves the row as it is, and so does a null record, which has no key.
     """
     rows = spark.table(table).withColumn("outcome", outcome)
-    at_status = F.col("status") == from_status
-    moved = rows.filter((F.col("outcome") != F.col("status")) & F.col(key).isNotNull())
-    own = moved.filter(at_status).select(key, INGEST_DATE, F.lit(False).alias("copy"))
-    keys = spark.table(table).filter(at_status).select(key).distinct()
-    elsewhere = moved.filter(~at_status).select(key, INGEST_DATE).distinct()
-    copies = elsewhere.join(keys, key, "left_semi")
+    at_status, differs = F.col("status") == from_status, F.col("outcome") != F.col("status")
+    own = at_status & F.col(key).isNotNull()
+    elsewhere = rows.filter((F.col("status") != from_status) & differs)
 
-    touched = own.select(INGEST_DATE, "copy").union(copies.select(INGEST_DATE, F.lit(True).alias("copy")))
-    with_copies = {r[0]: r[1] for r in touched.groupBy(INGEST_DATE).agg(F.max("copy")).collect()}
-    if not with_copies:
-        return False
-    dates = sorted(with_copies)
-    rows = rows.filter(F.col(INGEST_DATE).isin(dates))
-    applies = at_status & F.col(key).isNotNull()
-    if any(with_copies.values()):
+    # one narrow pass: as many rows come back as the table has ingest dates, at most twice
+    dates_of = rows.filter(own & differs).select(INGEST_DATE, F.lit(False).alias("elsewhere"))
+    dates_of = dates_of.union(elsewhere.select(INGEST_DATE, F.lit(True))).distinct().collect()
+    dates = {date for date, other in dates_of if not other}
+    suspects = sorted(date for date, other in dates_of if other)
+
+    def settled(some: DataFrame, applies: Column) -> DataFrame:
+        status = F.when(applies, F.coalesce("outcome", "status")).otherwise(F.col("status"))
+        return some.withColumn("status", status).select(*spark.table(table).columns)
+
+    def on(days) -> DataFrame:
+        return rows.filter(F.col(INGEST_DATE).isin(sorted(days)))
+
+    parts, copied = [], set()
+    if suspects:
+        keys = spark.table(table).filter(own).select(key).distinct()
+        lookups = elsewhere.filter(F.col(INGEST_DATE).isin(suspects)).select(key, INGEST_DATE).distinct()
+        copies = lookups.join(keys, key, "left_semi")
+        copied = set(distinct_values(copies, INGEST_DATE))
+    if copied:
         found = copies.select(key).distinct().withColumn("copied", F.lit(True))
-        rows = rows.join(found, key, "left")
-        applies = applies | F.coalesce("copied", F.lit(False))
-    settled = F.when(applies, F.coalesce("outcome", "status")).otherwise(F.col("status"))
-    rows = rows.withColumn("status", settled).select(*spark.table(table).columns)
-    replace_partitions(rows, table, path, INGEST_DATE, dates, ["status"])
+        parts.append(settled(on(copied).join(found, key, "left"), own | F.coalesce("copied", F.lit(False))))
+    if dates - copied:
+        parts.append(settled(on(dates - copied), own))
+    if not parts:
+        return False
+    replace_partitions(reduce(DataFrame.union, parts), table, path, INGEST_DATE, sorted(dates | copied), ["status"])
     return True

@@ -7,6 +7,7 @@ table at a time. Tables outlive the session where the catalog does.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -124,9 +125,14 @@ def replace_partitions(
 
     ``df`` must hold every row those partitions should have. Within a file rows are ordered by
     ``sort_by``, so that a later filter on it can skip row groups; the partitioned write sorts by
-    the partition column anyway, so this costs no sort of its own.
+    the partition column anyway, so this costs no sort of its own. Values are dates, numbers or plain
+    words, which Spark writes into folder names as they are.
     """
     spark = df.sparkSession
+    values = [str(value) for value in values]
+    odd = [value for value in values if not re.fullmatch(r"[\w.-]+", value)]
+    if odd:
+        raise ValueError(f"{table}: cannot address partitions {odd}")
     require_shape(df.schema, spark.table(table).schema, table)
     folder = run_folder(path)
     rows = df.sortWithinPartitions(partition_col, *sort_by)
