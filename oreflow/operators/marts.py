@@ -57,6 +57,4 @@ def junction(
     pairs = ids.select(parent, F.explode("ids").alias(child)).distinct()
     if within is None:
         return pairs
-    return pairs.join(within.select(F.col("id").alias(child)).distinct(), child, "left_semi").select(
-        parent, child
-    )
+    return pairs.join(within.select(F.col("id").alias(child)), child, "left_semi").select(parent, child)

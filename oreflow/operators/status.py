@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.schemas import RECORD_KEY
 
 
+def one_per_key(source: DataFrame, key: str, *outcome: Column) -> DataFrame:
+    """One row per key, to be joined to a side on which one key may hold much of the data.
+
+    The key's hash is a second grouping column, so that the join does not reuse this shuffle but
+    makes its own over the few rows left. Spark splits a hot key's partition only between two plain
+    shuffles; an aggregate in between would send all rows of that key to one task.
+    """
+    spread = source.withColumn("spread", F.xxhash64(key))
+    if not outcome:
+        return spread.select(key, "spread").distinct().drop("spread")
+    return spread.groupBy(key, "spread").agg(*outcome).drop("spread")
+
+
 def merge_status(
     target: DataFrame, source: DataFrame, key: str = RECORD_KEY, status: str | None = None
 ) -> DataFrame:
@@ -19,8 +32,8 @@ def merge_status(
     the target's row count, and the join is left outer, so Spark may split a hot key's target rows.
     """
     if status is not None:
-        outcome = source.select(key).distinct().withColumn("new_status", F.lit(status))
+        outcome = one_per_key(source, key).withColumn("new_status", F.lit(status))
     else:
-        outcome = source.groupBy(key).agg(F.max("status").alias("new_status"))
+        outcome = one_per_key(source, key, F.max("status").alias("new_status"))
     merged = target.join(outcome, key, "left")
     return merged.withColumn("status", F.coalesce("new_status", "status")).select(*target.columns)

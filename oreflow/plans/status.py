@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.operators import merge_status
+from oreflow.operators import merge_status, one_per_key
 from oreflow.schemas import INGEST_DATE, RECORD_KEY
 from oreflow.sinks.tables import distinct_values, replace_partitions
 
@@ -67,7 +67,7 @@ def settle(
         copies = lookups.join(keys, key, "left_semi")
         copied = set(distinct_values(copies, INGEST_DATE))
     if copied:
-        found = copies.select(key).distinct().withColumn("copied", F.lit(True))
+        found = one_per_key(copies, key).withColumn("copied", F.lit(True))
         parts.append(settled(on(copied).join(found, key, "left"), own | F.coalesce("copied", F.lit(False))))
     if dates - copied:
         parts.append(settled(on(dates - copied), own))
