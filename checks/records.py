@@ -170,7 +170,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The small records as a stored bronze table's files, so that operators read Parquet."""
 
     def write(folder):
-        stamp(records(spark, sf_dir), "rec", "orders").write.parquet(folder)
+        rows = records(spark, sf_dir).repartition(file_count(spark, sf_dir))
+        stamp(rows, "rec", "orders").write.parquet(folder)
 
     return read_location(spark, written(spark, "bronze", sf_dir, write), bronze_of("rec", REC))
 
