@@ -37,8 +37,9 @@ from oreflow.operators.marts import named_items
 from oreflow.plans import bronze_to_silver, build_marts, raw_to_bronze, repair_quarantined, update_status
 from oreflow.schemas import INGEST_DATE, RAW, RECORD_FIELDS, RECORD_KEY, SILVER, bronze_of, struct
 from oreflow.settings import Settings, shared_folder
-from oreflow.sinks import append_rows, batch_writer, write_snapshot
+from oreflow.sinks import append_rows, batch_writer, register, write_snapshot
 from oreflow.sources import raw_files, read_json_batch, read_location, read_status, split_rejects, table_at
+from oreflow.sources.tables import location_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,6 +136,44 @@ def raw_file_provenance(spark, sf_dir):
     return facts.agg(*[F.sum(c).alias(name) for c, name in totals.items()])
 
 
+def broken_lines(spark, sf_dir) -> str:
+    """JSON Lines in which every F record is cut off in the middle and every P budget is a word."""
+
+    def write(folder):
+        text = F.to_json(F.struct(F.array("rec").alias("rec")))
+        line = (
+            F.when(F.col("rec.lang") == "F", F.expr("left(text, cast(length(text) / 2 as int))"))
+            .when(F.col("rec.lang") == "P", F.regexp_replace("text", '"budget":[0-9.E]+', '"budget":"unknown"'))
+            .otherwise(F.col("text"))
+        )
+        R.records(spark, sf_dir).withColumn("text", text).select(line.alias("value")).write.text(folder)
+
+    return R.written(spark, "broken-lines", sf_dir, write)
+
+
+@check(
+    rec(
+        """select case when lang = 'F' then 'unparsed' else 'partial' end reason, count(*) n
+from rec where lang = 'F' or (lang = 'P' and budget is not null) group by 1"""
+    )
+)
+def reject_report(spark, sf_dir):
+    raw = read_json_batch(spark, broken_lines(spark, sf_dir), R.RAW_REC, multiline=False)
+    return split_rejects(raw, "rec")[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check(
+    rec(
+        """select id, case when lang <> 'P' then budget end budget, runtime, lang, cast(len(items) as bigint) n_items
+from rec where lang <> 'F'"""
+    )
+)
+def records_of_broken_files(spark, sf_dir):
+    raw = read_json_batch(spark, broken_lines(spark, sf_dir), R.RAW_REC, multiline=False)
+    rows = explode_records(split_rejects(raw, "rec")[0], "rec", "rec").select("rec.*")
+    return rows.select("id", "budget", "runtime", "lang", F.array_size("items").cast("bigint").alias("n_items"))
+
+
 @check(rec("select id, 'orders' datasource, 'new' status, date '2024-05-06' p_ingestdate from rec"))
 def stamp_bronze(spark, sf_dir):
     stamped = stamp(R.records(spark, sf_dir), "rec", "orders", dt.datetime(2024, 5, 6, 7, 8, 9))
@@ -550,6 +589,17 @@ def table_status_merge(spark, sf_dir):
     return spark.table(table).groupBy("status", INGEST_DATE).agg(F.count(F.lit(1)).alias("n"))
 
 
+@check(rec("select case when lang = 'P' then date '2024-01-01' else date '2024-01-02' end p_ingestdate, "
+           "count(*) n from rec group by 1"))
+def register_again(spark, sf_dir):
+    """Drop a table and register its folder under another name: the rows are the folder's."""
+    table, path, schema = bronze_table(spark, sf_dir)
+    folder = location_of(spark, table_at(spark, path, table.split(".")[0]))
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    register(spark, f"{table}_again", schema, folder, [INGEST_DATE])
+    return spark.sql(f"SELECT {INGEST_DATE}, count(*) AS n FROM {table}_again GROUP BY 1")
+
+
 # ---- whole runs, raw files to tables ---------------------------------------------------------
 
 
@@ -679,6 +729,40 @@ def run_status_after_repair(spark, sf_dir):
     )
 
 
+def fresh(spark, sf_dir, day=1, **where) -> Settings:
+    return Settings(
+        raw=R.documents(spark, sf_dir, "movie"), datasource="orders", batch_ts=dt.datetime(2024, 1, day), **where
+    )
+
+
+@check(movie("select 'new' status, count(*) n, count(distinct \"Id\") n_records from movie"))
+def run_twice_with_reset(spark, sf_dir):
+    cfg = fresh(spark, sf_dir, root=shared_folder(spark, "reset"), database=database(spark))
+    raw_to_bronze(spark, cfg)
+    raw_to_bronze(spark, cfg, reset=True)
+    return spark.table(cfg.table("bronze")).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("movie.Id").alias("n_records")
+    )
+
+
+@check(
+    movie(
+        f"""select case when {MOVIE_STRICT} then 'loaded' else 'quarantined' end status, d.p_ingestdate, count(*) n
+from movie, (values (date '2024-01-01'), (date '2024-01-02')) d(p_ingestdate) group by 1, 2"""
+    )
+)
+def run_same_records_again(spark, sf_dir):
+    """A second delivery of records already repaired: every copy follows the new one's outcome."""
+    where = {"root": shared_folder(spark, "again"), "database": database(spark)}
+    for day in (1, 2):
+        cfg = fresh(spark, sf_dir, day, **where)
+        raw_to_bronze(spark, cfg)
+        bronze_to_silver(spark, cfg)
+        if day == 1:
+            repair_quarantined(spark, cfg)
+    return spark.table(cfg.table("bronze")).groupBy("status", INGEST_DATE).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- flagship --------------------------------------------------------------------------------
 
 
