@@ -1,7 +1,8 @@
 """Times the library's steps on one data folder and prints one JSON line.
 
 BENCH_SF_DIR names the folder, BENCH_CPUS the number of cores, BENCH_RUNS how often each step runs;
-the median counts. Inputs (raw files, bronze) are written before the clock starts.
+the median counts. Inputs (raw files, bronze) are written before the clock starts. With
+BENCH_EVENT_LOG, a folder, the bytes each step shuffles are added from Spark's event log.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import os
 import statistics
 import sys
 import time
+from collections import Counter
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -51,10 +53,10 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
     )
-    if "BENCH_EVENT_LOG" in os.environ:
-        builder = builder.config("spark.eventLog.enabled", "true").config(
-            "spark.eventLog.dir", os.environ["BENCH_EVENT_LOG"]
-        )
+    log_dir = os.environ.get("BENCH_EVENT_LOG")
+    if log_dir:
+        for key, value in {"enabled": "true", "dir": log_dir, "rolling.enabled": "false", "compress": "false"}.items():
+            builder = builder.config(f"spark.eventLog.{key}", value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -80,9 +82,11 @@ def main() -> None:
     taken: dict[str, list[float]] = {}
 
     def clock(name, step):
+        spark.sparkContext.setJobDescription(name)
         start = time.perf_counter()
         step()
         taken.setdefault(name, []).append(time.perf_counter() - start)
+        spark.sparkContext.setJobDescription(None)
 
     for name, step in steps.items():
         step()  # warm up
@@ -104,21 +108,37 @@ def main() -> None:
         assert spark.table(cfg.table("bronze")).filter(F.col("status") == "loaded").count() == n_records
 
     medians = {name: round(statistics.median(times), 4) for name, times in taken.items()}
-    print(
-        json.dumps(
-            {
-                "metric": "total seconds, median per step",
-                "value": round(sum(medians.values()), 3),
-                "unit": "sec",
-                "queries": medians,
-                "records": n_records,
-                "records_per_sec": {n: round(n_records / t) for n, t in medians.items() if t > 0},
-                "sf": os.path.basename(sf_dir.rstrip("/")),
-                "cpus": int(cpus),
-            }
-        )
-    )
+    result = {
+        "metric": "total seconds, median per step",
+        "value": round(sum(medians.values()), 3),
+        "unit": "sec",
+        "queries": medians,
+        "records": n_records,
+        "records_per_sec": {n: round(n_records / t) for n, t in medians.items() if t > 0},
+        "sf": os.path.basename(sf_dir.rstrip("/")),
+        "cpus": int(cpus),
+    }
+    app = spark.sparkContext.applicationId
     spark.stop()
+    if log_dir:
+        times = {n: runs + 1 if n.startswith("run_") else runs for n in medians}
+        moved = shuffled(f"{log_dir}/{app}")
+        result["shuffle_bytes"] = {n: moved.get(n, 0) // times[n] for n in medians}
+    print(json.dumps(result))
+
+
+def shuffled(log: str) -> Counter:
+    """Shuffle bytes written per job description."""
+    step_of, moved = {}, Counter()
+    with open(log) as events:
+        for event in map(json.loads, events):
+            if event["Event"] == "SparkListenerJobStart":
+                name = event["Properties"].get("spark.job.description")
+                step_of.update(dict.fromkeys(event["Stage IDs"], name))
+            elif event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
+                written = event["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
+                moved[step_of.get(event["Stage ID"])] += written
+    return moved
 
 
 if __name__ == "__main__":

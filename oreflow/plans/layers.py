@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators import (
@@ -22,6 +22,7 @@ from oreflow.operators import (
 )
 from oreflow.operators import budget_only as budget_rule
 from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, clean, counts
+from oreflow.plans.counting import Counted
 from oreflow.plans.status import settle
 from oreflow.schemas import (
     BRONZE,
@@ -65,20 +66,22 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
     second pass write them to the rejects table.
     """
     raw = read_json_batch(spark, cfg.raw_path, RAW, cfg.multiline)
-    seen = Observation("raw")
-    watched = raw.observe(
-        seen,
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(is_rejected(PAYLOAD)).alias("rejected"),
-        F.sum(F.coalesce(F.array_size(PAYLOAD), F.lit(0))).alias("records"),
+    documents = Counted(
+        raw,
+        [
+            F.count(F.lit(1)).alias("documents"),
+            F.count_if(is_rejected(PAYLOAD)).alias("rejected"),
+            F.sum(F.coalesce(F.array_size(PAYLOAD), F.lit(0))).alias("records"),
+        ],
     )
-    rows = stamp(explode_records(watched, PAYLOAD, PAYLOAD), PAYLOAD, cfg.datasource, cfg.batch_ts)
+    records = explode_records(documents.rows, PAYLOAD, PAYLOAD)
+    rows = stamp(records, PAYLOAD, cfg.datasource, cfg.batch_ts)
     table, path = cfg.table("bronze"), cfg.path("bronze")
     if reset:
         write_snapshot(rows, table, BRONZE, path, [INGEST_DATE], one_value=True)
     else:
         append_rows(rows, table, BRONZE, path, [INGEST_DATE], one_value=True)
-    report = {name: value or 0 for name, value in seen.get.items()}
+    report = documents.counts()
     if report["rejected"]:
         rejects = split_rejects(raw, PAYLOAD)[1]
         when = F.current_date() if cfg.batch_ts is None else F.lit(cfg.batch_ts.date())
@@ -94,13 +97,15 @@ def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
     Returns the counts by route, taken while the rows are written.
     """
     rules = rules_of(cfg)
-    seen = Observation("silver")
-    batch = flat(read_status(spark, cfg.table("bronze"), NEW)).observe(seen, *counts(rules))
-    append_rows(clean(batch, rules), cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by)
+    batch = Counted(flat(read_status(spark, cfg.table("bronze"), NEW)), counts(rules))
+    append_rows(
+        clean(batch.rows, rules), cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by
+    )
+    report = batch.counts()
     route = verdict(rules_of(cfg, f"{PAYLOAD}."), cfg.unrouted)
     outcome = F.when(route == CLEAN, LOADED).when(route == QUARANTINE, QUARANTINED)
     settle(spark, cfg.table("bronze"), cfg.path("bronze"), NEW, outcome)
-    return dict(seen.get)
+    return report
 
 
 def build_marts(spark: SparkSession, cfg: Settings, language_names: DataFrame | str = "English") -> None:

@@ -17,6 +17,7 @@ from oreflow.plans import (
     settle,
     update_status,
 )
+from oreflow.plans.counting import Counted
 from oreflow.schemas import BRONZE, MOVIE_COLUMNS, SILVER, shape
 
 GOOD = {
@@ -204,6 +205,15 @@ def test_null_records_stay_new(run, spark):
     assert run.statuses() == {(None, "new"): 1, (1, "loaded"): 1}
 
 
+def test_counts_that_never_arrive_are_taken_by_a_job(spark):
+    df = spark.range(5)
+    columns = [F.count(F.lit(1)).alias("n"), F.sum(F.lit(None).cast("int")).alias("nothing")]
+    assert Counted(df, columns, patience=0.2).counts() == {"n": 5, "nothing": 0}
+    counted = Counted(df, columns)
+    assert counted.rows.filter("id < 2").count() == 2
+    assert counted.counts() == {"n": 5, "nothing": 0}
+
+
 def test_no_files_at_all(run, spark):
     assert run.ingest([])["records"] == 0
     assert bronze_to_silver(spark, run.cfg)["n"] == 0
