@@ -1,6 +1,13 @@
-from oreflow.plans.layers import bronze_to_silver, build_marts, raw_to_bronze, repair_quarantined
+from oreflow.plans.layers import (
+    bronze_to_silver,
+    build_marts,
+    raw_to_bronze,
+    rebuild_silver,
+    repair_quarantined,
+)
 from oreflow.plans.status import settle, update_status
 
 __all__ = [
-    "bronze_to_silver", "build_marts", "raw_to_bronze", "repair_quarantined", "settle", "update_status",
+    "bronze_to_silver", "build_marts", "raw_to_bronze", "rebuild_silver", "repair_quarantined",
+    "settle", "update_status",
 ]

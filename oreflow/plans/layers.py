@@ -16,6 +16,7 @@ from oreflow.operators import (
     flatten,
     junction,
     repair,
+    split,
     stamp,
     strict,
     verdict,
@@ -59,6 +60,10 @@ def flat(bronze: DataFrame) -> DataFrame:
     return flatten(bronze, PAYLOAD, list(RECORD_FIELDS), DATE_FIELDS)
 
 
+def repaired(rows: DataFrame, cfg: Settings) -> DataFrame:
+    return repair(rows, abs_cols=["RunTime"], floors={"Budget": cfg.floor}, whole_cols=["Budget"])
+
+
 def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> dict:
     """Append the raw folder's records to bronze; with ``reset``, replace bronze by them.
 
@@ -138,9 +143,19 @@ def repair_quarantined(spark: SparkSession, cfg: Settings) -> int:
     Returns how many records are still quarantined, which should be none.
     """
     bronze = cfg.table("bronze")
-    fixed = repair(
-        flat(read_status(spark, bronze, QUARANTINED)), ["RunTime"], {"Budget": cfg.floor}, ["Budget"]
-    )
+    fixed = repaired(flat(read_status(spark, bronze, QUARANTINED)), cfg)
     append_rows(fixed, cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by)
     settle(spark, bronze, cfg.path("bronze"), QUARANTINED, F.lit(LOADED))
     return read_status(spark, bronze, QUARANTINED).count()
+
+
+def rebuild_silver(spark: SparkSession, cfg: Settings) -> None:
+    """Replace silver by what bronze says is loaded: clean records as they are, the others repaired.
+
+    For a clean restart, and after a driver was lost between the two writes of a step: rows whose
+    status had not been settled are left out, and the step then adds them once.
+    """
+    loaded = flat(read_status(spark, cfg.table("bronze"), LOADED))
+    good, rest = split(loaded, rules_of(cfg))
+    rows = good.unionByName(repaired(rest, cfg))
+    write_snapshot(rows, cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by)

@@ -12,7 +12,9 @@ from oreflow.operators import merge_status
 from oreflow.plans import (
     bronze_to_silver,
     build_marts,
+    layers,
     raw_to_bronze,
+    rebuild_silver,
     repair_quarantined,
     settle,
     update_status,
@@ -186,6 +188,25 @@ def test_silver_partitioned_by_a_column_with_nulls(run, spark):
     assert run.rows("silver", "Id", "UpdatedDate") == [(1, dt.date(2020, 2, 3)), (2, None), (3, None)]
 
 
+def test_a_step_cut_short_is_made_good(run, spark, monkeypatch):
+    run.ingest([GOOD, CHEAP], day=1)
+    bronze_to_silver(spark, run.cfg)
+    repair_quarantined(spark, run.cfg)
+    run.ingest([AT_FLOOR, BACKWARDS], day=2)
+    with monkeypatch.context() as lost:
+        lost.setattr(layers, "settle", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            bronze_to_silver(spark, run.cfg)
+    rebuild_silver(spark, run.cfg)
+    assert run.rows("silver", "Id", "Budget") == [(1, 2e6), (3, 1e6)]
+    bronze_to_silver(spark, run.cfg)
+    repair_quarantined(spark, run.cfg)
+    once = run.rows("silver", "*")
+    assert run.rows("silver", "Id") == [(1,), (2,), (3,), (4,)]
+    rebuild_silver(spark, run.cfg)
+    assert run.rows("silver", "*") == once
+
+
 def test_reset_replaces_bronze(run, spark):
     run.ingest([GOOD], day=1)
     run.ingest([CHEAP], day=2, reset=True)
