@@ -2,13 +2,15 @@
 
 import datetime as dt
 import json
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow import Settings
-from oreflow.operators import merge_status
+from oreflow.operators import merge_status, stamp
 from oreflow.plans import (
     bronze_to_silver,
     build_marts,
@@ -20,7 +22,8 @@ from oreflow.plans import (
     update_status,
 )
 from oreflow.plans.counting import Counted
-from oreflow.schemas import BRONZE, MOVIE_COLUMNS, SILVER, shape
+from oreflow.schemas import BRONZE, MOVIE_COLUMNS, SILVER, shape, struct
+from oreflow.sinks import append_rows
 
 GOOD = {
     "Id": 1, "Title": "One", "Budget": 2e6, "RunTime": 90, "OriginalLanguage": "en",
@@ -157,6 +160,31 @@ def test_settling_equals_merging(run, spark):
     assert not settle(spark, table, path, "new", rules)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_settling_equals_merging_at_random(run, spark, seed):
+    """Random copies of a few records at random statuses and days, null records among them."""
+    rand = random.Random(seed)
+    cfg = run.settings()
+    table, path = cfg.table("bronze"), cfg.path("bronze")
+    payload = BRONZE["movie"].dataType
+    records = [None] + [{"Id": i, "Budget": rand.choice([None, 5.0, 2e6])} for i in range(6)]
+    for day in (1, 2, 3, 4):
+        movies = [(rand.choice(records), rand.choice(["new", "new", "loaded", "quarantined"])) for _ in range(6)]
+        schema = struct(movie=payload, status=T.StringType())
+        rows = spark.createDataFrame(movies, schema)
+        for status in ("new", "loaded", "quarantined"):
+            part = stamp(rows.filter(F.col("status") == status), "movie", "here", dt.datetime(2024, 1, day))
+            append_rows(part.withColumn("status", F.lit(status)), table, BRONZE, path, ["p_ingestdate"], True)
+    for at in ("new", "quarantined"):
+        outcome = F.when(F.col("movie.Budget") >= 1e6, "loaded").when(F.col("movie.Budget") < 1e6, "quarantined")
+        outcome = outcome if at == "new" else F.lit("loaded")
+        bronze = spark.table(table)
+        source = bronze.filter(F.col("status") == at).withColumn("status", outcome).filter("status is not null")
+        expected = Counter(map(str, merge_status(bronze, source).select(*bronze.columns).collect()))
+        settle(spark, table, path, at, outcome)
+        assert Counter(map(str, spark.table(table).collect())) == expected
+
+
 def test_update_status_by_key(run, spark):
     run.ingest([GOOD, CHEAP], day=1)
     run.ingest([GOOD, AT_FLOOR], day=2)
@@ -220,6 +248,15 @@ def test_broken_files_are_reported_once_per_batch(run, spark):
     assert set(run.statuses()) == {(1, "new"), (8, "new"), (9, "new")}
 
 
+def test_json_lines_run(run, spark):
+    lines = "\n".join(json.dumps({"movie": [movie]}) for movie in (GOOD, CHEAP)) + '\n{"movie": [{"Id":'
+    report = run.ingest(lines, multiline=False)
+    assert report == {"documents": 3, "rejected": 1, "records": 2}
+    assert [r["record"] for r in run.table("rejects").collect()] == ['{"movie": [{"Id":']
+    bronze_to_silver(spark, run.cfg)
+    assert run.rows("silver", "Id") == [(1,)]
+
+
 def test_null_records_stay_new(run, spark):
     run.ingest('{"movie": [null]}', [GOOD])
     bronze_to_silver(spark, run.cfg)
