@@ -88,6 +88,7 @@ def test_only_the_named_partitions_are_swapped(spark, database, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, "y's"), (3, "z")], schema)
     append_rows(df, table, schema, path, ["p"])
     before = set(spark.table(table).inputFiles())
+    assert all(".zstd." in file for file in before)
     part = spark.table(table).filter("p = 'x'").withColumn("a", F.col("a") + 10)
     replace_partitions(part, table, path, "p", ["x"])
     assert rows(spark, table) == [(11, "x"), (2, "y's"), (3, "z")]
