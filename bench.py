@@ -55,7 +55,8 @@ def main() -> None:
     )
     log_dir = os.environ.get("BENCH_EVENT_LOG")
     if log_dir:
-        for key, value in {"enabled": "true", "dir": log_dir, "rolling.enabled": "false", "compress": "false"}.items():
+        log = {"enabled": "true", "dir": log_dir, "rolling.enabled": "false", "compress": "false"}
+        for key, value in log.items():
             builder = builder.config(f"spark.eventLog.{key}", value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

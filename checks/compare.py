@@ -46,7 +46,8 @@ def differences(spark: SparkSession, sf_dir: str, name: str, con) -> str | None:
         return f"types {my_kinds} against {kinds}"
     if mine != theirs:
         only, missing = mine - theirs, theirs - mine
-        return f"{sum(mine.values())} rows against {sum(theirs.values())}; extra {list(only)[:3]}, missing {list(missing)[:3]}"
+        sizes = f"{sum(mine.values())} rows against {sum(theirs.values())}"
+        return f"{sizes}; extra {list(only)[:3]}, missing {list(missing)[:3]}"
     if not mine:
         return "no rows"
     return None
@@ -68,5 +69,6 @@ if __name__ == "__main__":
         start = time.time()
         problem = differences(session, sf, query, link)
         bad += problem is not None
-        print(f"{'ok  ' if problem is None else 'FAIL'} {query:32s} {time.time() - start:6.2f}s {problem or ''}", flush=True)
+        word = "ok  " if problem is None else "FAIL"
+        print(f"{word} {query:32s} {time.time() - start:6.2f}s {problem or ''}", flush=True)
     sys.exit(bool(bad))

@@ -525,8 +525,8 @@ def partitioned_roundtrip(spark, sf_dir):
 
 @check(rec(f"select {SCALARS_SQL}, case when {STRICT} then 'clean' else 'repaired' end side from rec"))
 def append_batches(spark, sf_dir):
-    table, schema = f"{database(spark)}.silver", T.StructType([*FLAT.fields, T.StructField("side", T.StringType())])
-    path = shared_folder(spark, "silver")
+    table, path = f"{database(spark)}.silver", shared_folder(spark, "silver")
+    schema = T.StructType([*FLAT.fields, T.StructField("side", T.StringType())])
     for side, rows in zip(("clean", "repaired"), split(flat(spark, sf_dir), rules(spark))):
         append_rows(rows.select(*SCALARS, F.lit(side).alias("side")), table, schema, path, ["lang"])
     return spark.sql(f"SELECT * FROM {table}")
@@ -802,7 +802,10 @@ def load_report(spark, sf_dir):
     """Raw files to routed records in one plan, with no table in between."""
     raw = read_json_batch(spark, R.documents(spark, sf_dir, "movie"), RAW)
     rows = flatten(
-        explode_records(raw, "movie", "movie"), "movie", ["Id", "Budget", "RunTime", "CreatedDate"], ["CreatedDate"]
+        explode_records(raw, "movie", "movie"),
+        "movie",
+        ["Id", "Budget", "RunTime", "CreatedDate"],
+        ["CreatedDate"],
     )
     status = F.when(verdict(strict()) == "clean", "loaded").otherwise("quarantined")
     return rows.groupBy(status.alias("status")).agg(

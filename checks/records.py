@@ -53,7 +53,8 @@ MOVIE_SQL = """movie as (
          budget / 8 "Price", strftime(created, '%Y-%m-%d') "ReleaseDate", runtime "Revenue",
          cast(trunc(runtime) as bigint) "RunTime", segment "Tagline", customer "Title",
          concat('tmdb/', id) "TmdbUrl", cast(null as varchar) "UpdatedBy",
-         case when id % 89 = 0 then null when id % 7 = 0 then null else cast(date_trunc('month', created) as date) end "UpdatedDate",
+         case when id % 89 = 0 then null when id % 7 = 0 then null
+              else cast(date_trunc('month', created) as date) end "UpdatedDate",
          items genres
   from rec)"""
 
@@ -69,12 +70,14 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_partkey") % 13 == 0, None)
         .otherwise(F.concat(F.lit(" "), "p_name", F.lit("  ")))
     )
+    item = F.struct(F.col("l_partkey").alias("id"), name.alias("name"))
     # an order's parts become one array, as a raw document holds them
     items = (
         lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("l_partkey").alias("id"), name.alias("name")))).alias("items"))
+        .agg(F.array_sort(F.collect_list(item)).alias("items"))
     )
+    copies = F.when(F.col("id") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
         _table(spark, sf_dir, "orders")
         .join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -82,7 +85,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("id", F.col("o_orderkey"))
         .withColumn("budget", F.when(F.col("id") % 97 != 0, F.col("o_totalprice")))
         .withColumn("created", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'0000'"))
-        .withColumn("copy", F.explode(F.when(F.col("id") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+        .withColumn("copy", F.explode(copies))
     )
 
 

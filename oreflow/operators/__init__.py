@@ -1,5 +1,14 @@
 from oreflow.operators.marts import code_dimension, dimension, entity, junction
-from oreflow.operators.quality import Rule, budget_only, profile, repair, route, split, strict, verdict
+from oreflow.operators.quality import (
+    Rule,
+    budget_only,
+    profile,
+    repair,
+    route,
+    split,
+    strict,
+    verdict,
+)
 from oreflow.operators.records import explode_nested, explode_records, flatten, stamp
 from oreflow.operators.status import merge_status, one_per_key
 

@@ -56,7 +56,11 @@ def flatten(
 
 
 def explode_nested(
-    df: DataFrame, path: str, fields: Sequence[str] | None = None, keep: Sequence[str] = (), alias: str = "item"
+    df: DataFrame,
+    path: str,
+    fields: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+    alias: str = "item",
 ) -> DataFrame:
     """One row per element of a nested array, with columns of the parent kept on request.
 

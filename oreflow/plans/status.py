@@ -73,5 +73,6 @@ def settle(
         parts.append(settled(on(dates - copied), own))
     if not parts:
         return False
-    replace_partitions(reduce(DataFrame.union, parts), table, path, INGEST_DATE, sorted(dates | copied), ["status"])
+    rows_now, dates_now = reduce(DataFrame.union, parts), sorted(dates | copied)
+    replace_partitions(rows_now, table, path, INGEST_DATE, dates_now, ["status"])
     return True

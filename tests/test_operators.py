@@ -165,14 +165,16 @@ def test_maps_are_refused_as_keys(spark):
 def test_timestamps_keep_their_microseconds_in_the_key(spark):
     stamps = ["2024-01-01 00:00:00.000001", "2024-01-01 00:00:00.000002"]
     df = spark.createDataFrame([(s,) for s in stamps], "s string")
-    df = df.select(F.struct(F.col("s").cast("timestamp").alias("a"), F.col("s").cast("timestamp_ntz").alias("b")).alias("m"))
+    kinds = [F.col("s").cast(kind).alias(kind) for kind in ("timestamp", "timestamp_ntz")]
+    df = df.select(F.struct(*kinds).alias("m"))
     assert df.select(record_key(df, "m").alias("k")).distinct().count() == 2
 
 
 doubles = st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.0, 0.1, 1e21, float("nan"), float("inf")]))
 items = st.one_of(
-    st.none(), st.lists(st.one_of(st.none(), st.tuples(st.sampled_from([None, 1]), st.sampled_from([None, "", "a", '"']))), max_size=2)
-)
+    st.none(),
+    st.lists(st.one_of(st.none(), st.tuples(st.sampled_from([None, 1]), st.sampled_from([None, "", '"']))), max_size=2),
+)
 payloads = st.one_of(st.none(), st.tuples(st.sampled_from([None, 0, 1]), doubles, items))
 
 

@@ -93,7 +93,8 @@ def test_settling_a_batch_moves_no_payload(spark, bronze, monkeypatch):
 
     monkeypatch.setattr(status_plans, "replace_partitions", spy)
     day_two = spark.table(table).filter("p_ingestdate = date '2024-01-02'")
-    assert settle(spark, table, path, "new", F.when(F.col("movie.Budget") >= 1e6, "loaded").otherwise("quarantined"))
+    outcome = F.when(F.col("movie.Budget") >= 1e6, "loaded").otherwise("quarantined")
+    assert settle(spark, table, path, "new", outcome)
     text, dates = written.pop()
     assert "Exchange" not in text and "Join" not in text and len(dates) == 2
     assert day_two.filter("status = 'new'").count() == 0
@@ -147,8 +148,13 @@ def test_a_partition_that_holds_most_rows_is_written_by_several_tasks(spark, tmp
 
 
 def test_snapshot_of_an_unpartitioned_table_does_not_shuffle(spark, database, tmp_path, monkeypatch):
-    seen = []
-    df = spark.range(10)
-    monkeypatch.setattr(type(df), "write", property(lambda self, real=type(df).write: (seen.append(plan(self)), real.fget(self))[1]))
+    seen, df = [], spark.range(10)
+    real = type(df).write
+
+    def spy(self):
+        seen.append(plan(self))
+        return real.fget(self)
+
+    monkeypatch.setattr(type(df), "write", property(spy))
     write_snapshot(df, f"{database}.t", struct(id=T.LongType()), str(tmp_path / "t"))
     assert seen and all("Exchange" not in text for text in seen)
