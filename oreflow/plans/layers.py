@@ -80,6 +80,8 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
         ],
     )
     records = explode_records(documents.rows, PAYLOAD, PAYLOAD)
+    if cfg.spread:
+        records = records.hint("rebalance")
     rows = stamp(records, PAYLOAD, cfg.datasource, cfg.batch_ts)
     table, path = cfg.table("bronze"), cfg.path("bronze")
     if reset:

@@ -28,7 +28,9 @@ class Settings:
 
     ``root`` has to be a folder that every executor can reach. ``rules`` is ``strict`` (runtime and
     budget) or ``budget_only``. ``unrouted`` says what happens to rows no rule can decide, because a
-    value is null: ``quarantine`` them or ``keep`` them as they are.
+    value is null: ``quarantine`` them or ``keep`` them as they are. ``spread`` shares the records of
+    few or uneven raw files out over the cluster after parsing, for one shuffle of the batch; files
+    that are many and alike do better without.
     """
 
     root: str
@@ -36,6 +38,7 @@ class Settings:
     database: str = "default"
     raw: str | None = None
     multiline: bool = True
+    spread: bool = False
     floor: float = BUDGET_FLOOR
     rules: str = "strict"
     unrouted: str = "quarantine"

@@ -257,6 +257,21 @@ def test_json_lines_run(run, spark):
     assert run.rows("silver", "Id") == [(1,)]
 
 
+def test_records_of_one_file_can_be_spread(run, spark):
+    movies = [{**GOOD, "Id": i, "Overview": f"{i * 7919 % 104729}" * 20} for i in range(2000)]
+    run.ingest(movies)
+    assert len(run.table("bronze").inputFiles()) == 1
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "10k")
+    try:
+        assert run.ingest(movies, reset=True, spread=True)["records"] == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert len(run.table("bronze").inputFiles()) > 2
+    assert run.table("bronze").select("movie.Id").distinct().count() == 2000
+
+
 def test_null_records_stay_new(run, spark):
     run.ingest('{"movie": [null]}', [GOOD])
     bronze_to_silver(spark, run.cfg)
