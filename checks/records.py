@@ -17,7 +17,7 @@ from oreflow.settings import shared_folder
 from oreflow.sources import read_location
 
 FLOOR = 100_000  # of the small record; the movie record's budget is ten times larger
-PER_FILE = 200_000  # records per raw file, which is also what one task reads
+PER_FILE = 5_000  # records per raw file: a multi-line document is held in memory as a whole
 
 ITEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
 REC = struct(
