@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import quality
+from oreflow.llm import quality, urls
 from oreflow.llm.common import table
 
 
@@ -22,4 +22,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op10_quality_rules": op10_quality_rules}
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.filter_urls(
+        table(spark, sf_dir, "pages").select("page_id", "url"),
+        block=["net/", "example.com/de/"],
+        allow=["example.net/en/", "org/fr/"],
+    )
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES = {
+    "op8_url_filters": op8_url_filters,
+    "op10_quality_rules": op10_quality_rules,
+}
