@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import quality, urls
+from oreflow.llm import mixing, quality, urls
 from oreflow.llm.common import table
 
 
@@ -31,7 +31,17 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(
+        "doc_id", "source", mixing.size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")
+    )
+    mix = mixing.mix(rows, ["doc_id", "tie"])
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op2_source_mixing": op2_source_mixing,
     "op8_url_filters": op8_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
