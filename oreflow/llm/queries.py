@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import mixing, quality, urls
+from oreflow.llm import mixing, packing, quality, urls
 from oreflow.llm.common import table
 
 
@@ -40,8 +40,19 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
+    "op5_sequence_packing": op5_sequence_packing,
     "op8_url_filters": op8_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
