@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import mixing, packing, quality, urls
+from oreflow.llm import fingerprints, mixing, packing, quality, urls
 from oreflow.llm.common import table
 
 
@@ -50,9 +50,14 @@ def op5_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op5_sequence_packing": op5_sequence_packing,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op8_url_filters": op8_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
