@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import fingerprints, mixing, packing, quality, urls
+from oreflow.llm import fingerprints, mixing, packing, quality, simhash, urls
 from oreflow.llm.common import table
 
 
@@ -54,10 +54,15 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op8_url_filters": op8_url_filters,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
