@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import fingerprints, mixing, packing, quality, simhash, urls
+from oreflow.llm import fingerprints, mixing, packing, quality, simhash, toxicity, urls
 from oreflow.llm.common import table
 
 
@@ -31,6 +31,13 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.default_chain(docs, table(spark, sf_dir, "labels"))
+    judged = toxicity.judge(docs, chain, ["p_low_quality", "p_toxic"])
+    return judged.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select(
@@ -59,6 +66,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
