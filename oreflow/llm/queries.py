@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import fingerprints, mixing, packing, quality, simhash, toxicity, urls
+from oreflow.llm import fingerprints, langid, mixing, packing, quality, simhash, toxicity, urls
 from oreflow.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    tree = langid.train(docs, part != 0)
+    judged = langid.identify(docs.select("doc_id", "text"), tree)
+    return judged.select("doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.filter_urls(
         table(spark, sf_dir, "pages").select("page_id", "url"),
@@ -35,7 +43,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.default_chain(docs, table(spark, sf_dir, "labels"))
     judged = toxicity.judge(docs, chain, ["p_low_quality", "p_toxic"])
-    return judged.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+    toxic = (F.col("p_toxic") >= toxicity.THRESHOLD).alias("toxic")
+    return judged.select("doc_id", "p_low_quality", "p_toxic", toxic)
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +79,7 @@ QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_language_id": op7_language_id,
     "op8_url_filters": op8_url_filters,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
