@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # What separates words, as a regular expression's character class.
 GAP = r"[\x20\x09-\x0D]"
@@ -61,8 +60,3 @@ def uniform(*parts: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def struct_of(**fields: str) -> T.StructType:
-    """A schema from names and types."""
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])

@@ -161,8 +161,8 @@ def _compared(key, text: list[str], following: list[str], next_print: list[str],
 
 
 COLUMNS = {
-    "n_chars": "long", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string",
-    "near_edited": "double", "near_next": "double",
+    "n_chars": T.LongType(), "edited_sha256": T.StringType(), "fingerprint": T.StringType(),
+    "edited_fingerprint": T.StringType(), "near_edited": T.DoubleType(), "near_next": T.DoubleType(),
 }
 
 
@@ -178,7 +178,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     task, but for the last of a range: these, one a task, are joined with the first of the next range.
     """
     kind = docs.schema[key].dataType
-    columns = [T.StructField(c, T._parse_datatype_string(t)) for c, t in COLUMNS.items()]
+    columns = [T.StructField(c, t) for c, t in COLUMNS.items()]
     result = T.StructType([T.StructField("key", kind), *columns])
     edges = [("part", T.LongType()), ("first", T.StringType()), ("last", T.StringType())]
     schema = T.StructType([*result.fields, *[T.StructField(c, t) for c, t in edges]])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import fingerprints, langid, mixing, packing, quality, simhash, toxicity, urls
+from oreflow.llm import classlm, fingerprints, langid, mixing, packing, quality, simhash, toxicity, urls
 from oreflow.llm.common import table
 
 
@@ -22,6 +22,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = classlm.held_out(F.col("doc_id"), 7, 2)
+    model, counts = classlm.train(docs.filter(~out).select("text"))
+    scores = classlm.score(docs, model, counts)
+    return scores.select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity",
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -77,6 +88,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_language_id": op7_language_id,
