@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import classlm, fingerprints, langid, mixing, packing, quality, simhash, toxicity, urls
+from oreflow.llm import classlm, fingerprints, langid, mixing, packing, quality, simhash, templates, toxicity, urls
 from oreflow.llm.common import table
 
 
@@ -67,6 +67,12 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = templates.extract_text(pages)
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -89,6 +95,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_html_extraction": op4_html_extraction,
     "op5_sequence_packing": op5_sequence_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_language_id": op7_language_id,
