@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import GAP, WORD, fresh, let, words_of
+from oreflow.llm.common import GAP, WORD, fresh, let, words_of, written
 
 WINDOW = 5
 
@@ -119,8 +119,13 @@ MEASURES = {
 
 
 def sampled(df: DataFrame, rows: int = 512) -> DataFrame:
-    """The ``rows`` rows with the smallest hash of the whole row: at most that many at any input size."""
-    return df.orderBy(F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind], F.lit("sample"))).limit(rows)
+    """The ``rows`` rows with the smallest hash of the whole row: at most that many at any input size.
+
+    Written to the shared folder, so that what is computed on them stays above the limit: Spark would
+    move it below, and then sort the whole table.
+    """
+    spread = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind], F.lit("sample"))
+    return written(df.orderBy(spread).limit(rows), "sample")
 
 
 def order_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
