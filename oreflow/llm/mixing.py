@@ -33,7 +33,7 @@ class Policy:
     most: int = 2
     block: int = 64
     slots: int = 1 << 16
-    bucket_rows: int = 8192
+    bucket_rows: int = 2048
     seed: int = 42
 
 
@@ -142,7 +142,9 @@ def drawn(sources: DataFrame, policy: Policy) -> DataFrame:
     # one row's slots are many, so they are made in two steps with an exchange between them
     step = 4096
     parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / step))).alias("part")
-    parts = counts.filter("n > 0").select("place", "blocks", "first", "n", parts).repartition("place", "first", "part")
+    parts = counts.filter("n > 0").select("place", "blocks", "first", "n", parts)
+    # a fixed number of partitions: adaptive execution would merge rows that are small only now
+    parts = parts.repartition(max(1, math.ceil(shards * each / 100_000)), "place", "first", "part")
     last = F.least(F.col("n"), (F.col("part") + 1) * step) - 1
     slot = F.explode(F.sequence(F.col("first") + F.col("part") * step, F.col("first") + last)).alias("slot")
     taken = parts.select("place", "blocks", slot).filter(F.col("slot") < policy.most * F.col("blocks"))
@@ -171,7 +173,8 @@ def mix(rows: DataFrame, order: Sequence[str], policy: Policy = Policy()) -> Dat
     spans = rows.filter("size > 0").select("place", "start", "size", spans.alias("block"))
     first = F.greatest(F.col("block") * policy.block, F.col("start")) - F.col("start")
     n = F.least((F.col("block") + 1) * policy.block, end) - F.col("start") - first
-    hits = spans.join(drawn(sources, policy), ["place", "block"])
+    # a merge join by hint: Spark takes the spans for as small as the rows they are made from
+    hits = spans.hint("merge").join(drawn(sources, policy), ["place", "block"])
     hits = hits.select("place", "start", F.struct(first.alias("first"), n.alias("n"), "times").alias("piece"))
     per_row = hits.groupBy("place", "start").agg(
         F.sum(F.col("piece.n") * F.col("piece.times")).alias("taken"),
