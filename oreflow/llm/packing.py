@@ -10,21 +10,30 @@ of groups, until one short sequence is left.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from oreflow.llm.common import written
 
-# A worker keeps the ids of at most so many words between batches.
+# A worker keeps the ids of at most twice so many words, and word stems, between batches.
 CACHED_WORDS = 400_000
+# Documents whose ids are laid out together.
+TOGETHER = 1_000
+# Letters whose lower case is one letter, and signs that follow a word. Such words are tokenized in two parts.
+_PARTS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|]*)")
 # Partitions, or groups of them, whose open windows are merged by one task.
 MERGED = 64
 ID_BYTES = 4
@@ -32,11 +41,34 @@ ID_BYTES = 4
 _tokenizers: dict[str, WordIds] = {}
 
 
+class Cache:
+    """The latest results of a function of many texts. What is used again stays when the older half goes."""
+
+    def __init__(self, of: Callable[[list[str]], list[bytes]]):
+        self._of = of
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        found = list(map(self._known.get, texts))
+        gaps = [k for k, value in enumerate(found) if value is None]
+        older = [self._older.get(texts[k]) for k in gaps]
+        new = list(dict.fromkeys(texts[k] for k, value in zip(gaps, older, strict=True) if value is None))
+        fresh = dict(zip(new, self._of(new), strict=True))
+        for k, value in zip(gaps, older, strict=True):
+            text = texts[k]
+            found[k] = self._known[text] = fresh[text] if value is None else value
+        if len(self._known) > CACHED_WORDS:
+            self._older, self._known = self._known, {}
+        return found
+
+
 class WordIds:
-    """A tokenizer's ids by word, as little-endian unsigned 32-bit integers.
+    """A tokenizer's ids, looked up by word.
 
-    For tokenizers that drop white space and whose tokens never reach over it: then a text's ids are its
-    words' ids, and every word that repeats is looked up instead of tokenized again.
+    For tokenizers that drop white space, ignore case, and whose tokens reach neither over white space nor from
+    letters to signs: then a text's ids are its words' ids, and a word's those of its letters and its
+    signs. A batch's different words are found first, so each is looked up once.
     """
 
     def __init__(self, path: str):
@@ -44,7 +76,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
+        self._parts, self._words = Cache(self._encode), Cache(self._join)
 
     @classmethod
     def at(cls, path: str) -> WordIds:
@@ -52,17 +84,35 @@ class WordIds:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
-    def of(self, texts: Iterable[str | None]) -> list[bytes]:
-        split = [(text or "").encode().split() for text in texts]
-        if len(self._known) > CACHED_WORDS:
-            self._known.clear()
-        new = list({word for words in split for word in words}.difference(self._known))
-        for k in range(0, len(new), 50_000):
-            part = new[k : k + 50_000]
-            found = self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self._known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found, strict=True))
-        known = self._known.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _join(self, words: list[str]) -> list[bytes]:
+        parts: list[str] = []
+        for word in words:
+            two = _PARTS.fullmatch(word)
+            parts += (two[1].lower(), two[2]) if two else (word, "")
+        ids = self._parts(parts)
+        return [ids[k] + ids[k + 1] for k in range(0, len(ids), 2)]
+
+    def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Unsigned 32-bit ids of every text; null counts as empty."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
+        words = self._words(coded.dictionary.to_pylist())
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        pool = np.frombuffer(b"".join(words), "<u4")
+        sizes = np.array([len(ids) // ID_BYTES for ids in words], np.int64)
+        starts, index = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        for k in range(0, len(texts), TOGETHER):
+            bounds = ends[k : k + TOGETHER + 1]
+            some = index[bounds[0] : bounds[-1]]
+            n = sizes[some]
+            after = np.concatenate([[0], np.cumsum(n)])
+            ids = pool[np.repeat(starts[some] - after[:-1], n) + np.arange(after[-1])]
+            at = after[bounds - bounds[0]]
+            yield from (ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
 
 
 def sequences(
@@ -176,21 +226,22 @@ def pack(
         [T.StructField(key, kind)]
         + [T.StructField(c, T.BinaryType() if c == "ids" else T.LongType()) for c in COLUMNS]
     )
+    arrow = to_arrow_schema(schema)
 
-    def online(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def online(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, part = WordIds.at(tokenizer), TaskContext.get().partitionId()
-        last = array("I", [end]).tobytes()
+        last = np.array([end], "<u4")
 
         def pieces():
             for batch in batches:
-                keys = batch["key"].astype(object).where(batch["key"].notna(), None)
-                for doc, ids in zip(keys, ids_of.of(batch["text"]), strict=True):
-                    yield doc, 0, ids + last, len(ids) // ID_BYTES + 1
+                for doc, ids in zip(batch["key"].to_pylist(), ids_of.of(batch["text"]), strict=True):
+                    yield doc, 0, np.append(ids, last).tobytes(), len(ids) + 1
 
-        yield from _rows(sequences(pieces(), length, windows, part << 34), part, key)
+        for frame in _rows(sequences(pieces(), length, windows, part << 34), part, key):
+            yield pa.RecordBatch.from_pandas(frame, arrow, preserve_index=False)
 
     packed = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    packed = written(packed.mapInPandas(online, schema), "packed")
+    packed = written(packed.mapInArrow(online, schema), "packed")
     done, open_, level = [packed.filter("sequence_id IS NOT NULL")], packed.filter("sequence_id IS NULL"), 1
     parts = packed.agg(F.max("part")).first()[0] or 0
     while parts >= 0:
