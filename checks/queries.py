@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,10 +43,10 @@ from oreflow.plans import (
     repair_quarantined,
     update_status,
 )
-from oreflow.schemas import INGEST_DATE, RAW, RECORD_FIELDS, RECORD_KEY, SILVER, bronze_of, struct
+from oreflow.schemas import BRONZE_PARTS, INGEST_DATE, RAW, RECORD_FIELDS, RECORD_KEY, SILVER, SILVER_PARTS, bronze_of, struct
 from oreflow.settings import Settings, shared_folder
 from oreflow.sinks import append_rows, batch_writer, register, write_snapshot
-from oreflow.sources import raw_files, read_json_batch, read_location, read_status, split_rejects, table_at
+from oreflow.sources import peek_raw, raw_files, read_json_batch, read_location, read_status, split_rejects, table_at
 from oreflow.sources.tables import location_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -567,7 +568,7 @@ def bronze_table(spark, sf_dir) -> tuple[str, str, T.StructType]:
     for day in (1, 2):
         batch = rows.filter(F.col("rec.lang") == "P" if day == 1 else F.col("rec.lang") != "P")
         stamped = stamp(batch, "rec", "orders", dt.datetime(2024, 1, day))
-        append_rows(stamped, table, schema, path, [INGEST_DATE], one_value=True)
+        append_rows(stamped, table, schema, path, BRONZE_PARTS, one_value=True)
     return table, path, schema
 
 
@@ -581,7 +582,7 @@ def status_scan(spark, sf_dir):
     """Mark part of one day as quarantined, found by the layer's folder, then read what is still new."""
     table, path, _ = bronze_table(spark, sf_dir)
     low = spark.table(table).filter((F.col("rec.budget") < R.FLOOR) & (F.col("rec.lang") == "P"))
-    update_status(spark, table_at(spark, path, table.split(".")[0]), path, low, "quarantined")
+    update_status(spark, table_at(spark, path, table.split(".")[0]), low, "quarantined")
     return read_status(spark, table, "new").select("rec.id", INGEST_DATE)
 
 
@@ -592,19 +593,24 @@ def table_status_merge(spark, sf_dir):
     table, path, _ = bronze_table(spark, sf_dir)
     for status in ("loaded", "quarantined"):
         source = settled_source(spark, sf_dir).filter(F.col("status") == status)
-        update_status(spark, table, path, source, status)
+        update_status(spark, table, source, status)
     return spark.table(table).groupBy("status", INGEST_DATE).agg(F.count(F.lit(1)).alias("n"))
 
 
 @check(rec("select case when lang = 'P' then date '2024-01-01' else date '2024-01-02' end p_ingestdate, "
-           "count(*) n from rec group by 1"))
+           f"{STATUS_SQL} status, count(*) n from rec group by 1, 2"))
 def register_again(spark, sf_dir):
-    """Drop a table and register its folder under another name: the rows are the folder's."""
+    """After status changes, drop a table and register its folder under another name, and once more under
+    that one: the rows and their statuses are the folder's."""
     table, path, schema = bronze_table(spark, sf_dir)
+    for status in ("loaded", "quarantined"):
+        source = settled_source(spark, sf_dir).filter(F.col("status") == status)
+        update_status(spark, table, source, status)
     folder = location_of(spark, table_at(spark, path, table.split(".")[0]))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    register(spark, f"{table}_again", schema, folder, [INGEST_DATE])
-    return spark.sql(f"SELECT {INGEST_DATE}, count(*) AS n FROM {table}_again GROUP BY 1")
+    for _ in range(2):
+        register(spark, f"{table}_again", schema, folder, BRONZE_PARTS)
+    return spark.sql(f"SELECT {INGEST_DATE}, status, count(*) AS n FROM {table}_again GROUP BY 1, 2")
 
 
 # ---- whole runs, raw files to tables ---------------------------------------------------------
@@ -754,12 +760,13 @@ def run_twice_with_reset(spark, sf_dir):
 
 @check(
     movie(
-        f"""select case when {MOVIE_STRICT} then 'loaded' else 'quarantined' end status, d.p_ingestdate, count(*) n
+        f"""select case when {MOVIE_STRICT} or d.p_ingestdate = date '2024-01-01' then 'loaded' else 'quarantined' end status,
+  d.p_ingestdate, count(*) n
 from movie, (values (date '2024-01-01'), (date '2024-01-02')) d(p_ingestdate) group by 1, 2"""
     )
 )
 def run_same_records_again(spark, sf_dir):
-    """A second delivery of records already repaired: every copy follows the new one's outcome."""
+    """A second delivery of records already repaired: the first one's stay loaded, as silver has them."""
     where = {"root": shared_folder(spark, "again"), "database": database(spark)}
     for day in (1, 2):
         cfg = fresh(spark, sf_dir, day, **where)
@@ -770,6 +777,141 @@ def run_same_records_again(spark, sf_dir):
     return spark.table(cfg.table("bronze")).groupBy("status", INGEST_DATE).agg(F.count(F.lit(1)).alias("n"))
 
 
+def agreement(spark, cfg: Settings) -> DataFrame:
+    """Rows of each record: loaded in bronze, in silver, and in silver rebuilt."""
+
+    def count(rows, name):
+        return rows.groupBy("Id").agg(F.count(F.lit(1)).alias(name))
+
+    loaded = count(read_status(spark, cfg.table("bronze"), "loaded").select("movie.Id"), "n_loaded")
+    silver = spark.read.parquet(location_of(spark, cfg.table("silver")))
+    silver = count(silver.select("Id"), "n_silver")
+    rebuild_silver(spark, cfg)
+    rebuilt = count(spark.table(cfg.table("silver")).select("Id"), "n_rebuilt")
+    return loaded.join(silver, "Id", "full").join(rebuilt, "Id", "full").na.fill(0)
+
+
+TWICE_SQL = movie('select "Id", 2 * count(*) n_loaded, 2 * count(*) n_silver, 2 * count(*) n_rebuilt from movie group by 1')
+
+
+@check(TWICE_SQL)
+def run_repaired_then_delivered_again(spark, sf_dir):
+    """Records repaired on the first day come again on the second, and are repaired again."""
+    where = {"root": shared_folder(spark, "twice"), "database": database(spark)}
+    for day in (1, 2):
+        cfg = fresh(spark, sf_dir, day, **where)
+        raw_to_bronze(spark, cfg)
+        bronze_to_silver(spark, cfg)
+        repair_quarantined(spark, cfg)
+    return agreement(spark, cfg)
+
+
+@check(TWICE_SQL)
+def run_delivered_again_before_repair(spark, sf_dir):
+    """Records come again while the first ones are quarantined, and repair runs before the second load."""
+    where = {"root": shared_folder(spark, "early"), "database": database(spark)}
+    for day in (1, 2):
+        cfg = fresh(spark, sf_dir, day, **where)
+        raw_to_bronze(spark, cfg)
+        if day == 2:
+            repair_quarantined(spark, cfg)
+        bronze_to_silver(spark, cfg)
+    repair_quarantined(spark, cfg)
+    return agreement(spark, cfg)
+
+
+@check(movie(f"""select case when {MOVIE_STRICT} then 'loaded' else 'quarantined' end status, count(*) n,
+  max(s.n_silver) n_silver from movie, (select count(*) n_silver from movie where {MOVIE_STRICT}) s group by 1"""))
+def rerun_of_a_batch(spark, sf_dir):
+    """Both steps twice for one batch, as after a scheduler's retry: nothing is doubled."""
+    where = {"root": shared_folder(spark, "rerun"), "database": database(spark)}
+    cfg = fresh(spark, sf_dir, batch="one", **where)
+    raw_to_bronze(spark, cfg)
+    bronze_to_silver(spark, cfg)
+    raw_to_bronze(spark, cfg)
+    bronze_to_silver(spark, cfg)
+    bronze_to_silver(spark, cfg)
+    n_silver = spark.table(cfg.table("silver")).count()
+    bronze = spark.table(cfg.table("bronze")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return bronze.withColumn("n_silver", F.lit(n_silver).cast("long"))
+
+
+@check(movie("""select "Id", "Title" || '/' || "Id" as studio, 2 as n_keys from movie group by all"""))
+def unlisted_fields(spark, sf_dir):
+    """Raw files whose records carry a field beyond the listed ones, or two values of it: both are kept."""
+    cfg = fresh(spark, sf_dir, root=shared_folder(spark, "extra"), database=database(spark))
+
+    def write(folder):
+        value = F.concat_ws("/", F.col("movie.Title"), F.col("movie.Id"))
+        both = F.explode(F.array(value, F.lit("other"))).alias("studio")
+        rows = R.movies(spark, sf_dir).select("movie", both)
+        rows = rows.select(F.col("movie").withField("Studio", F.col("studio")).alias("movie"))
+        rows.select(F.array("movie").alias("movie")).write.json(folder)
+
+    cfg = replace(cfg, raw=R.written(spark, "raw-extra", sf_dir, write), multiline=False)
+    raw_to_bronze(spark, cfg)
+    rows = spark.table(cfg.table("bronze"))
+    rows = rows.select("movie.Id", "record_key", F.get_json_object("extra", "$.Studio").alias("studio"))
+    keys = rows.groupBy("Id").agg(F.count_distinct("record_key").cast("int").alias("n_keys"))
+    return rows.filter("studio <> 'other'").select("Id", "studio").distinct().join(keys, "Id")
+
+
+@check(movie('select "Id", count(*) n, count(*) n_keys from movie group by 1'))
+def incremental_raw(spark, sf_dir):
+    """Two sets of raw files, each a list of paths, in two runs: every record is counted once."""
+    where = {"root": shared_folder(spark, "sets"), "database": database(spark)}
+    files = raw_files(spark, R.documents(spark, sf_dir, "movie")).orderBy("path").select("path").collect()
+    paths = [row["path"] for row in files]
+    for day, some in ((1, paths[::2]), (2, paths[1::2])):
+        cfg = replace(fresh(spark, sf_dir, day, **where), raw=some)
+        raw_to_bronze(spark, cfg)
+    late = replace(cfg, modified_after="2999-01-01T00:00:00", batch="late")
+    raw_to_bronze(spark, late)  # no file is that new
+    rows = spark.table(cfg.table("bronze"))
+    return rows.groupBy("movie.Id").agg(F.count(F.lit(1)).alias("n"), F.count("record_key").alias("n_keys"))
+
+
+@check(movie("select 0 as n_rejects, count(*) n from movie"))
+def rejects_after_reset(spark, sf_dir):
+    """A broken file, then a reset with good ones: its reject is gone."""
+    cfg = fresh(spark, sf_dir, root=shared_folder(spark, "rejects"), database=database(spark))
+    broken = shared_folder(spark, "broken")
+    spark.range(1).select(F.lit('{"movie": [{"Id": 1')).write.text(broken)
+    raw_to_bronze(spark, replace(cfg, raw=broken))
+    assert spark.table(cfg.table("rejects")).count() == 1
+    raw_to_bronze(spark, cfg, reset=True)
+    n_rejects = spark.table(cfg.table("rejects")).count()
+    return spark.table(cfg.table("bronze")).agg(F.lit(n_rejects).alias("n_rejects"), F.count(F.lit(1)).alias("n"))
+
+
+@check(movie("select 1 n_rows, true starts, true in_bounds, 4000 most"))
+def raw_peek(spark, sf_dir):
+    """The first characters of the first raw file, and no more of it."""
+    rows = peek_raw(spark, R.documents(spark, sf_dir, "movie"), 4000)
+    starts = F.bool_and(F.col("value").startswith('{"movie": [')).alias("starts")
+    n = F.length("value")
+    return rows.agg(F.count(F.lit(1)).cast("int").alias("n_rows"), starts, F.bool_and((n > 100) & (n <= 4000)).alias("in_bounds"),
+                    F.lit(4000).alias("most"))
+
+
+@check(movie("select count(*) n, true one_time, true in_the_run, true same_day, true one_batch from movie"))
+def stamped_now(spark, sf_dir):
+    """Without a batch time the run's clock counts: one time for all rows, between its start and its end."""
+    cfg = replace(fresh(spark, sf_dir, root=shared_folder(spark, "now"), database=database(spark)), batch_ts=None)
+    clock = spark.range(1).select(F.current_timestamp().cast("double"))
+    start = clock.first()[0]
+    raw_to_bronze(spark, cfg)
+    end = spark.range(1).select(F.current_timestamp().cast("double")).first()[0]
+    time = F.col("ingesttime").cast("double")
+    return spark.table(cfg.table("bronze")).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count_distinct("ingesttime") == 1).alias("one_time"),
+        ((F.min(time) >= start) & (F.max(time) <= end)).alias("in_the_run"),
+        F.bool_and(F.col(INGEST_DATE) == F.to_date("ingesttime")).alias("same_day"),
+        (F.count_distinct("batch") == 1).alias("one_batch"),
+    )
+
+
 @check(
     movie(
         f"""select case when {MOVIE_STRICT} then "Budget" when "Budget" >= 1000000 then trunc("Budget")
@@ -783,7 +925,7 @@ def run_rebuilt_silver(spark, sf_dir):
     raw_to_bronze(spark, cfg)
     bronze_to_silver(spark, cfg)
     repair_quarantined(spark, cfg)
-    append_rows(spark.table(cfg.table("silver")), cfg.table("silver"), SILVER, cfg.path("silver"))
+    append_rows(spark.table(cfg.table("silver")), cfg.table("silver"), SILVER, cfg.path("silver"), SILVER_PARTS)
     rebuild_silver(spark, cfg)
     return movie_scalars(spark.table(cfg.table("silver")))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions import as_date, record_key
-from oreflow.schemas import INGEST_DATE, RECORD_KEY
+from oreflow.schemas import BATCH, EXTRA, INGEST_DATE, RECORD_KEY, STATUS, STEP
 from oreflow.settings import NEW
 
 
@@ -19,20 +19,38 @@ def explode_records(raw: DataFrame, array_col: str, alias: str) -> DataFrame:
 
 
 def stamp(
-    records: DataFrame, payload: str, datasource: str, batch_ts: dt.datetime | None = None
+    records: DataFrame,
+    payload: str,
+    datasource: str,
+    batch_ts: dt.datetime | None = None,
+    batch: str | None = None,
+    listed: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add source, ingest time, status ``new``, record key and ingest date.
+    """Add source, ingest time, status ``new``, record key, ingest date and batch.
 
-    Pass ``batch_ts`` to make a rerun give the same rows.
+    Pass ``batch_ts`` to make a rerun give the same rows; the batch is named after it if it has no name.
+    ``listed`` are the fields that the payload keeps. Fields beyond them go to ``extra`` as JSON text, null
+    if the record has none, and count for the record key.
     """
     now = F.current_timestamp() if batch_ts is None else F.lit(batch_ts.isoformat(" ")).cast("timestamp")
+    value, extra = F.col(payload), F.lit(None).cast("string")
+    fields = records.schema[payload].dataType.fieldNames()
+    more = [name for name in fields if listed is not None and name not in listed]
+    if more:
+        value = F.when(value.isNotNull(), F.struct(*[value[name].alias(name) for name in listed]))
+        extra = F.to_json(F.struct(*[F.col(payload)[name].alias(name) for name in more]))
+        extra = F.when(extra != "{}", extra)
+    name = F.date_format(now, "yyyyMMdd'T'HHmmss.SSSSSS") if batch is None else F.lit(batch)
     return records.select(
         F.lit(datasource).alias("datasource"),
         now.alias("ingesttime"),
-        payload,
-        F.lit(NEW).alias("status"),
+        value.alias(payload),
+        extra.alias(EXTRA),
         record_key(records, payload).alias(RECORD_KEY),
         F.to_date(now).alias(INGEST_DATE),
+        name.alias(BATCH),
+        F.lit(NEW).alias(STATUS),
+        F.lit("0").alias(STEP),
     )
 
 

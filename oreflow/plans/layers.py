@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.operators import (
     code_dimension,
@@ -24,9 +27,11 @@ from oreflow.operators import (
 from oreflow.operators import budget_only as budget_rule
 from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, clean, counts
 from oreflow.plans.counting import Counted
-from oreflow.plans.status import settle
+from oreflow.plans.status import at_status, settle
 from oreflow.schemas import (
+    BATCH,
     BRONZE,
+    BRONZE_PARTS,
     DATE_FIELDS,
     GENRE,
     INGEST_DATE,
@@ -34,17 +39,21 @@ from oreflow.schemas import (
     MOVIE,
     MOVIE_COLUMNS,
     MOVIE_GENRE,
-    RAW,
+    RECORD,
     RECORD_FIELDS,
     REJECTS,
     SILVER,
+    SILVER_PARTS,
+    STEP,
 )
 from oreflow.settings import LOADED, NEW, QUARANTINED, Settings
-from oreflow.sinks import append_rows, write_snapshot
-from oreflow.sources import read_json_batch, read_status, split_rejects
+from oreflow.sinks import append_rows, drop_partitions, table_exists, write_snapshot
+from oreflow.sources import read_json_batch, read_status, split_rejects, with_extra_fields
 from oreflow.sources.json_files import is_rejected
 
 PAYLOAD = "movie"
+# Appended to the name of a row's step when it is loaded from new, and when it is repaired.
+LOAD, REPAIR = "l", "r"
 
 
 def rules_of(cfg: Settings, prefix: str = "") -> list[Rule]:
@@ -56,21 +65,46 @@ def rules_of(cfg: Settings, prefix: str = "") -> list[Rule]:
     raise ValueError(f"rules must be 'strict' or 'budget_only', not {cfg.rules!r}")
 
 
-def flat(bronze: DataFrame) -> DataFrame:
-    return flatten(bronze, PAYLOAD, list(RECORD_FIELDS), DATE_FIELDS)
+def flat(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return flatten(bronze, PAYLOAD, list(RECORD_FIELDS), DATE_FIELDS, keep)
 
 
 def repaired(rows: DataFrame, cfg: Settings) -> DataFrame:
     return repair(rows, abs_cols=["RunTime"], floors={"Budget": cfg.floor}, whole_cols=["Budget"])
 
 
+def run_time(spark: SparkSession, cfg: Settings) -> dt.datetime:
+    """The one time of a run, in the session's time zone."""
+    if cfg.batch_ts is not None:
+        return cfg.batch_ts
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return dt.datetime.fromisoformat(spark.range(1).select(now).first()[0])
+
+
+def raw_schema(spark: SparkSession, cfg: Settings) -> T.StructType:
+    """The raw documents' schema: the listed fields of a record and then the others, as the settings ask for."""
+    if cfg.record is not None:
+        known = {name.lower() for name in RECORD_FIELDS}
+        record = T.StructType([*RECORD.fields, *[f for f in cfg.record.fields if f.name.lower() not in known]])
+    elif cfg.extra_fields == "keep":
+        record = with_extra_fields(spark, cfg.raw_path, PAYLOAD, RECORD, cfg.multiline, cfg.modified_after)
+    elif cfg.extra_fields == "ignore":
+        record = RECORD
+    else:
+        raise ValueError(f"extra_fields must be 'keep' or 'ignore', not {cfg.extra_fields!r}")
+    return T.StructType([T.StructField(PAYLOAD, T.ArrayType(record))])
+
+
 def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> dict:
-    """Append the raw folder's records to bronze; with ``reset``, replace bronze by them.
+    """Add the raw files' records to bronze as one batch; with ``reset``, replace all of bronze and its rejects.
 
-    Documents that cannot be read in full are counted on the way. Only if there are any does a
-    second pass write them to the rejects table.
+    A batch of the same name is replaced, so a run may be repeated. Documents that cannot be read in full are
+    counted on the way. Only if there are any, or their number did not arrive, does a second pass write
+    them to the rejects table.
     """
-    raw = read_json_batch(spark, cfg.raw_path, RAW, cfg.multiline)
+    now = run_time(spark, cfg)
+    batch = cfg.batch or now.strftime("%Y%m%dT%H%M%S.%f")
+    raw = read_json_batch(spark, cfg.raw_path, raw_schema(spark, cfg), cfg.multiline, cfg.modified_after)
     documents = Counted(
         raw,
         [
@@ -82,36 +116,60 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
     records = explode_records(documents.rows, PAYLOAD, PAYLOAD)
     if cfg.spread:
         records = records.hint("rebalance")
-    rows = stamp(records, PAYLOAD, cfg.datasource, cfg.batch_ts)
-    table, path = cfg.table("bronze"), cfg.path("bronze")
-    if reset:
-        write_snapshot(rows, table, BRONZE, path, [INGEST_DATE], one_value=True)
-    else:
-        append_rows(rows, table, BRONZE, path, [INGEST_DATE], one_value=True)
-    report = documents.counts()
-    if report["rejected"]:
-        rejects = split_rejects(raw, PAYLOAD)[1]
-        when = F.current_date() if cfg.batch_ts is None else F.lit(cfg.batch_ts.date())
-        append_rows(
-            rejects.withColumn(INGEST_DATE, when), cfg.table("rejects"), REJECTS, cfg.path("rejects")
-        )
+    rows = stamp(records, PAYLOAD, cfg.datasource, now, batch, list(RECORD_FIELDS))
+    _add_batch(rows, cfg, "bronze", BRONZE, BRONZE_PARTS, batch, reset)
+    silver = cfg.table("silver")
+    if table_exists(spark, silver):  # what an earlier run of this batch had loaded
+        drop_partitions(spark, silver, lambda part: part[BATCH] == batch)
+    report = documents.counts() or {"documents": None, "rejected": None, "records": None}
+    if report["rejected"] != 0 or table_exists(spark, cfg.table("rejects")):
+        rejects = split_rejects(raw, PAYLOAD)[1] if report["rejected"] != 0 else _none(spark, REJECTS)
+        rejects = rejects.withColumn(INGEST_DATE, F.lit(now.date())).withColumn(BATCH, F.lit(batch))
+        _add_batch(rejects, cfg, "rejects", REJECTS, [BATCH], batch, reset)
     return report
 
 
+def _none(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns)
+
+
+def _add_batch(
+    rows: DataFrame, cfg: Settings, layer: str, schema: T.StructType, parts: Sequence[str], batch: str, reset: bool
+) -> None:
+    spark, table = rows.sparkSession, cfg.table(layer)
+    if reset:
+        write_snapshot(rows, table, schema, cfg.path(layer), parts, one_value=True)
+        return
+    if table_exists(spark, table):
+        drop_partitions(spark, table, lambda part: part[BATCH] == batch)
+    append_rows(rows, table, schema, cfg.path(layer), parts, one_value=True)
+
+
+def _load(spark: SparkSession, cfg: Settings, rows: DataFrame, status: str, mark: str) -> None:
+    """Add rows to silver under the step that their records are about to take, instead of what is there of it."""
+    table = cfg.table("silver")
+    if table_exists(spark, table):
+        steps = {(part[BATCH], part[STEP] + mark) for part in at_status(spark, cfg.table("bronze"), status)}
+        drop_partitions(spark, table, lambda part: (part[BATCH], part[STEP]) in steps)
+    rows = rows.withColumn(STEP, F.concat(STEP, F.lit(mark)))
+    parts = [*SILVER_PARTS, *cfg.silver_partition_by]
+    append_rows(rows, table, SILVER, cfg.path("silver"), parts, one_value=not cfg.silver_partition_by)
+
+
 def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
-    """Append the clean rows among the new ones to silver, and settle every new row's status.
+    """Add the clean rows among the new ones to silver, and settle every new row's status.
 
-    Returns the counts by route, taken while the rows are written.
+    Returns the counts by route, taken while the rows are written. Both writes replace what a run that was
+    cut short left, so the step may be repeated.
     """
     rules = rules_of(cfg)
-    batch = Counted(flat(read_status(spark, cfg.table("bronze"), NEW)), counts(rules))
-    append_rows(
-        clean(batch.rows, rules), cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by
-    )
-    report = batch.counts()
+    batch = Counted(flat(read_status(spark, cfg.table("bronze"), NEW), SILVER_PARTS), counts(rules))
+    _load(spark, cfg, clean(batch.rows, rules), NEW, LOAD)
+    report = batch.counts() or {}
     route = verdict(rules_of(cfg, f"{PAYLOAD}."), cfg.unrouted)
     outcome = F.when(route == CLEAN, LOADED).when(route == QUARANTINE, QUARANTINED)
-    settle(spark, cfg.table("bronze"), cfg.path("bronze"), NEW, outcome)
+    settle(spark, cfg.table("bronze"), NEW, outcome, LOAD)
     return report
 
 
@@ -142,22 +200,19 @@ def build_marts(spark: SparkSession, cfg: Settings, language_names: DataFrame |
 def repair_quarantined(spark: SparkSession, cfg: Settings) -> int:
     """Repair the quarantined records, add them to silver and mark them loaded.
 
-    Returns how many records are still quarantined, which should be none.
+    Returns how many records are still quarantined, which should be none. May be repeated, as the load.
     """
     bronze = cfg.table("bronze")
-    fixed = repaired(flat(read_status(spark, bronze, QUARANTINED)), cfg)
-    append_rows(fixed, cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by)
-    settle(spark, bronze, cfg.path("bronze"), QUARANTINED, F.lit(LOADED))
+    fixed = repaired(flat(read_status(spark, bronze, QUARANTINED), SILVER_PARTS), cfg)
+    _load(spark, cfg, fixed, QUARANTINED, REPAIR)
+    settle(spark, bronze, QUARANTINED, F.lit(LOADED), REPAIR)
     return read_status(spark, bronze, QUARANTINED).count()
 
 
 def rebuild_silver(spark: SparkSession, cfg: Settings) -> None:
-    """Replace silver by what bronze says is loaded: clean records as they are, the others repaired.
-
-    For a clean restart, and after a driver was lost between the two writes of a step: rows whose
-    status had not been settled are left out, and the step then adds them once.
-    """
-    loaded = flat(read_status(spark, cfg.table("bronze"), LOADED))
+    """Replace silver by what bronze says is loaded: clean records as they are, the others repaired."""
+    loaded = flat(read_status(spark, cfg.table("bronze"), LOADED), SILVER_PARTS)
     good, rest = split(loaded, rules_of(cfg))
     rows = good.unionByName(repaired(rest, cfg))
-    write_snapshot(rows, cfg.table("silver"), SILVER, cfg.path("silver"), cfg.silver_partition_by)
+    parts = [*SILVER_PARTS, *cfg.silver_partition_by]
+    write_snapshot(rows, cfg.table("silver"), SILVER, cfg.path("silver"), parts)

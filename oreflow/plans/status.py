@@ -1,78 +1,81 @@
-"""Status changes of the bronze table: only the ingest dates that change are rewritten."""
+"""Status changes of the bronze table. Rows that change move to partitions of their own."""
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.operators import merge_status, one_per_key
-from oreflow.schemas import INGEST_DATE, RECORD_KEY
-from oreflow.sinks.tables import distinct_values, replace_partitions
+from oreflow.schemas import BRONZE_PARTS, RECORD_KEY, STATUS, STEP
+from oreflow.sinks.tables import drop_partitions, insert_rows, partitions
+
+
+def _place_column() -> Column:
+    """Where a row stands, from partition columns alone, so that a filter on it prunes."""
+    return F.concat_ws("/", *[F.col(c).cast("string") for c in BRONZE_PARTS])
+
+
+def _place(part: dict) -> str:
+    return "/".join(str(part[c]) for c in BRONZE_PARTS)
+
+
+def at_status(spark: SparkSession, table: str, status: str) -> list[dict]:
+    """The table's partitions that stand at a status. Reads the catalog only."""
+    return [part for part in partitions(spark, table) if part[STATUS] == status]
+
+
+def stale_places(table: DataFrame, source: DataFrame, status: str, key: str = RECORD_KEY) -> DataFrame:
+    """Partitions with a row that matches a source row and has another status.
+
+    The source is made one row per key by an aggregate whose partitions the join does not reuse, so the
+    table's side is shuffled once, unaggregated, and a hot key in it can be split.
+    """
+    stale = table.filter(F.col(STATUS) != status).select(key, _place_column().alias("place"))
+    return stale.join(one_per_key(source, key), key, "left_semi").select("place").distinct()
 
 
 def update_status(
-    spark: SparkSession, table: str, path: str, source: DataFrame, status: str, key: str = RECORD_KEY
+    spark: SparkSession, table: str, source: DataFrame, status: str, key: str = RECORD_KEY
 ) -> bool:
-    """Merge one status into the table for every row that matches a row of ``source``.
+    """Merge one status into the table for every row that matches a row of ``source``, all copies of it.
 
-    ``source`` is any DataFrame with the key column; it may be derived from the table itself. A
-    first, narrow pass over key, status and date finds the ingest dates that change. Returns whether
-    any did.
+    ``source`` is any DataFrame with the key column; it may be derived from the table itself. A first,
+    narrow pass finds the partitions that change; they alone are rewritten. Returns whether any did.
     """
-    keys = source.select(key).distinct()
-    stale = spark.table(table).filter(F.col("status") != status).select(key, INGEST_DATE).distinct()
-    dates = distinct_values(stale.join(keys, key, "left_semi"), INGEST_DATE)
-    if dates:
-        rows = spark.table(table).filter(F.col(INGEST_DATE).isin(dates))
-        merged = merge_status(rows, keys, key, status)
-        replace_partitions(merged, table, path, INGEST_DATE, dates, ["status"])
-    return bool(dates)
+    rows = spark.table(table)
+    places = [row[0] for row in stale_places(rows, source, status, key).collect()]
+    if places:
+        some = rows.filter(_place_column().isin(places))
+        merged = merge_status(some, source, key, status)
+        insert_rows(merged.withColumn(STEP, F.lit(f"u{uuid.uuid4().hex[:12]}")), table, BRONZE_PARTS)
+        drop_partitions(spark, table, lambda part: _place(part) in places)
+    return bool(places)
 
 
 def settle(
-    spark: SparkSession, table: str, path: str, from_status: str, outcome: Column, key: str = RECORD_KEY
+    spark: SparkSession, table: str, from_status: str, outcome: Column, mark: str, key: str = RECORD_KEY
 ) -> bool:
-    """Give every row whose record stands at ``from_status`` its outcome, and all its copies too.
+    """Give every row at ``from_status`` its outcome. Rows of other statuses are neither read nor changed.
 
-    The same result as merging the rows at ``from_status``, with ``outcome`` computed from each row's
-    payload, back into the table. As a copy's payload gives the same outcome, a row at
-    ``from_status`` needs no join to know it, and the payload is not shuffled. Only rows that stand
-    elsewhere and differ from their outcome are looked up by key, on the dates that have any. A null
-    outcome leaves the row as it is, and so does a null record, which has no key.
+    The rows are written as partitions of their batch's next step, whose name is the old one's and
+    ``mark``, and the old partitions go. What a run that was cut short left of that step is replaced, so
+    the step may be run again. A null outcome leaves a row's status as it is, and so does a null
+    record, which has no key. Nothing is shuffled.
     """
-    rows = spark.table(table).withColumn("outcome", outcome)
-    at_status, differs = F.col("status") == from_status, F.col("outcome") != F.col("status")
-    own = at_status & F.col(key).isNotNull()
-    elsewhere = rows.filter((F.col("status") != from_status) & differs)
-
-    # one narrow pass: as many rows come back as the table has ingest dates, at most twice
-    dates_of = rows.filter(own & differs).select(INGEST_DATE, F.lit(False).alias("elsewhere"))
-    dates_of = dates_of.union(elsewhere.select(INGEST_DATE, F.lit(True))).distinct().collect()
-    dates = {date for date, other in dates_of if not other}
-    suspects = sorted(date for date, other in dates_of if other)
-
-    def settled(some: DataFrame, applies: Column) -> DataFrame:
-        status = F.when(applies, F.coalesce("outcome", "status")).otherwise(F.col("status"))
-        return some.withColumn("status", status).select(*spark.table(table).columns)
-
-    def on(days) -> DataFrame:
-        return rows.filter(F.col(INGEST_DATE).isin(sorted(days)))
-
-    parts, copied = [], set()
-    if suspects:
-        keys = spark.table(table).filter(own).select(key).distinct()
-        lookups = elsewhere.filter(F.col(INGEST_DATE).isin(suspects)).select(key, INGEST_DATE).distinct()
-        copies = lookups.join(keys, key, "left_semi")
-        copied = set(distinct_values(copies, INGEST_DATE))
-    if copied:
-        found = one_per_key(copies, key).withColumn("copied", F.lit(True))
-        parts.append(settled(on(copied).join(found, key, "left"), own | F.coalesce("copied", F.lit(False))))
-    if dates - copied:
-        parts.append(settled(on(dates - copied), own))
-    if not parts:
+    rows = spark.table(table).filter(F.col(STATUS) == from_status)
+    decided = F.coalesce((outcome != from_status) & F.col(key).isNotNull(), F.lit(False))
+    places = {row[0] for row in rows.filter(decided).select(_place_column().alias("place")).distinct().collect()}
+    if not places:
         return False
-    rows_now, dates_now = reduce(DataFrame.union, parts), sorted(dates | copied)
-    replace_partitions(rows_now, table, path, INGEST_DATE, dates_now, ["status"])
+    moved = [part for part in at_status(spark, table, from_status) if _place(part) in places]
+    steps = {(part["batch"], part[STEP] + mark) for part in moved}
+    drop_partitions(spark, table, lambda part: (part["batch"], part[STEP]) in steps)
+    # its tasks read one batch each, mostly, and write a file for each status: no shuffle is needed
+    status = F.when(decided, outcome).otherwise(F.col(STATUS))
+    settled = rows.filter(_place_column().isin(sorted(places))).withColumn("settled", status)
+    settled = settled.withColumn(STATUS, F.col("settled")).withColumn(STEP, F.concat(STEP, F.lit(mark)))
+    insert_rows(settled.drop("settled"), table, BRONZE_PARTS, one_value=True)
+    drop_partitions(spark, table, lambda part: _place(part) in places)
     return True

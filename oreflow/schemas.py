@@ -42,6 +42,11 @@ CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
 RECORD_KEY = "record_key"
 INGEST_DATE = "p_ingestdate"
+# Bronze is partitioned by day, batch, load status and step: the steps a row has gone through, so that
+# every step writes partitions of its own and can be run again.
+BATCH, STATUS, STEP, EXTRA = "batch", "status", "step", "extra"
+BRONZE_PARTS = (INGEST_DATE, BATCH, STATUS, STEP)
+SILVER_PARTS = (BATCH, STEP)
 
 
 def struct(**fields: T.DataType) -> T.StructType:
@@ -54,14 +59,19 @@ def flat_type(name: str, kind: T.DataType, date_fields=DATE_FIELDS) -> T.DataTyp
 
 RECORD = struct(**RECORD_FIELDS)
 RAW = struct(movie=T.ArrayType(RECORD))
-SILVER = struct(**{name: flat_type(name, kind) for name, kind in RECORD_FIELDS.items()})
+SILVER = struct(
+    **{name: flat_type(name, kind) for name, kind in RECORD_FIELDS.items()},
+    batch=T.StringType(),
+    step=T.StringType(),
+)
 MOVIE = struct(**{name: SILVER[name].dataType for name in MOVIE_COLUMNS})
 GENRE = struct(id=T.LongType(), name=T.StringType())
 LANGUAGE = struct(code=T.StringType(), name=T.StringType())
 MOVIE_GENRE = struct(movie_id=T.LongType(), genres_id=T.LongType())
 REJECTS = struct(
-    source_file=T.StringType(), reason=T.StringType(), record=T.StringType(), p_ingestdate=T.DateType()
-)
+    source_file=T.StringType(), reason=T.StringType(), record=T.StringType(), p_ingestdate=T.DateType(),
+    batch=T.StringType(),
+)
 
 
 def bronze_of(payload: str, record: T.StructType) -> T.StructType:
@@ -71,9 +81,12 @@ def bronze_of(payload: str, record: T.StructType) -> T.StructType:
             T.StructField("datasource", T.StringType(), False),
             T.StructField("ingesttime", T.TimestampType(), False),
             T.StructField(payload, record, True),
-            T.StructField("status", T.StringType(), False),
+            T.StructField(EXTRA, T.StringType(), True),
             T.StructField(RECORD_KEY, T.BinaryType(), True),
             T.StructField(INGEST_DATE, T.DateType(), False),
+            T.StructField(BATCH, T.StringType(), False),
+            T.StructField(STATUS, T.StringType(), False),
+            T.StructField(STEP, T.StringType(), False),
         ]
     )
 

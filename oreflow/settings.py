@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 # Record statuses, the budget floor and the table names users query.
 NEW, LOADED, QUARANTINED = "new", "loaded", "quarantined"
@@ -31,12 +32,22 @@ class Settings:
     value is null: ``quarantine`` them or ``keep`` them as they are. ``spread`` shares the records of
     few or uneven raw files out over the cluster after parsing, for one shuffle of the batch; files
     that are many and alike do better without.
+
+    ``raw`` is a folder or a list of paths, of which only files changed after ``modified_after`` are read.
+    ``batch`` names the run's batch; a run of the same batch replaces it. Without a name it is called after
+    the batch's time. ``extra_fields`` says what becomes of raw fields that are not listed: ``keep`` finds
+    them by a pass over the raw files, ``ignore`` saves that pass for feeds known to have none. ``record``, the
+    type of a raw record, names them without a pass.
     """
 
     root: str
     datasource: str
     database: str = "default"
-    raw: str | None = None
+    raw: str | Sequence[str] | None = None
+    modified_after: str | None = None
+    batch: str | None = None
+    extra_fields: str = "keep"
+    record: T.StructType | None = None
     multiline: bool = True
     spread: bool = False
     floor: float = BUDGET_FLOOR
@@ -47,7 +58,7 @@ class Settings:
     tables: dict[str, str] = field(default_factory=lambda: dict(TABLES))
 
     @property
-    def raw_path(self) -> str:
+    def raw_path(self) -> str | Sequence[str]:
         return self.raw or f"{self.root}/raw"
 
     def table(self, layer: str) -> str:
@@ -58,10 +69,6 @@ class Settings:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name under the cluster's shared folder, ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+    """A new folder name in the folder all executors share: ``spark.checkpoint.dir``, else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/oreflow/{label}-{uuid.uuid4().hex}"

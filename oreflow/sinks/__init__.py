@@ -1,6 +1,10 @@
 from oreflow.sinks.tables import (
     append_rows,
     batch_writer,
+    drop_partitions,
+    free_unused,
+    insert_rows,
+    partitions,
     register,
     replace_partitions,
     table_exists,
@@ -8,5 +12,6 @@ from oreflow.sinks.tables import (
 )
 
 __all__ = [
-    "append_rows", "batch_writer", "register", "replace_partitions", "table_exists", "write_snapshot",
+    "append_rows", "batch_writer", "drop_partitions", "free_unused", "insert_rows", "partitions", "register",
+    "replace_partitions", "table_exists", "write_snapshot",
 ]

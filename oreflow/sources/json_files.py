@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreflow.functions.files import read_start
 from oreflow.schemas import CORRUPT, SOURCE_FILE
 
 
@@ -16,14 +19,17 @@ def read_json_batch(
     paths: str | Sequence[str],
     schema: T.StructType | None = None,
     multiline: bool = True,
+    modified_after: str | None = None,
 ) -> DataFrame:
-    """Read a folder, or a list of paths, of JSON documents.
+    """Read a folder, or a list of paths, of JSON documents; of them, the files changed after a time.
 
     With a schema the files are read once; without one Spark makes an extra pass to infer it. A
     multi-line document cannot be split, so each file is one task: keep files moderate, or write
     JSON Lines and pass ``multiline=False``, which Spark splits freely.
     """
     reader = spark.read.option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
     if schema is not None:
         if CORRUPT not in schema.fieldNames():
             schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -32,6 +38,33 @@ def read_json_batch(
     return reader.json(paths).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
+def with_extra_fields(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    array_col: str,
+    listed: T.StructType,
+    multiline: bool = True,
+    modified_after: str | None = None,
+) -> T.StructType:
+    """The listed record type and, after it, the fields that records in the files have beyond it.
+
+    One pass over the files, as for any inferred schema. Names that differ by case alone are refused, as
+    Spark could not tell them apart.
+    """
+    try:
+        found = read_json_batch(spark, paths, None, multiline, modified_after).schema
+    except AnalysisException as nothing:
+        if nothing.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return listed
+    kind = next((f.dataType for f in found.fields if f.name == array_col), None)
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+        return listed
+    known = {name.lower() for name in listed.fieldNames()}
+    more = {f.name.lower(): f for f in kind.elementType.fields if f.name.lower() not in known}
+    return T.StructType([*listed.fields, *more.values()])
+
+
 def is_rejected(array_col: str) -> Column:
     """A document of which nothing, or not everything, could be read.
 
@@ -63,8 +96,9 @@ def raw_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def peek_raw(spark: SparkSession, path: str, n: int = 65536) -> DataFrame:
-    """The first ``n`` characters of the first raw file."""
+    """The first ``n`` characters of the first raw file, of which no more than that is read."""
     first = raw_files(spark, path).agg(F.min("path")).first()[0]
     if first is None:
         raise FileNotFoundError(f"no files under {path}")
-    return spark.read.text(first, wholetext=True).select(F.substring("value", 1, n).alias("value"))
+    text = codecs.getincrementaldecoder("utf-8")("replace").decode(read_start(spark, first, 4 * n))
+    return spark.range(1).select(F.lit(text[:n]).alias("value"))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def read_status(spark: SparkSession, table: str, status: str) -> DataFrame:
-    """Rows of a table that stand at the given load status."""
+    """Rows of a table that stand at the given load status, read from that status's partitions alone."""
     return spark.table(table).filter(F.col("status") == status)
 
 
@@ -19,8 +19,16 @@ def read_location(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def location_of(spark: SparkSession, table: str) -> str:
     """The folder a table is registered at."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
-    return rows.first()["data_type"]
+    found = location_if_any(spark, table)
+    if found is None:
+        raise LookupError(f"{table} has no folder")
+    return found
+
+
+def location_if_any(spark: SparkSession, table: str) -> str | None:
+    """The folder a table is registered at; none for a view."""
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return row and row["data_type"]
 
 
 def _bare(path: str) -> str:
@@ -36,6 +44,7 @@ def table_at(spark: SparkSession, path: str, database: str = "default") -> str:
     """
     for entry in spark.catalog.listTables(database):
         name = f"{database}.{entry.name}"
-        if not entry.isTemporary and f"{_bare(location_of(spark, name))}/".startswith(f"{_bare(path)}/"):
+        place = None if entry.isTemporary or entry.tableType == "VIEW" else location_if_any(spark, name)
+        if place is not None and f"{_bare(place)}/".startswith(f"{_bare(path)}/"):
             return name
     raise LookupError(f"no table of {database} is registered under {path}")

@@ -54,7 +54,7 @@ def test_stamp_gives_the_bronze_schema(spark):
     stamped = stamp(rows, "movie", "here")
     assert shape(stamped.schema) == shape(BRONZE)
     nullable = {f.name: f.nullable for f in stamped.schema}
-    assert [c for c, n in nullable.items() if n] == ["movie", "record_key"]
+    assert [c for c, n in nullable.items() if n] == ["movie", "extra", "record_key"]
 
 
 def test_stamp_is_repeatable_with_a_batch_time(spark):

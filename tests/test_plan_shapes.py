@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 import oreflow.plans.status as status_plans
 from oreflow.operators import dimension, flatten, junction, merge_status, split, stamp, strict
-from oreflow.plans import settle
-from oreflow.schemas import INGEST_DATE, bronze_of, struct
+from oreflow.plans import settle, update_status
+from oreflow.plans.status import stale_places
+from oreflow.schemas import BRONZE_PARTS, bronze_of, struct
 from oreflow.sinks import append_rows, batch_writer, write_snapshot
 
 RECORD = struct(
@@ -56,7 +57,7 @@ def bronze(spark, database, tmp_path):
     schema = bronze_of("movie", RECORD)
     for day in (1, 2):
         rows = stamp(movies(spark, 40 * day), "movie", "here", dt.datetime(2024, 1, day))
-        append_rows(rows, table, schema, path, [INGEST_DATE], one_value=True)
+        append_rows(rows, table, schema, path, BRONZE_PARTS, one_value=True)
     return table, path
 
 
@@ -83,25 +84,53 @@ def test_stamping_and_ingest_do_not_shuffle(spark):
 
 
 def test_settling_a_batch_moves_no_payload(spark, bronze, monkeypatch):
-    table, path = bronze
+    table, _ = bronze
     written = []
-    real = status_plans.replace_partitions
+    real = status_plans.insert_rows
 
-    def spy(df, *args):
-        written.append((plan(df), args[3]))
-        real(df, *args)
+    def spy(df, *args, **kwargs):
+        written.append(plan(df))
+        real(df, *args, **kwargs)
 
-    monkeypatch.setattr(status_plans, "replace_partitions", spy)
-    day_two = spark.table(table).filter("p_ingestdate = date '2024-01-02'")
+    monkeypatch.setattr(status_plans, "insert_rows", spy)
     outcome = F.when(F.col("movie.Budget") >= 1e6, "loaded").otherwise("quarantined")
-    assert settle(spark, table, path, "new", outcome)
-    text, dates = written.pop()
-    assert "Exchange" not in text and "Join" not in text and len(dates) == 2
-    assert day_two.filter("status = 'new'").count() == 0
+    assert settle(spark, table, "new", outcome, "l")
+    text = written.pop()
+    assert "Exchange" not in text and "Join" not in text
+    assert spark.table(table).filter("status = 'new'").count() == 0
 
 
-def test_a_status_read_is_pushed_down(spark, bronze):
-    assert "EqualTo(status,new)" in plan(spark.table(bronze[0]).filter("status = 'new'").select("record_key"))
+def test_a_status_read_opens_only_that_status(spark, bronze):
+    text = plan(spark.table(bronze[0]).filter("status = 'new'").select("record_key"))
+    assert re.search(r"PartitionFilters: \[[^\]]*\(status#\d+ = new\)", text)
+
+
+def test_the_look_up_shuffles_the_table_once_and_splits_a_hot_key(spark):
+    with conf(spark, **SKEW):
+        rows = stamp(movies(spark, 20000, hot=10000).repartition(8), "movie", "here", dt.datetime(2024, 1, 1))
+        # copies compress to nothing in a shuffle, so their places tell them apart
+        rows = rows.withColumn("batch", F.sha2((F.monotonically_increasing_id() % 5000).cast("string"), 512))
+        places = stale_places(rows, rows.filter("movie.Id >= 19999"), "loaded")
+        found = places.collect()
+        assert 1 < len(found) <= 5000
+        text = plan(places).split("Initial Plan")[0]
+        assert "SortMergeJoin(skew=true)" in text and text.count("LeftSemi") == 1
+
+
+def test_a_merge_writes_few_files_a_partition(spark, database, tmp_path):
+    table, path = f"{database}.bronze", str(tmp_path / "bronze")
+    schema = bronze_of("movie", RECORD)
+    for day in range(1, 7):
+        rows = stamp(movies(spark, 200).coalesce(1), "movie", "here", dt.datetime(2024, 1, day))
+        append_rows(rows, table, schema, path, BRONZE_PARTS, one_value=True)
+    options = dict(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+                   spark__sql__shuffle__partitions="16")
+    with conf(spark, **options):
+        source = spark.table(table).filter("movie.Id % 2 = 0").select("record_key").distinct()
+        assert update_status(spark, table, source, "loaded")
+    found = spark.table(table)
+    assert {r[0]: r[1] for r in found.groupBy("status").count().collect()} == {"loaded": 600, "new": 600}
+    assert len(found.inputFiles()) <= 6 * 2 * 3
 
 
 SKEW = dict(

