@@ -179,7 +179,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     kind = docs.schema[key].dataType
     columns = [T.StructField(c, t) for c, t in COLUMNS.items()]
-    result = T.StructType([T.StructField("key", kind), *columns])
+    result = T.StructType([T.StructField("key", T.StringType()), *columns])
     edges = [("part", T.LongType()), ("first", T.StringType()), ("last", T.StringType())]
     schema = T.StructType([*result.fields, *[T.StructField(c, t) for c, t in edges]])
 
@@ -208,8 +208,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for b in batches:
             yield _compared(*(b[c].tolist() for c in ("key", "last", "next_text", "next_print", "fingerprint")))
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    rows = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # the key travels as text: among nulls, pandas would make it a number with a fraction
+    rows = docs.select(F.col(key).alias("place"), F.col(text).cast("string").alias("text"))
+    rows = rows.repartitionByRange("place").sortWithinPartitions("place", "text")
+    rows = rows.select(F.col("place").cast("string").alias("key"), "text")
     rows = written(rows.mapInPandas(within, schema), "fingerprints")
     firsts = rows.filter("first IS NOT NULL").select(
         F.col("part").alias("next_part"), F.col("first").alias("next_text"), F.col("fingerprint").alias("next_print")
@@ -219,4 +221,5 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     parts = parts.withColumn("next_part", follows)
     lasts = rows.filter("last IS NOT NULL").select("key", "part", "last", "fingerprint")
     lasts = lasts.join(parts, "part").join(firsts, "next_part").mapInPandas(across, result)
-    return rows.filter("last IS NULL").select(*result.fieldNames()).unionByName(lasts).withColumnRenamed("key", key)
+    whole = rows.filter("last IS NULL").select(*result.fieldNames()).unionByName(lasts)
+    return whole.select(F.col("key").cast(kind).alias(key), *COLUMNS)

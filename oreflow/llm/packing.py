@@ -175,22 +175,20 @@ COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
 
 
 def _frame(rows: list[tuple], key: str) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=[key, *COLUMNS])
-    frame["sequence_id"] = frame["sequence_id"].astype("Int64")
-    if key in frame and frame[key].isna().any():
-        frame[key] = frame[key].astype("Int64") if frame[key].dtype.kind == "f" else frame[key]
-    return frame
+    """Columns of Python values: with a missing one among them, pandas would make numbers inexact."""
+    columns = zip([key, *COLUMNS], zip(*rows, strict=True), strict=True)
+    return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in columns})
 
 
-def _merger(key: str, length: int, level: int, final: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _merger(key: str, schema: pa.Schema, length: int, level: int, final: bool) -> Callable[[pa.Table], pa.Table]:
     """Lays the open windows of a group end to end and cuts them. What is over goes up a level, or is the last."""
 
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["part", "turn"], kind="stable")
-        group = int(frame["part"].iloc[0]) // MERGED
-        keys = frame[key].astype(object).where(frame[key].notna(), None)
+    def merge(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("part", "ascending"), ("turn", "ascending")])
+        group = table["part"][0].as_py() // MERGED
+        columns = [table[c].to_pylist() for c in (key, "start", "ids", "doc_tokens")]
         cut, fill, number = [], 0, level << 58 | group << 34
-        for doc, start, ids, total in zip(keys, frame["start"], frame["ids"], frame["doc_tokens"], strict=True):
+        for doc, start, ids, total in zip(*columns, strict=True):
             at, n = 0, len(ids) // ID_BYTES
             while at < n:
                 take = min(n - at, length - fill)
@@ -200,7 +198,8 @@ def _merger(key: str, length: int, level: int, final: bool) -> Callable[[pd.Data
                     number, fill = number + 1, 0
         if not final:
             cut = [(None if fill and s == number else s, offset, piece) for s, offset, piece in cut]
-        return pd.concat(list(_rows(cut, group, key, max(1, len(cut)))))
+        frame = pd.concat(list(_rows(cut, group, key, max(1, len(cut)))))
+        return pa.Table.from_pandas(frame, schema, preserve_index=False)
 
     return merge
 
@@ -247,8 +246,8 @@ def pack(
     while parts >= 0:
         groups = -(-(parts + 1) // MERGED)
         grouped = open_.groupBy(F.floor(F.col("part") / MERGED).alias("grp"))
-        merge = _merger(key, length, level, final=groups == 1)
-        merged = written(grouped.applyInPandas(merge, schema), "packed")
+        merge = _merger(key, arrow, length, level, final=groups == 1)
+        merged = written(grouped.applyInArrow(merge, schema), "packed")
         done.append(merged.filter("sequence_id IS NOT NULL"))
         open_, parts, level = merged.filter("sequence_id IS NULL"), groups - 1 if groups > 1 else -1, level + 1
     return reduce(DataFrame.unionByName, done).drop("ids", "part", "turn")
