@@ -1,8 +1,9 @@
 """Times the library's steps on one data folder and prints one JSON line.
 
 BENCH_SF_DIR names the folder, BENCH_CPUS the number of cores, BENCH_RUNS how often each step runs;
-the median counts. Inputs (raw files, bronze) are written before the clock starts. With
-BENCH_EVENT_LOG, a folder, the bytes each step shuffles are added from Spark's event log.
+the median counts. Inputs (raw files, bronze) are written before the clock starts. The bytes each step
+shuffles and the rows it writes come from Spark's event log, in BENCH_EVENT_LOG or a temporary folder.
+Two steps load the same small batch after 3 and after 30 days of settled history: they should take alike.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from collections import Counter
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +29,10 @@ from oreflow import Settings  # noqa: E402
 from oreflow.operators import explode_records, profile, stamp, strict  # noqa: E402
 from oreflow.plans import bronze_to_silver, build_marts, raw_to_bronze, repair_quarantined  # noqa: E402
 from oreflow.plans.layers import flat  # noqa: E402
-from oreflow.schemas import RAW  # noqa: E402
+from oreflow.schemas import BRONZE, BRONZE_PARTS, RAW  # noqa: E402
 from oreflow.settings import shared_folder  # noqa: E402
-from oreflow.sources import read_json_batch  # noqa: E402
+from oreflow.sinks import append_rows  # noqa: E402
+from oreflow.sources import raw_files, read_json_batch  # noqa: E402
 
 QUERIES = [
     "clean_strict", "quarantine_strict", "route_counts", "profile_counts", "struct_key_merge",
@@ -53,11 +57,10 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
     )
-    log_dir = os.environ.get("BENCH_EVENT_LOG")
-    if log_dir:
-        log = {"enabled": "true", "dir": log_dir, "rolling.enabled": "false", "compress": "false"}
-        for key, value in log.items():
-            builder = builder.config(f"spark.eventLog.{key}", value)
+    log_dir = os.environ.get("BENCH_EVENT_LOG") or tempfile.mkdtemp(prefix="oreflow-bench-")
+    log = {"enabled": "true", "dir": log_dir, "rolling.enabled": "false", "compress": "false"}
+    for key, value in log.items():
+        builder = builder.config(f"spark.eventLog.{key}", value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -108,6 +111,22 @@ def main() -> None:
         clock("run_repair", lambda: repair_quarantined(spark, cfg))
         assert spark.table(cfg.table("bronze")).filter(F.col("status") == "loaded").count() == n_records
 
+    files = [row["path"] for row in raw_files(spark, raw_path).orderBy("path").limit(4).collect()]
+    for days in (3, 30):
+        cfg = Settings(
+            root=shared_folder(spark, "history"), raw=files[:3], datasource="orders", database=Q.database(spark),
+        )
+        history(spark, cfg, days)
+        for attempt in range(runs + 1):
+            new = replace(cfg, raw=files[3:], batch_ts=dt.datetime(2024, 3, 1, attempt))
+
+            def load(new=new):
+                raw_to_bronze(spark, new)
+                bronze_to_silver(spark, new)
+
+            clock(f"run_new_batch_after_{days}_days", load)
+        taken[f"run_new_batch_after_{days}_days"].pop(0)
+
     medians = {name: round(statistics.median(times), 4) for name, times in taken.items()}
     result = {
         "metric": "total seconds, median per step",
@@ -121,25 +140,38 @@ def main() -> None:
     }
     app = spark.sparkContext.applicationId
     spark.stop()
-    if log_dir:
-        times = {n: runs + 1 if n.startswith("run_") else runs for n in medians}
-        moved = shuffled(f"{log_dir}/{app}")
-        result["shuffle_bytes"] = {n: moved.get(n, 0) // times[n] for n in medians}
+    times = {n: runs + 1 if n.startswith("run_") else runs for n in medians}
+    moved, rows = moved_by_step(f"{log_dir}/{app}")
+    result["shuffle_bytes"] = {n: moved.get(n, 0) // times[n] for n in medians}
+    result["rows_written"] = {n: rows.get(n, 0) // times[n] for n in medians}
     print(json.dumps(result))
 
 
-def shuffled(log: str) -> Counter:
-    """Shuffle bytes written per job description."""
-    step_of, moved = {}, Counter()
+def history(spark, cfg: Settings, days: int) -> None:
+    """Bronze with that many days of settled batches, written at once."""
+    raw = read_json_batch(spark, cfg.raw_path, RAW)
+    rows = stamp(explode_records(raw, "movie", "movie"), "movie", "orders", dt.datetime(2024, 1, 1), "day")
+    day = F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("day")
+    rows = rows.select("*", day).withColumn("p_ingestdate", F.date_add("p_ingestdate", F.col("day")))
+    rows = rows.withColumn("batch", F.concat("batch", F.col("day").cast("string"))).withColumn("step", F.lit("0l"))
+    status = F.when(F.col("movie.Budget") >= 1e6, "loaded").otherwise("quarantined")
+    rows = rows.withColumn("status", status).drop("day")
+    append_rows(rows, cfg.table("bronze"), BRONZE, cfg.path("bronze"), BRONZE_PARTS)
+
+
+def moved_by_step(log: str) -> tuple[Counter, Counter]:
+    """Shuffle bytes and rows written per job description."""
+    step_of, moved, rows = {}, Counter(), Counter()
     with open(log) as events:
         for event in map(json.loads, events):
             if event["Event"] == "SparkListenerJobStart":
                 name = event["Properties"].get("spark.job.description")
                 step_of.update(dict.fromkeys(event["Stage IDs"], name))
             elif event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
-                written = event["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
-                moved[step_of.get(event["Stage ID"])] += written
-    return moved
+                metrics, step = event["Task Metrics"], step_of.get(event["Stage ID"])
+                moved[step] += metrics["Shuffle Write Metrics"]["Shuffle Bytes Written"]
+                rows[step] += metrics["Output Metrics"]["Records Written"]
+    return moved, rows
 
 
 if __name__ == "__main__":

@@ -492,6 +492,7 @@ left join (select o_orderstatus code, min(o_orderpriority) as name from orders
     )
 )
 def language_names(spark, sf_dir):
+    """Names from a table that lacks one code on purpose: that code stays, without a name."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderstatus <> 'P'")
     names = orders.groupBy(F.col("o_orderstatus").alias("code")).agg(F.min("o_orderpriority").alias("name"))
     return code_dimension(clean_side(spark, sf_dir), "lang", names)
