@@ -28,10 +28,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from oreflow.llm.common import written
 
-# A worker keeps the ids of at most twice so many words, and word stems, between batches.
-CACHED_WORDS = 400_000
-# Documents whose ids are laid out together.
-TOGETHER = 1_000
+# A worker keeps the ids of at most twice so many words, without their signs, between batches.
+CACHED_WORDS = 300_000
+# Bytes of text whose words are looked up together, and documents whose ids are laid out together.
+AT_ONCE, TOGETHER = 16 << 20, 1_000
 # Letters whose lower case is one letter, and signs that follow a word. Such words are tokenized in two parts.
 _PARTS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|]*)")
 # Partitions, or groups of them, whose open windows are merged by one task.
@@ -76,7 +76,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._parts, self._words = Cache(self._encode), Cache(self._join)
+        self._parts = Cache(self._encode)
 
     @classmethod
     def at(cls, path: str) -> WordIds:
@@ -98,9 +98,18 @@ class WordIds:
 
     def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Unsigned 32-bit ids of every text; null counts as empty."""
+        filled = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            before = filled[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(filled, before + AT_ONCE, "right")))
+            yield from self._of(texts.slice(at, end - at))
+            at = end
+
+    def _of(self, texts: pa.Array) -> Iterator[np.ndarray]:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
-        words = self._words(coded.dictionary.to_pylist())
+        words = self._join(coded.dictionary.to_pylist())
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
         pool = np.frombuffer(b"".join(words), "<u4")
         sizes = np.array([len(ids) // ID_BYTES for ids in words], np.int64)
