@@ -100,7 +100,7 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
 
     A batch of the same name is replaced, so a run may be repeated. Documents that cannot be read in full are
     counted on the way. Only if there are any, or their number did not arrive, does a second pass write
-    them to the rejects table.
+    them to the rejects table. Records whose number did not arrive are counted in bronze.
     """
     now = run_time(spark, cfg)
     batch = cfg.batch or now.strftime("%Y%m%dT%H%M%S.%f")
@@ -121,7 +121,10 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
     silver = cfg.table("silver")
     if table_exists(spark, silver):  # what an earlier run of this batch had loaded
         drop_partitions(spark, silver, lambda part: part[BATCH] == batch)
-    report = documents.counts() or {"documents": None, "rejected": None, "records": None}
+    report = documents.counts()
+    if report is None:  # what is known without reading the input again
+        written = spark.table(cfg.table("bronze")).filter(F.col(BATCH) == batch).count()
+        report = {"documents": None, "rejected": None, "records": written}
     if report["rejected"] != 0 or table_exists(spark, cfg.table("rejects")):
         rejects = split_rejects(raw, PAYLOAD)[1] if report["rejected"] != 0 else _none(spark, REJECTS)
         rejects = rejects.withColumn(INGEST_DATE, F.lit(now.date())).withColumn(BATCH, F.lit(batch))

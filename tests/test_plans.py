@@ -320,6 +320,15 @@ def test_broken_files_are_reported_once_per_batch(run, spark):
     assert set(run.statuses()) == {(1, "new"), (8, "new"), (9, "new")}
 
 
+def test_a_run_whose_counts_do_not_arrive(run, spark, monkeypatch):
+    monkeypatch.setattr(Counted, "counts", lambda self: None)
+    report = run.ingest([GOOD, CHEAP], '{"movie": [{"Id": 7, "Bud')
+    assert report == {"documents": None, "rejected": None, "records": 2}
+    assert run.table("rejects").count() == 1
+    assert bronze_to_silver(spark, run.cfg) == {}
+    assert run.statuses() == {(1, "loaded"): 1, (3, "quarantined"): 1}
+
+
 def test_json_lines_run(run, spark):
     lines = "\n".join(json.dumps({"movie": [movie]}) for movie in (GOOD, CHEAP)) + '\n{"movie": [{"Id":'
     report = run.ingest(lines, multiline=False)
