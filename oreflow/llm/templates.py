@@ -33,10 +33,12 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 ASIDE = frozenset(
-    "aside button canvas dialog footer form frameset head header iframe input label-list menu nav noscript object "
+    "aside button canvas dialog footer form frameset head header iframe input menu nav noscript object "
     "option script select style svg template textarea title".split()
 )
 MAIN = frozenset(["article", "main"])
+# Elements that end an open one of their kind, as their end tags may be left out.
+UNCLOSED = frozenset("p li dt dd tr td th option".split())
 ASIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|contentinfo|consent|cookies?|disqus|"
     r"footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|paywall|popup|promo\w*|"
@@ -45,11 +47,15 @@ ASIDE_NAMES = re.compile(
     re.I,
 )
 
+# A comment, a script or style with its text, a tag, a tag with a quote left open, a declaration, text.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>?"
+    r"|<[!?][^>]*>|[^<]+|<",
     re.S | re.I,
 )
+# Paths of more letters than this, of elements nested without end, are cut to a hash.
+LONG_PATH = 500
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
@@ -72,7 +78,7 @@ def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
             yield path, text, False if aside else (True if inside else None)
 
     for token in _TOKEN.finditer(html or ""):
-        piece, name = token[0], token[3]
+        piece, name = token[0], token[3] or token[6]
         if name is None:
             if piece[0] != "<" or piece == "<":
                 block.append(piece)
@@ -83,7 +89,7 @@ def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
                 block.append(" ")
             continue
         yield from flush()
-        if token[2]:
+        if token[2] or token[5]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     yield f"{stack[k][1]}>", "", None
@@ -91,14 +97,15 @@ def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
                     del stack[k:]
                     break
             continue
-        names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(token[4]))
+        rest = token[4] or token[7] or ""
+        if name in UNCLOSED and stack and stack[-1][0] == name:
+            stack.pop()
+        names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(rest))
         path = f"{stack[-1][1] if stack else ''}/{name}" + (f"[{names}]" if names else "")
+        if len(path) > LONG_PATH:
+            path = f"/{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
         yield path, "", None
-        if name not in VOID and not token[4].endswith("/"):
-            if name == "p":
-                # a paragraph may lack its end tag; the next one ends it
-                if stack and stack[-1][0] == "p":
-                    path = stack.pop()[1]
+        if name not in VOID and not rest.endswith("/"):
             aside = (bool(stack) and stack[-1][2]) or name in ASIDE or bool(names and ASIDE_NAMES.search(names))
             stack.append((name, path, aside))
             inside += name in MAIN

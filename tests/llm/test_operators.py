@@ -222,6 +222,9 @@ def test_main_text_of_a_page():
     assert text_of("") == "" == text_of(None) and text_of("<article>" + "x" * 10**6) == "x" * 10**6
     assert text_of("<article><p a='>'>1<p>2 < 3</article>") == "1\n2 < 3"
     assert [t for _, t, main in templates.page_tokens("<body><p>a</p><nav>b</nav>") if t and main is None] == ["a"]
+    assert text_of("<article><p title='open>one<p>two</article>") == "one\ntwo"
+    assert text_of("<article>" + "<div>" * 20_000 + "deep") == "deep"
+    assert text_of("<article><ul><li>a<li class=ad>b<li>c</ul>") == "a\nc"
     for odd in ("<", "<article", "</article></nav>", "<!-- x", "<script>", "&#xZ;", "<p/><article/>x"):
         list(templates.page_tokens(odd))
 
