@@ -225,6 +225,18 @@ def test_steps_may_be_run_again(run, spark, monkeypatch):
     assert run.rows("silver", "Id") == []
 
 
+def test_batches_may_have_odd_names(run, spark):
+    for name in ("2024-05-01T10:00", "a/b='c' %25 é"):
+        for _ in range(2):
+            run.ingest([GOOD, CHEAP], batch=name)
+            bronze_to_silver(spark, run.cfg)
+            repair_quarantined(spark, run.cfg)
+    assert run.rows("silver", "Id", "batch") == sorted(
+        [(i, b) for i in (1, 3) for b in ("2024-05-01T10:00", "a/b='c' %25 é")], key=str
+    )
+    assert run.statuses() == {(1, "loaded"): 2, (3, "loaded"): 2}
+
+
 def test_unlisted_fields_are_kept(run, spark):
     movies = [{**GOOD, "Studio": {"a": 1}}, {**GOOD, "Studio": {"a": 2}}, GOOD]
     run.ingest(movies, day=1)
