@@ -53,7 +53,7 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{GAP}+"), "")
 
 
-def uniform(*parts: Column) -> Column:
+def uniform(*parts: Column | str) -> Column:
     """A number in [0, 1) that depends on the parts alone."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(2**53))
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import GAP, WORD, fresh, let, words_of, written
+from oreflow.llm.common import GAP, WORD, fresh, let, uniform, words_of, written
 
 WINDOW = 5
 
@@ -121,11 +121,13 @@ MEASURES = {
 def sampled(df: DataFrame, rows: int = 512) -> DataFrame:
     """The ``rows`` rows with the smallest hash of the whole row: at most that many at any input size.
 
-    Written to the shared folder, so that what is computed on them stays above the limit: Spark would
-    move it below, and then sort the whole table.
+    A first cut by the hash leaves a few times as many to be ordered, so that not every task sends ``rows``
+    rows. Written to the shared folder, so that what is computed on them stays above the limit: Spark
+    would move it below, and then sort the whole table.
     """
-    spread = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind], F.lit("sample"))
-    return written(df.orderBy(spread).limit(rows), "sample")
+    place = uniform(*[c for c, kind in df.dtypes if "map<" not in kind], F.lit("sample"))
+    some = df.filter(place < 4 * rows / max(df.count(), 1))
+    return written(some.orderBy(place).limit(rows), "sample")
 
 
 def order_rules(sample: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
@@ -183,10 +185,17 @@ def measured(df: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, st
 def drop_rejected(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass the default rules, with the columns they came with.
 
-    Null and empty texts have no words and go. Here no measure is needed beyond the verdict, so each
-    is computed only where the cascade reaches its rule.
+    Null and empty texts have no words and go. Equal rows stay or go together; an empty table gives an
+    empty one. Here no measure is needed beyond the verdict, so each is computed only where the
+    cascade reaches its rule.
     """
-    size = F.length(F.coalesce(F.col(text), F.lit("")))
-    rules = default_rules({name: make(F.col(text)) for name, make in MEASURES.items()}, size)
-    name = fresh(docs, "rejected_by")
-    return quality_cascade(docs, rules, out=name).filter(F.col(name).isNull()).drop(name)
+    source = F.col(text)
+    size = F.length(F.coalesce(source, F.lit("")))
+
+    def rules(n: Column) -> list[Rule]:
+        return default_rules({name: make(source) for name, make in MEASURES.items()} | {"n_words": n}, size)
+
+    order = [rule.name for rule in order_rules(sampled(docs), rules(n_words(source)))]
+    # most rules need the number of words: it is counted once, and the rest as the cascade gets there
+    verdict = let(n_words(source), lambda n: rejected_by(sorted(rules(n), key=lambda rule: order.index(rule.name))))
+    return docs.filter(verdict.isNull())
