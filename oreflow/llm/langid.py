@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import fresh
+from oreflow.llm.common import fresh, uniform
 
 # Families of ISO 639-1 codes. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -46,7 +46,7 @@ def profile(text: str | None) -> np.ndarray | None:
     Letters are lower-cased and words stand between blanks. None for a text that is null or has no letter.
     """
     letters = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):
         return None
     code = np.frombuffer(f" {letters} ".encode(), np.uint8).astype(np.uint32)
     counts = np.zeros(SIZE)
@@ -152,9 +152,15 @@ def train(
 
     Only rows where ``learn`` is true, the language not null and a letter in the text. None without any.
     """
-    spread = F.xxhash64(F.col(key), F.col(text))
-    rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), spread.alias("h"))
+    rows = docs.filter(learn & F.col(lang).isNotNull())
+    sizes = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()
+    if not sizes:
+        return None
+    # a first cut by the hash, so that not every task sends ``per_lang`` texts of each language
+    place = uniform(F.col(key), F.col(text))
+    share = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, 4 * per_lang / row["n"]))])
+    rows = rows.filter((place < share[F.col(lang)]) & F.col(text).rlike(r"\p{L}"))
+    rows = rows.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), place.alias("h"))
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     rows = rows.withColumn("turn", order).filter(F.col("turn") <= per_lang)
 
@@ -164,7 +170,7 @@ def train(
             found = [(a, h, p.tobytes()) for a, h, p in found if p is not None]
             yield pd.DataFrame(found, columns=["lang", "h", "profile"])
 
-    taken = rows.mapInPandas(profiles, "lang string, h long, profile binary").collect()
+    taken = rows.mapInPandas(profiles, "lang string, h double, profile binary").collect()
     taken = sorted((row["lang"], row["h"], bytes(row["profile"])) for row in taken)
     if not taken:
         return None

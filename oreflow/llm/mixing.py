@@ -191,7 +191,8 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source",
 
     A row has the columns of its document; its text is cut to the blocks taken at least that often, in
     order, with the white space after each word, and a column ``n_chars``, if there, is set to its length.
-    Documents of which nothing is taken are not in the mix.
+    Documents of which nothing is taken are not in the mix, nor are null texts and texts without words.
+    Equal rows are documents of their own; a null source is a source; an empty table gives an empty one.
     """
     key, columns = fresh(docs, "row_key"), docs.columns
     others = [c for c, kind in docs.dtypes if "map<" not in kind]

@@ -35,7 +35,7 @@ AT_ONCE, TOGETHER = 16 << 20, 1_000
 # Letters whose lower case is one letter, and signs that follow a word. Such words are tokenized in two parts.
 _PARTS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$|]*)")
 # Partitions, or groups of them, whose open windows are merged by one task.
-MERGED = 64
+MERGED = 16
 ID_BYTES = 4
 
 _tokenizers: dict[str, WordIds] = {}

@@ -231,7 +231,8 @@ def one_of_each(
     """One document of every group, with the columns it came with: the one with the smallest key.
 
     Rows with one key count as different documents; of equal ones either stays. A row without a key stays
-    only if its group has no other.
+    only if its group has no other. Null texts and texts without words are one group, with others near
+    the fingerprint zero. An empty table gives an empty one.
     """
     row, value, columns = fresh(docs, "row_key"), fresh(docs, "value"), docs.columns
     docs = docs.withColumns({row: F.monotonically_increasing_id(), value: simhashes(F.col(text), width)})

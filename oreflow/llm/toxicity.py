@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.llm.common import fresh
+from oreflow.llm.common import fresh, uniform
 
 WORDS = re.compile(r"[^\W\d_]+")
 # Lengths of the word beginnings that are features, for words that bend or are joined to others.
@@ -150,9 +150,11 @@ def train(
     marks = [F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in categories.items()]
     known = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(*marks)
     sizes = {row[target]: row["n"] for row in known.groupBy(target).agg(F.count("*").alias("n")).collect()}
-    spread = F.xxhash64("k", F.lit("toxicity"))
-    sides = ((True, positives), (False, negatives))
-    picked = [known.filter(F.col(target) == side).orderBy(spread).limit(n) for side, n in sides]
+    place = uniform("k", F.lit("toxicity"))
+    picked = []
+    for side, n in ((True, positives), (False, negatives)):
+        some = known.filter((F.col(target) == side) & (place < 4 * n / max(sizes.get(side, 1), 1)))
+        picked.append(some.orderBy(place).limit(n))
     # at most positives + negatives rows of a key and a few marks
     picked = F.broadcast(picked[0].unionByName(picked[1]))
 
@@ -207,7 +209,10 @@ def default_chain(docs: DataFrame, labels: DataFrame) -> Chain:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose probability of being toxic is below the threshold, with the columns they came with."""
+    """The documents whose probability of being toxic is below the threshold, with the columns they came with.
+
+    Null texts count as empty. Equal rows stay or go together; an empty table gives an empty one.
+    """
     names = [fresh(docs, "p_low_quality"), fresh(docs, "p_toxic")]
     judged = judge(docs, default_chain(docs, labels), names)
     return judged.filter(F.col(names[1]) < threshold).drop(*names)
