@@ -13,7 +13,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -63,12 +63,16 @@ class Cache:
         return found
 
 
+# A text by which to tell how a tokenizer treats white space, case and signs.
+_PROBE = "Two words,  a Third\tone!! of ÄRA's 12.5\n\nend. |x| É"
+
+
 class WordIds:
-    """A tokenizer's ids, looked up by word.
+    """A tokenizer's ids, looked up by word where that gives the same ids.
 
-    For tokenizers that drop white space, ignore case, and whose tokens reach neither over white space nor from
-    letters to signs: then a text's ids are its words' ids, and a word's those of its letters and its
-    signs. A batch's different words are found first, so each is looked up once.
+    It does for tokenizers that drop white space, ignore case, and whose tokens reach neither over white space nor
+    from letters to signs: then a text's ids are its words' ids, and a word's those of its letters and its
+    signs. A batch's different words are found first, so each is looked up once. Others tokenize whole texts.
     """
 
     def __init__(self, path: str):
@@ -77,6 +81,7 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._parts = Cache(self._encode)
+        self._by_word = b"".join(self._join(_PROBE.split())) == self._encode([_PROBE])[0]
 
     @classmethod
     def at(cls, path: str) -> WordIds:
@@ -107,6 +112,10 @@ class WordIds:
             at = end
 
     def _of(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if not self._by_word:
+            whole = self._encode(pc.fill_null(texts, "").to_pylist())
+            yield from (np.frombuffer(ids, "<u4") for ids in whole)
+            return
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
         words = self._join(coded.dictionary.to_pylist())

@@ -240,7 +240,8 @@ def pages(spark, n, host="site.org"):
 
 def test_template_blocks_go_where_a_template_is_known(spark):
     many, few = pages(spark, 12), pages(spark, 3, "few.org")
-    odd = spark.createDataFrame([(100, None, None, "x"), (101, "nothing", "<p>a</p>", "x"), (102, "", "", "x")], many.schema)
+    odd = [(100, None, None, "x"), (101, "nothing", "<p>a</p>", "x"), (102, "", "", "x")]
+    odd = spark.createDataFrame(odd, many.schema)
     got = templates.extract_text(many.union(few).union(odd).union(odd))
     rows = {(r["page_id"], r["url"]): r for r in got.collect()}
     assert got.columns == [*many.columns, "text"] and got.count() == 21
@@ -265,10 +266,10 @@ def test_pages_of_the_table(spark):
 # ---- packing ---------------------------------------------------------------------------------
 
 
-def check_pieces(rows, docs, length):
+def check_pieces(rows, docs, length, name="word_bpe_49k.json"):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
     expected = Counter()
     for key, text in docs:
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
@@ -303,6 +304,12 @@ def test_pieces_are_whole(spark, edge_docs, docs_of, length, windows):
     check_pieces(rows, docs_of, length)
 
 
+def test_a_tokenizer_that_keeps_white_space_and_case(edge_docs, docs_of):
+    name = "byte_bpe_50k.json"
+    assert packing.WordIds(tokenizer_path())._by_word and not packing.WordIds(tokenizer_path(name))._by_word
+    check_pieces(packing.pack(edge_docs, tokenizer_path(name)).collect(), docs_of, 2048, name)
+
+
 def test_large_keys_stay_exact(spark):
     docs = spark.createDataFrame([(2**60 + 1, "a b c"), (None, "d"), (2**60 + 3, "e")], "doc_id long, text string")
     for df in (packing.pack(docs.coalesce(1), tokenizer_path()), fingerprints.fingerprints(docs)):
