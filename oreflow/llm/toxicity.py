@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Collection, Iterator, Sequence
+from collections.abc import Collection, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -91,35 +91,42 @@ class Chain:
         return x[:, len(self.places) :]
 
 
-def choose(sets: Sequence[Collection[str]], y: np.ndarray, most: int) -> list[str]:
-    """The features whose presence differs most between the classes, by chi-square; at least 3 rows have them."""
-    there, total = Counter(), Counter()
-    for found, positive in zip(sets, y, strict=True):
-        total.update(found)
-        if positive:
-            there.update(found)
+def choose(rows: Sequence[np.ndarray], y: np.ndarray, names: Sequence[str], most: int) -> list[int]:
+    """The features whose presence differs most between the classes, by chi-square; at least 3 rows have them.
+
+    A row is the numbers of its features, each once; equal values go by name.
+    """
+    none = [np.zeros(0, np.int32)]
+    c = np.bincount(np.concatenate([*rows, *none]), minlength=len(names)).astype(np.float64)
+    of_class = [row for row, positive in zip(rows, y, strict=True) if positive]
+    a = np.bincount(np.concatenate([*of_class, *none]), minlength=len(names)).astype(np.float64)
     n, p = len(y), max(float(y.sum()), 0.5)
-    names = [f for f, c in total.items() if 3 <= c < n]
-    a = np.array([there[f] for f in names], np.float64)
-    c = np.array([total[f] for f in names], np.float64)
-    gap = a - c * p / n
-    chi = gap**2 * n**3 / np.maximum(c * (n - c) * p * max(n - p, 0.5), 1)
-    order = sorted(range(len(names)), key=lambda k: (-chi[k], names[k]))
-    return [names[k] for k in order[:most]]
+    chi = (a - c * p / n) ** 2 * n**3 / np.maximum(c * (n - c) * p * max(n - p, 0.5), 1)
+    some = np.flatnonzero((c >= 3) & (c < n)).tolist()
+    return sorted(some, key=lambda k: (-chi[k], names[k]))[:most]
 
 
-def fit(sets: Sequence[Collection[str]], marks: dict[str, np.ndarray], weight: np.ndarray, most: int = 300, folds: int = 5) -> Chain:
+def fit(
+    found: Iterable[Iterable[str]], marks: dict[str, np.ndarray], weight: np.ndarray, most: int = 300, folds: int = 5
+) -> Chain:
     """Fit a chain over the categories of ``marks``, in their order. Rows are dealt into folds in turn."""
-    chain = Chain(tuple(marks))
-    names = dict.fromkeys(f for y in marks.values() for f in choose(sets, y, most))
-    chain.places = {f: k for k, f in enumerate(names)}
-    x = chain.matrix(sets).astype(np.float64)
-    fold = np.arange(len(sets)) % folds
+    numbers: dict[str, int] = {}  # holds every name once, and a row its numbers alone
+    rows = [np.array([numbers.setdefault(f, len(numbers)) for f in row], np.int32) for row in found]
+    names, chain = list(numbers), Chain(tuple(marks))
+    chosen = list(dict.fromkeys(k for y in marks.values() for k in choose(rows, y, names, most)))
+    chain.places = {names[k]: place for place, k in enumerate(chosen)}
+    place_of = np.full(len(names) + 1, -1)
+    place_of[chosen] = np.arange(len(chosen))
+    x = np.zeros((len(rows), len(chosen)))
+    for k, row in enumerate(rows):
+        places = place_of[row]
+        x[k, places[places >= 0]] = 1
+    fold = np.arange(len(rows)) % folds
     for y in marks.values():
         chain.weights.append(fit_logistic(x, y, weight))
         if len(chain.weights) == len(marks):
             break
-        unseen = np.zeros(len(sets))
+        unseen = np.zeros(len(rows))
         for k in range(folds):
             rest, part = fold != k, fold == k
             if part.any() and rest.any():
@@ -176,9 +183,7 @@ def train(
     columns = {name: np.array([row[1 + j] for row in taken], np.float64) for j, name in enumerate(categories)}
     sampled = Counter(columns[target].tolist())
     weight = np.array([sizes[bool(y)] / sampled[y] for y in columns[target]])
-    names: dict[str, str] = {}  # one object for each name, however many rows have it
-    rows_found = [[names.setdefault(f, f) for f in row[-1].split("\n")] for row in taken]
-    return fit(rows_found, columns, weight, most)
+    return fit((row[-1].split("\n") for row in taken), columns, weight, most)
 
 
 def judge(docs: DataFrame, chain: Chain, names: Sequence[str], text: str = "text") -> DataFrame:
