@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -116,14 +117,18 @@ def _hash(role: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{role}\n{text}".encode("utf-8", "surrogatepass"), 1) >> 2
 
 
-COUNTED = "host string, token long, role string, block boolean, pages long, times long, vector decimal(38,0), first double, last double"
+COUNTED = (
+    "host string, token long, role string, block boolean, pages long, times long, vector decimal(38,0), "
+    "first double, last double, blocks long, chars long"
+)
 
 
 def count_tokens(pages: DataFrame) -> DataFrame:
-    """For every token of a host: pages that have it, occurrences, a hash of its occurrence vector, mean places.
+    """For every token of a host: pages that have it, occurrences, a hash of its occurrence vector, mean places,
+    and its blocks and characters in articles.
 
     The vector's hash is a sum over the pages, so each task sums what it has before anything is shuffled.
-    Rows need ``host`` and ``html``. The token 0 stands for the page itself.
+    Rows need ``host`` and ``html``. The token 0 stands for the page itself, with the blocks of its article.
     """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,22 +137,27 @@ def count_tokens(pages: DataFrame) -> DataFrame:
             for host, html in zip(batch["host"], batch["html"], strict=True):
                 html = html if isinstance(html, str) else ""
                 page = xxhash.xxh64_intdigest(html.encode("utf-8", "surrogatepass"))
-                here: dict[int, list] = {0: ["", False, 1, 0.0, 0.0]}
+                whole = ["", False, 1, 0.0, 0.0, 0, 0]
+                here: dict[int, list] = {0: whole}
                 for place, (role, text, main) in enumerate(page_tokens(html)):
-                    seen = here.setdefault(_hash(role, text), [role, bool(text), 0, place, place])
+                    seen = here.setdefault(_hash(role, text), [role, bool(text), 0, place, place, 0, 0])
                     seen[2] += 1
                     seen[4] = place
-                for token, (role, is_block, times, first, last) in here.items():
+                    if main:
+                        for row in (seen, whole):
+                            row[5] += 1
+                            row[6] += len(text)
+                for token, (role, is_block, times, first, last, blocks, chars) in here.items():
                     mark = xxhash.xxh64_intdigest(f"{page}:{times}".encode())
-                    row = found.setdefault((host, token), [role, is_block, 0, 0, 0, 0.0, 0.0])
-                    for k, value in enumerate((1, times, mark, first, last), 2):
+                    row = found.setdefault((host, token), [role, is_block, 0, 0, 0, 0.0, 0.0, 0, 0])
+                    for k, value in enumerate((1, times, mark, first, last, blocks, chars), 2):
                         row[k] += value
             rows = [(host, token, *row) for (host, token), row in found.items()]
-            yield pd.DataFrame(rows, columns=["host", "token", "role", "block", "pages", "times", "vector", "first", "last"]).assign(
-                vector=lambda f: f["vector"].map(Decimal)
-            )
+            names = ["host", "token", "role", "block", "pages", "times", "vector", "first", "last", "blocks", "chars"]
+            yield pd.DataFrame(rows, columns=names).assign(vector=lambda f: f["vector"].map(Decimal))
 
-    sums = [F.sum(c).alias(c) for c in ("pages", "times")] + [F.sum("vector").cast("decimal(38,0)").alias("vector")]
+    sums = [F.sum(c).alias(c) for c in ("pages", "times", "blocks", "chars")]
+    sums.append(F.sum("vector").cast("decimal(38,0)").alias("vector"))
     means = [(F.sum(c) / F.sum("pages")).alias(c) for c in ("first", "last")]
     rows = pages.select("host", "html").mapInPandas(of, COUNTED)
     return rows.groupBy("host", "token").agg(F.min("role").alias("role"), F.max("block").alias("block"), *sums, *means)
@@ -166,24 +176,39 @@ TEMPLATE = T.StructType(
         T.StructField("role", T.StringType()),
         T.StructField("block", T.BooleanType()),
         T.StructField("root", T.BooleanType()),
+        T.StructField("once", T.BooleanType()),
+        T.StructField("constant", T.BooleanType()),
     ]
 )
 
 
 def _nest(frame: pd.DataFrame) -> pd.DataFrame:
-    """One host's template from its frequent tokens: its classes, in order and nested."""
+    """One host's template from its frequent tokens: its classes, in order and nested.
+
+    ``once`` marks tokens that bound slots, ``constant`` the classes whose blocks are not the pages' own.
+    """
     n = int(frame["host_pages"].iloc[0])
-    whole = frame.loc[frame["token"] == 0, "vector"]
+    page = frame[frame["token"] == 0]
     classes = []
     for (vector, pages, times), some in frame[frame["token"] != 0].groupby(["vector", "pages", "times"], sort=True):
         some = some.sort_values(["first", "last", "token"])
         once = int(times) == int(pages)
         # tokens that come once a page keep one order if each is over before the next begins, on average
         if len(some) >= 2 and (not once or (some["last"] <= some["first"].shift(-1, fill_value=float("inf"))).all()):
-            classes.append((some, once, bool(len(whole)) and vector == whole.iloc[0]))
-    classes.sort(key=lambda c: (-int(c[0]["pages"].iloc[0]), float(c[0]["first"].iloc[0])))
+            classes.append((some, once, bool(len(page)) and vector == page["vector"].iloc[0]))
+        elif pages > SHARE * n:
+            # nothing but its number confirms a block alone, so more than the share is wanted
+            classes.extend((some[some["token"] == token], False, False) for token in some.loc[some["block"], "token"])
+    classes.sort(key=lambda c: (-int(c[0]["pages"].iloc[0]), float(c[0]["first"].iloc[0]), int(c[0]["token"].iloc[0])))
+    # classes go from the smallest on, as long as they leave the articles half of their blocks or characters
+    constant, blocks, chars = set(), 0, 0
+    for k in sorted(range(len(classes)), key=lambda k: (int(classes[k][0]["chars"].sum()), k)):
+        blocks += int(classes[k][0]["blocks"].sum())
+        chars += int(classes[k][0]["chars"].sum())
+        if 2 * blocks <= page["blocks"].sum() or 2 * chars <= page["chars"].sum():
+            constant.add(k)
     rows = []
-    for k, (some, _, root) in enumerate(classes):
+    for k, (some, once, root) in enumerate(classes):
         low, high, parent, slot, width = some["first"].min(), some["last"].max(), -1, -1, float("inf")
         for j, (other, other_once, _) in enumerate(classes):
             if j != k and other_once:
@@ -192,48 +217,159 @@ def _nest(frame: pd.DataFrame) -> pd.DataFrame:
                     if a <= low and high <= b and b - a < width:
                         parent, slot, width = j, s, b - a
         for place, (token, role, block) in enumerate(zip(some["token"], some["role"], some["block"], strict=True)):
-            rows.append((frame["host"].iloc[0], n, k, len(some), place, parent, slot, token, role, block, root))
+            rows.append((frame["host"].iloc[0], n, k, len(some), place, parent, slot, token, role, block, root, once, k in constant))
     return pd.DataFrame(rows, columns=TEMPLATE.fieldNames())
 
 
+def different(pages: DataFrame) -> DataFrame:
+    """The different pages of each host, blank ones left out. Tasks drop their own copies before the shuffle."""
+    digest = "host string, html string, digest binary"
+
+    def firsts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[bytes] = set()  # 16 bytes a page of the task
+        for batch in batches:
+            if "digest" not in batch:
+                batch = batch[[isinstance(page, str) and not page.isspace() and page != "" for page in batch["html"]]]
+                pairs = zip(batch["host"], batch["html"], strict=True)
+                batch = batch.assign(
+                    digest=[xxhash.xxh128_digest(f"{host}\n{page}".encode("utf-8", "surrogatepass")) for host, page in pairs]
+                )
+            new = []
+            for mark in map(bytes, batch["digest"]):
+                new.append(mark not in seen)
+                seen.add(mark)
+            yield batch[new]
+
+    once = pages.select("host", "html").mapInPandas(firsts, digest).repartition("digest")
+    return once.mapInPandas(firsts, digest).select("host", "html")
+
+
 def deduce(pages: DataFrame) -> DataFrame:
     """The templates of all hosts: a row for each token of each class, with the class's parent and slot there.
 
     Only tokens that at least ``SHARE`` of a host's pages have reach a host's group, so its size depends on the
-    length of a page, not on the number of pages. Hosts with fewer than ``PAGES`` pages have no template.
+    length of a page, not on the number of pages. Copies of a page count once, blank pages not at all. Hosts
+    with fewer than ``PAGES`` different pages have no template.
     """
-    counts = written(count_tokens(pages), "tokens")
+    counts = written(count_tokens(different(pages)), "tokens")
     hosts = counts.filter("token = 0").select(F.col("host").alias("h"), F.col("pages").alias("host_pages"))
     often = counts.join(hosts.filter(F.col("host_pages") >= PAGES), F.col("host").eqNullSafe(F.col("h"))).drop("h")
     often = often.filter(F.col("pages") >= SHARE * F.col("host_pages"))
     return often.groupBy("host").applyInPandas(_nest, TEMPLATE)
 
 
+class Known:
+    """Sets of the templates that a task has met last, by their arrays."""
+
+    def __init__(self, most: int = 256):
+        self.most, self.sets = most, {}
+
+    def set_of(self, tokens) -> frozenset[int]:
+        if tokens is None:
+            return frozenset()
+        key = np.asarray(tokens, np.int64).tobytes()
+        if key not in self.sets:
+            if len(self.sets) >= self.most:
+                self.sets.clear()
+            self.sets[key] = frozenset(np.frombuffer(key, np.int64).tolist())
+        return self.sets[key]
+
+
+def page_blocks(html: str, constant: frozenset[int], bounds: frozenset[int]) -> list[tuple[int, str, bool | None, bool]]:
+    """The page's blocks in order: the slot they stand in, their text, ``main``, and whether they are the page's own.
+
+    A slot is named by the token of a class before it, 0 before all.
+    """
+    out, slot = [], 0
+    for role, text, main in page_tokens(html):
+        token = _hash(role, text) if constant or bounds else 0
+        if token in bounds:
+            slot = token
+        if text:
+            out.append((slot, text, main, token not in constant))
+    return out
+
+
+def count_slots(rows: DataFrame) -> DataFrame:
+    """Of rows ``host``, ``html``, ``constant``, ``bounds``: the characters of own text in each slot, in articles and
+    outside, not set aside. The slot -1 has the number of pages that have any in an article, and of all."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Known()
+        for batch in batches:
+            found: dict[tuple[str, int], list[int]] = {}
+            for host, html, *sets in zip(batch["host"], batch["html"], batch["constant"], batch["bounds"], strict=True):
+                blocks = page_blocks(html if isinstance(html, str) else "", *map(known.set_of, sets))
+                own = [block for block in blocks if block[3] and block[2] is not False]
+                counts = [(-1, int(any(main for _, _, main, _ in own)), 1)] if own else []
+                counts += [(slot, len(text) if main else 0, 0 if main else len(text)) for slot, text, main, _ in own]
+                for slot, inside, outside in counts:
+                    row = found.setdefault((host, slot), [0, 0])
+                    row[0] += inside
+                    row[1] += outside
+            yield pd.DataFrame([(*key, *row) for key, row in found.items()], columns=["host", "slot", "inside", "outside"])
+
+    found = rows.mapInPandas(of, "host string, slot long, inside long, outside long")
+    return found.groupBy("host", "slot").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+
+
+def main_blocks(blocks: list[tuple[int, str, bool | None, bool]], slots: frozenset[int] | None) -> list[str]:
+    """The texts of a page's article, from ``page_blocks``; ``slots`` are the host's slots of articles, if known.
+
+    Own blocks of those slots that are not set aside are the article. If most pages of the host have none, so
+    that ``slots`` is empty, elements that are named an article count only where they hold most of the own text.
+    Otherwise the page's own elements decide, and an article of constant blocks alone is kept.
+    """
+    if slots is not None:
+        own = [block for block in blocks if block[3] and block[2] is not False]
+        if slots:
+            found = [text for slot, text, _, _ in own if slot in slots]
+        else:
+            inside, total = (sum(len(b[1]) for b in some) for some in ([b for b in own if b[2]], own))
+            found = [text for _, text, main, _ in own if main or 2 * inside < total]
+        if found:
+            return found
+    wanted = True if any(main for _, _, main, _ in blocks) else None
+    some = [(text, own) for _, text, main, own in blocks if main is wanted]
+    return [text for text, own in some if own] or [text for text, _ in some]
+
+
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
     """Add the page's main text: its article's blocks, joined by a line feed, without the host's template.
 
-    Blocks that are tokens of the host's root class, which occurs once on every page, are template and go.
-    Of the others those stay that stand in an article or main element and in nothing set aside (menus,
-    headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles); on a page without such
-    an element, all that are not set aside. A null or empty page, and one without such a block, has the
-    empty text. Repeated rows are judged alike; a column ``out`` is replaced.
+    Blocks of the template's classes are not the page's own and go, unless the article would lose all or most of
+    its blocks. The others stand in slots between the classes' tokens. Article and main elements choose
+    the host's slots; in these all stays but what is set aside (menus, headers, footers, sidebars,
+    notices, adverts, forms, comments, scripts, styles). On a host without a template the page's own
+    elements decide; on a page without an article or main element, all that is not set aside. A null
+    or empty page, and one without such a block, has the empty text. Repeated rows are judged alike;
+    a column ``out`` is replaced.
     """
     host, known = fresh(pages, "host"), fresh(pages, "template")
     rows = pages.withColumn(host, host_of(F.col(url)))
-    template = deduce(rows.select(F.col(host).alias("host"), F.col(html).cast("string").alias("html")))
-    constant = template.filter("root AND block").groupBy("host").agg(F.collect_set("token").alias(known))
-    constant = written(constant.withColumnRenamed("host", "h"), "templates")
+    slim = rows.select(F.col(host).alias("host"), F.col(html).cast("string").alias("html"))
+    tokens = lambda which: F.array_sort(F.collect_set(F.when(F.expr(which), F.col("token"))))
+    template = deduce(slim).groupBy(F.col("host").alias("h"))
+    template = template.agg(tokens("block AND constant").alias("constant"), tokens("once").alias("bounds"))
+    template = written(template, "templates")
+    slots = count_slots(slim.join(template, F.col("host") == F.col("h")).select("host", "html", "constant", "bounds"))
+    pick = F.when(F.expr("slot >= 0 AND inside > 0 AND inside >= outside"), F.col("slot"))
+    named = F.max(F.expr(f"slot = -1 AND inside >= {SHARE} * outside"))
+    slots = slots.groupBy(F.col("host").alias("s")).agg(named.alias("named"), F.array_sort(F.collect_set(pick)).alias("slots"))
+    slots = slots.select("s", F.when(F.col("named"), F.col("slots")).otherwise(F.array().cast("array<long>")).alias("slots"))
+    template = template.join(slots, F.col("h") == F.col("s"), "left")
+    template = written(template.select("h", F.struct("constant", "bounds", "slots").alias(known)), "slots")
 
     @F.pandas_udf("string")
-    def main_text(htmls: pd.Series, tokens: pd.Series) -> pd.Series:
-        out = []
-        for page, some in zip(htmls, tokens, strict=True):
-            drop = set() if some is None else set(some)
-            blocks = [b for b in page_tokens(page if isinstance(page, str) else "") if b[1]]
-            own = [b for b in blocks if not drop or _hash(b[0], b[1]) not in drop]
-            wanted = True if any(main for _, _, main in blocks) else None
-            out.append("\n".join(text for _, text, main in own if main is wanted))
-        return pd.Series(out, dtype=object)
-
-    rows = rows.join(constant, F.col(host) == F.col("h"), "left").drop("h")
-    return rows.withColumn(out, main_text(F.col(html).cast("string"), F.col(known))).drop(host, known)
+    def main_text(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        sets = Known()
+        for batch in batches:
+            out = []
+            for page, constant, bounds, slots in zip(*batch, strict=True):
+                blocks = page_blocks(page if isinstance(page, str) else "", sets.set_of(constant), sets.set_of(bounds))
+                out.append("\n".join(main_blocks(blocks, None if slots is None else sets.set_of(slots))))
+            yield pd.Series(out, dtype=object)
+
+    rows = rows.join(template, F.col(host) == F.col("h"), "left").drop("h")
+    of = [F.col(known)[c] for c in ("constant", "bounds", "slots")]
+    return rows.withColumn(out, main_text(F.col(html).cast("string"), *of)).drop(host, known)

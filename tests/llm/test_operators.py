@@ -255,6 +255,32 @@ def test_template_blocks_go_where_a_template_is_known(spark):
     assert {r[0] for r in nested} == {"/html/body/nav/ul/li", "/html/body/nav/ul/li>"}
 
 
+def texts_of(spark, htmls, host="site.org"):
+    rows = [(k, f"http://{host}/{k}", html) for k, html in enumerate(htmls)]
+    got = templates.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_classes_decide_where_names_give_the_wrong_text(spark):
+    # no article: blocks in plain elements, some on three of four pages, one of them twice a page
+    offer = [f"<div>Our offer</div><div>{'Order now' if k % 4 else prose(k + 500, 3)}</div>" for k in range(16)]
+    plain = [
+        f"<body><div>Start page</div><div>{prose(k, 30)}</div>{o}<div>{prose(k + 99, 20)}</div>{o if k % 4 else ''}</body>"
+        for k, o in enumerate(offer)
+    ]
+    got = texts_of(spark, plain)
+    own = [f"{prose(k, 30)}\n" + ("" if k % 4 else f"{prose(k + 500, 3)}\n") + prose(k + 99, 20) for k in range(16)]
+    assert got == own
+    # notices inside the article, on most pages; a page without an article element has its text in the same slot
+    inner = [f"<h1>{prose(k, 4)}</h1><p>{prose(k + 99, 40)}</p>" + "<p>Read more</p><p>With our app</p>" * (k % 4 > 0) for k in range(16)]
+    article = [f"<body><div>{prose(k + 7, 3)}</div><hr><article>{i}</article><p>{prose(k + 70, 2)}</p></body>" for k, i in enumerate(inner)]
+    assert texts_of(spark, article) == [f"{prose(k, 4)}\n{prose(k + 99, 40)}" for k in range(16)]
+    # an article element that few pages have, around a teaser only
+    teaser = [f"<body><div>{prose(k, 40)}</div>" + f"<article>{prose(k + 50, 3)}</article>" * (k % 4 == 0) + "</body>" for k in range(16)]
+    got = texts_of(spark, teaser)
+    assert all(prose(k, 40) in got[k] for k in range(16))
+
+
 def test_pages_of_the_table(spark):
     got = QUERIES["op4_html_extraction"](spark, SMALL).collect()
     source = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
