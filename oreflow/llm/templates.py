@@ -38,6 +38,8 @@ ASIDE = frozenset(
     "option script select style svg template textarea title".split()
 )
 MAIN = frozenset(["article", "main"])
+# Elements that hold a whole page or article, which no name sets aside.
+WHOLE = MAIN | {"html", "body"}
 # Elements that end an open one of their kind, as their end tags may be left out.
 UNCLOSED = frozenset("p li dt dd tr td th option".split())
 ASIDE_NAMES = re.compile(
@@ -107,7 +109,8 @@ def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
             path = f"/{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
         yield path, "", None
         if name not in VOID and not rest.endswith("/"):
-            aside = (bool(stack) and stack[-1][2]) or name in ASIDE or bool(names and ASIDE_NAMES.search(names))
+            named = name not in WHOLE and bool(names and ASIDE_NAMES.search(names))
+            aside = (bool(stack) and stack[-1][2]) or name in ASIDE or named
             stack.append((name, path, aside))
             inside += name in MAIN
     yield from flush()

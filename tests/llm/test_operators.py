@@ -281,6 +281,28 @@ def test_classes_decide_where_names_give_the_wrong_text(spark):
     assert all(prose(k, 40) in got[k] for k in range(16))
 
 
+def test_articles_keep_their_blocks(spark):
+    story = "".join(f"<p>{prose(k, 30)}</p>" for k in range(5))
+    text = "\n".join(prose(k, 30) for k in range(5))
+    # copies of one article, near copies whose menus, or one paragraph, differ
+    assert texts_of(spark, [f"<body><nav>a</nav><article>{story}</article>"] * 9) == [text] * 9
+    assert texts_of(spark, [f"<body>{story}"] * 9) == [text] * 9
+    assert texts_of(spark, [f"<body><nav>{k}</nav><article>{story}</article>" for k in range(9)]) == [text] * 9
+    last = [prose(k + 50, 30) for k in range(9)]
+    near = [f"<body><nav>{k}</nav><article>{story}<p>{p}</p></article>" for k, p in enumerate(last)]
+    assert texts_of(spark, near) == [f"{text}\n{p}" for p in last]
+    # one odd, one empty and one null page among many do not stop the others' template from going
+    many = [f"<body><article><p>Daily news</p><p>{prose(k, 30)}</p></article>" for k in range(20)]
+    got = texts_of(spark, [*many, "<p>odd", "", None])
+    assert got == [*(prose(k, 30) for k in range(20)), "odd", "", ""]
+
+
+def test_names_of_whole_pages_set_nothing_aside():
+    for name in ("body", "main", "article"):
+        page = "<html class='no-sidebar'><body><main><article><p>Text</p><aside>x</aside></article></main></body></html>"
+        assert text_of(page.replace(f"<{name}", f"<{name} class='left-sidebar'")) == "Text"
+
+
 def test_pages_of_the_table(spark):
     got = QUERIES["op4_html_extraction"](spark, SMALL).collect()
     source = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
