@@ -41,11 +41,18 @@ def n_symbols(text: Column) -> Column:
 
 
 def n_lowered(text: Column) -> Column:
-    """Words with a lower-case letter."""
-    pattern = r"[^\x20\x09-\x0D]*\p{Ll}[^\x20\x09-\x0D]*"
+    """Words with a lower-case letter, or with a letter of a script without case, as Arabic, Hindi or Korean."""
+    pattern = r"[^\x20\x09-\x0D]*[\p{Ll}\p{Lo}&&[^\xAA\xBA]][^\x20\x09-\x0D]*"
     return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long")
 
 
+def n_unspaced(text: Column) -> Column:
+    """Code points of scripts that put no spaces between words, with their signs."""
+    scripts = "Han Hiragana Katakana Bopomofo Thai Lao Khmer Myanmar Tibetan".split()
+    others = "[^" + "".join(rf"\p{{Is{script}}}" for script in scripts) + r"\u3000-\u303F\uFF00-\uFFEF]+"
+    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), others, "")).cast("long")
+
+
 def lines_of(text: Column) -> Column:
     """Lines that hold a word."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
@@ -94,15 +101,17 @@ def default_rules(m: dict[str, Column], size: Column) -> list[Rule]:
     """The rules of the ``op10`` query over the measures ``m`` of a text of ``size`` code points.
 
     Besides too few words and repeated passages: many symbols, repeated lines, words too short or
-    too long to be prose, and shouting. The last four leave a wide margin, so that prose passes.
+    too long to be prose, and shouting. The last four leave a wide margin, so that prose passes, also in
+    scripts without case, which cannot shout, and without spaces, whose words have no length here.
     """
     n = m["n_words"]
+    long = (m["word_chars"] > 20 * n) & (m["word_chars"] - m["n_unspaced"] > 20 * n)
     return [
         Rule("few_words", n < 10, size),
         Rule("repeated_words", 100 * m["n_repeat_words"] > 20 * n, 12 * size),
         Rule("symbols", 100 * m["n_symbols"] > 40 * n, size),
         Rule("repeated_lines", 100 * m["n_dup_lines"] > 40 * m["n_lines"], 2 * size),
-        Rule("word_length", (m["word_chars"] < 2 * n) | (m["word_chars"] > 20 * n), size + size),
+        Rule("word_length", (m["word_chars"] < 2 * n) | long, size + size),
         Rule("shouting", 100 * m["n_lowered"] < 50 * n, 3 * size),
     ]
 
@@ -115,6 +124,7 @@ MEASURES = {
     "n_repeat_words": n_repeat_words,
     "n_lines": lambda text: F.size(lines_of(text)).cast("long"),
     "n_lowered": n_lowered,
+    "n_unspaced": n_unspaced,
 }
 
 

@@ -50,6 +50,20 @@ def test_documents_that_pass_keep_their_columns(edge_docs, no_docs):
     assert quality.drop_rejected(no_docs).count() == 0
 
 
+def test_clean_texts_in_scripts_without_case_or_spaces_pass(spark):
+    rand = random.Random(5)
+
+    def text(first, last, most, n=60, sep=" "):
+        return sep.join("".join(chr(rand.randint(first, last)) for _ in range(rand.randint(most // 2, most))) for _ in range(n))
+
+    arabic, hebrew, hindi, korean = ((0x628, 0x63A), (0x5D0, 0x5EA), (0x915, 0x939), (0xAC00, 0xD7A3))
+    clean = [text(*script, 6) for script in (arabic, hebrew, hindi, korean)]
+    clean += [f"{clean[3]} KBS NATO EU", f"{clean[1]} 1948 1967", text(0x4E00, 0x9FA5, 60), text(0xE01, 0xE2E, 60, sep="\n"), prose(9, 60)]
+    bad = [prose(9, 60).upper(), f"{prose(9, 60).upper()} {text(*korean, 3, 20)}", text(97, 122, 60), "1ª Nº " + prose(8, 40).upper()]
+    docs = spark.createDataFrame(list(enumerate(clean + bad)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in quality.drop_rejected(docs).collect()) == list(range(len(clean)))
+
+
 # ---- toxicity --------------------------------------------------------------------------------
 
 
