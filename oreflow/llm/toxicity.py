@@ -83,7 +83,9 @@ class Chain:
         return x
 
     def predict(self, sets: Sequence[Collection[str]]) -> np.ndarray:
-        """A column of probabilities for every category, in the chain's order."""
+        """A column of probabilities for every category, in the chain's order; zeros if the chain is not fitted."""
+        if not self.weights:
+            return np.zeros((len(sets), len(self.categories)))
         x = self.matrix(sets).astype(np.float64)
         for w in self.weights:
             p = sigmoid(x @ w[:-1] + w[-1])
@@ -152,7 +154,7 @@ def train(
     ``categories`` are conditions on columns of ``labels``, in the chain's order; null counts as false. The
     rows are those with the smallest hashes of the key, so that reruns agree; the others' number enters
     as a weight. A key that is labelled twice counts once, with the larger marks; a null key not at all.
-    Without labelled documents all probabilities are one half.
+    Without labelled documents the chain is not fitted, and calls nothing toxic.
     """
     marks = [F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in categories.items()]
     known = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(*marks)
@@ -179,7 +181,7 @@ def train(
     rows = rows.select("k", *categories, "text").mapInPandas(seen, schema)
     taken = sorted(map(tuple, rows.dropDuplicates(["k"]).collect()))
     if not taken:
-        return Chain(tuple(categories), {}, [np.zeros(k + 1) for k in range(len(categories))])
+        return Chain(tuple(categories))
     columns = {name: np.array([row[1 + j] for row in taken], np.float64) for j, name in enumerate(categories)}
     sampled = Counter(columns[target].tolist())
     weight = np.array([sizes[bool(y)] / sampled[y] for y in columns[target]])

@@ -100,6 +100,12 @@ def test_toxic_documents_go_and_clean_ones_stay(spark, edge_docs, no_docs):
     assert toxicity.drop_toxic(no_docs, labels).count() == 0
 
 
+def test_a_chain_without_labels_keeps_everything(spark, edge_docs):
+    labels = spark.createDataFrame([(10**9, 1, 1)], "doc_id long, quality int, toxic int")
+    for known in (labels, labels.limit(0)):  # labels of other documents, none
+        assert toxicity.drop_toxic(edge_docs, known).count() == edge_docs.count()
+
+
 def test_held_out_toxic_documents_are_found(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     part = F.col("doc_id") % 4 == 0

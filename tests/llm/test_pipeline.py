@@ -66,3 +66,9 @@ def test_run_on_edge_cases_and_empty_tables(spark, edge_dir, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).collect() == []
     rows = corpus_pipeline.run(spark, edge_dir)
     assert rows.filter(F.col("length") <= 0).count() == 0 and rows.count() > 0
+
+
+def test_run_without_a_labelled_document(spark, tmp_path):
+    spark.read.parquet(f"{SMALL}/documents.parquet").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
