@@ -115,6 +115,15 @@ def test_held_out_toxic_documents_are_found(spark):
     assert clean.filter(F.col("p") >= toxicity.THRESHOLD).count() <= 0.05 * clean.count()
 
 
+@pytest.mark.parametrize("folder, share", [("sf0.01", 0.6), ("sf0.1", 0.9)])
+def test_few_held_out_toxic_documents_are_lost(spark, folder, share):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{folder}/{t}.parquet") for t in ("documents", "labels"))
+    part = F.col("doc_id") % 4 == 0
+    chain = toxicity.default_chain(docs, labels.filter(~part))
+    toxic = toxicity.judge(docs, chain, ["p_low", "p"]).join(labels.filter(part & (F.col("toxic") == 1)), "doc_id")
+    assert toxic.filter(F.col("p") >= toxicity.THRESHOLD).count() >= share * toxic.count()
+
+
 # ---- mixing ----------------------------------------------------------------------------------
 
 
