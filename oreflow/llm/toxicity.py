@@ -201,8 +201,8 @@ def judge(docs: DataFrame, chain: Chain, names: Sequence[str], text: str = "text
         for some in texts:
             rows = [t if isinstance(t, str) else None for t in some]
             out: list[np.ndarray] = []
-            for k in range(0, len(rows), 512):
-                out.extend(of.value.predict([features(t) for t in rows[k : k + 512]]))
+            for k in range(0, len(rows), 64):
+                out.extend(of.value.predict([features(t) for t in rows[k : k + 64]]))
             yield pd.Series(out, dtype=object)
 
     found = fresh(docs, "probabilities")
