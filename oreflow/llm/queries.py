@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import classlm, fingerprints, langid, mixing, packing, quality, simhash, templates, toxicity, urls
+from oreflow.llm import (
+    classlm, fingerprints, langid, merkle, mixing, packing, quality, simhash, templates, toxicity, urls,
+)
 from oreflow.llm.common import table
 
 
@@ -91,6 +93,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proofs = merkle.manifest(docs, changed={"text": text})
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
@@ -102,4 +115,5 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }

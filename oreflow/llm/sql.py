@@ -43,4 +43,50 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
 
-ORACLES = {"op8_url_filters": OP8, "op10_quality_rules": OP10}
+
+def crc32(number: str) -> str:
+    """SQL for the unsigned CRC-32 of a number's decimal text: eight steps for each byte, the first takes it in."""
+    text = f"CAST({number} AS VARCHAR)"
+    steps = f"flatten([[CAST(ascii({text}[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] FOR i IN range(1, len({text}) + 1)])"
+    step = "lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}), {step}), 4294967295)"
+
+
+_LEAF = """sha256(concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+    coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'), coalesce(strlen({t}) || ':' || {t}, '-')))"""
+
+# Trees level by level; a row's siblings are those of its number's run; folding follows the steps of a row's way.
+OP11 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, source,
+    {_LEAF.format(t="text")} AS leaf,
+    CASE WHEN {crc32("doc_id")} % 2 = 0 THEN {_LEAF.format(t="replace(text, chr(10), '')")}
+         ELSE {_LEAF.format(t="text")} END AS found FROM documents),
+n AS (SELECT *, coalesce('v' || source, 'n') AS tree,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+lv AS (SELECT 0 AS l, tree, i, leaf AS h FROM n UNION ALL
+       SELECT l + 1, tree, i // 3, sha256(string_agg(h, '' ORDER BY i))
+       FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM lv) WHERE c > 1 GROUP BY l, tree, i // 3),
+sub AS (SELECT tree, h AS subroot, l AS top, row_number() OVER (ORDER BY encode(tree)) - 1 AS j
+        FROM (SELECT *, max(l) OVER (PARTITION BY tree) AS m FROM lv) WHERE l = m),
+uv AS (SELECT 0 AS l, j AS i, subroot AS h FROM sub UNION ALL
+       SELECT l + 1, i // 3, sha256(string_agg(h, '' ORDER BY i))
+       FROM (SELECT *, count(*) OVER () AS c FROM uv) WHERE c > 1 GROUP BY l, i // 3),
+rt AS (SELECT h AS root, l AS top FROM uv ORDER BY l DESC LIMIT 1),
+own AS (SELECT n.k, lv.l AS step, coalesce(string_agg(lv.h, '' ORDER BY lv.i) FILTER (lv.i < n.i // CAST(3 ** lv.l AS BIGINT)), '') AS b,
+               coalesce(string_agg(lv.h, '' ORDER BY lv.i) FILTER (lv.i > n.i // CAST(3 ** lv.l AS BIGINT)), '') AS a
+        FROM n JOIN sub ON sub.tree = n.tree
+        JOIN lv ON lv.tree = n.tree AND lv.l < sub.top AND lv.i // 3 = n.i // CAST(3 ** (lv.l + 1) AS BIGINT) GROUP BY n.k, lv.l),
+up AS (SELECT sub.tree, sub.top + uv.l AS step, coalesce(string_agg(uv.h, '' ORDER BY uv.i) FILTER (uv.i < sub.j // CAST(3 ** uv.l AS BIGINT)), '') AS b,
+              coalesce(string_agg(uv.h, '' ORDER BY uv.i) FILTER (uv.i > sub.j // CAST(3 ** uv.l AS BIGINT)), '') AS a
+       FROM sub CROSS JOIN rt JOIN uv ON uv.l < rt.top AND uv.i // 3 = sub.j // CAST(3 ** (uv.l + 1) AS BIGINT) GROUP BY sub.tree, sub.top, uv.l),
+way AS (SELECT k, step, b, a FROM own UNION ALL SELECT n.k, up.step, up.b, up.a FROM n JOIN up ON up.tree = n.tree),
+folded AS (SELECT k, 0 AS step, found AS h FROM n UNION ALL
+           SELECT f.k, f.step + 1, sha256(way.b || f.h || way.a) FROM folded f JOIN way ON way.k = f.k AND way.step = f.step),
+proof AS (SELECT k, sha256(string_agg(b || a, '' ORDER BY step)) AS p FROM way GROUP BY k),
+ends AS (SELECT k, arg_max(h, step) AS h FROM folded GROUP BY k)
+SELECT n.doc_id, n.leaf, sub.subroot, rt.root, coalesce(proof.p, sha256('')) AS proof_sha256, ends.h AS folded_root, ends.h = rt.root AS verified
+FROM n JOIN sub ON sub.tree = n.tree CROSS JOIN rt JOIN ends ON ends.k = n.k LEFT JOIN proof ON proof.k = n.k
+"""
+
+ORACLES = {"op8_url_filters": OP8, "op10_quality_rules": OP10, "op11_merkle_manifest": OP11}
