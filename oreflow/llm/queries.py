@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import (
-    classlm, fingerprints, langid, merkle, mixing, packing, quality, simhash, templates, toxicity, urls,
+    classlm, fingerprints, langid, merkle, mixing, packing, quality, simhash, templates, toxicity, tries, urls,
 )
 from oreflow.llm.common import table
 
@@ -104,6 +104,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = tries.prefix_trie(table(spark, sf_dir, "conversations"))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mixing": op2_source_mixing,
@@ -116,4 +123,5 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_conversation_trie": op13_conversation_trie,
 }

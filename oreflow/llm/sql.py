@@ -89,4 +89,33 @@ SELECT n.doc_id, n.leaf, sub.subroot, rt.root, coalesce(proof.p, sha256('')) AS
 FROM n JOIN sub ON sub.tree = n.tree CROSS JOIN rt JOIN ends ON ends.k = n.k LEFT JOIN proof ON proof.k = n.k
 """
 
-ORACLES = {"op8_url_filters": OP8, "op10_quality_rules": OP10, "op11_merkle_manifest": OP11}
+# A rebuilt prefix is the digests of its turns in a row; a subtree's nodes begin with its top's.
+OP13 = f"""
+WITH c AS (SELECT conv_id, sha256(strlen(r) || ':' || r || t) AS g, length(t) AS n,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || t)) AS pos
+           FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations) WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, conv_id - conv_id % 100 AS b, {crc32("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM c)),
+hd AS (SELECT k.conv_id, k.h, count(c.pos) AS hb FROM k LEFT JOIN c ON c.conv_id = k.b AND c.pos <= k.h GROUP BY ALL),
+s AS (SELECT k.conv_id, c.pos AS d, g, n FROM k JOIN c ON c.conv_id = k.b AND c.pos <= k.h UNION ALL
+      SELECT c.conv_id, hb + c.pos - h, g, n FROM hd JOIN c ON c.conv_id = hd.conv_id AND c.pos > hd.h),
+e AS (SELECT conv_id, d, string_agg(g, '') OVER (PARTITION BY conv_id ORDER BY d) AS path, n FROM s UNION ALL
+      SELECT conv_id, 0, '', 0 FROM k),
+v AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(n) AS n FROM e GROUP BY path, d),
+ch AS (SELECT left(path, 64 * (d - 1)) AS path, count(*) AS n_children FROM v WHERE d > 0 GROUP BY 1),
+w AS (SELECT v.*, coalesce(ch.n_children, 0) AS n_children FROM v LEFT JOIN ch ON ch.path = v.path),
+up AS (SELECT left(path, 64 * x) AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * n) AS saved
+       FROM (SELECT *, unnest(range(0, d + 1)) AS x FROM w) GROUP BY 1),
+en AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+       FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS m FROM e) WHERE d = m GROUP BY path)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
+       CAST(up.n_leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, coalesce(en.ends, sha256('')) AS ends_sha256
+FROM w JOIN up ON up.path = w.path LEFT JOIN en ON en.path = w.path
+LEFT JOIN v p ON p.path = left(w.path, 64 * (w.d - 1)) AND w.d > 0
+"""
+
+ORACLES = {
+    "op8_url_filters": OP8,
+    "op10_quality_rules": OP10,
+    "op11_merkle_manifest": OP11,
+    "op13_conversation_trie": OP13,
+}
