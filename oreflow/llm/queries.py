@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm import (
-    classlm, fingerprints, langid, merkle, mixing, packing, quality, simhash, templates, toxicity, tries, urls,
+    classlm, fingerprints, hammingindex, langid, merkle, mixing, packing, quality, simhash, templates, toxicity, tries, urls,
 )
 from oreflow.llm.common import table
 
@@ -104,6 +104,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hammingindex.nearest(vectors, F.col("id") % 20 == 0)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = tries.prefix_trie(table(spark, sf_dir, "conversations"))
     return nodes.select(
@@ -123,5 +128,6 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_conversation_trie": op13_conversation_trie,
 }
