@@ -333,11 +333,11 @@ def _probed(encoded: DataFrame, radius: int, rows_of_part: int, k: int, bytes_ki
 
 
 def nearest(
-    rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, wanted: float = WANTED
+    rows: DataFrame, is_query: Column | str, key: str = "vec_id", vector: str = "embedding", k: int = 20, wanted: float = WANTED
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``key`` and ``score`` of the ``k`` nearest rows found for each query.
 
-    Queries are the rows for which ``is_query``, a column over ``id``, is true; candidates are all rows but
+    Queries are the rows for which ``is_query``, a condition over ``id``, is true; candidates are all rows but
     the query's own. Nearest is the largest inner product in double precision, ties to the smaller key.
     Every row is in the index; the search is approximate in that a neighbour whose code is further away
     than the radius is missed, and the radius is measured to hold ``wanted`` of them. A query that finds less than ``k``
@@ -346,7 +346,7 @@ def nearest(
     What takes no part: see ``usable``. Equal vectors are different rows, ordered by their key. No rows, or no
     queries, give no rows.
     """
-    kind = rows.schema[key].dataType
+    kind, is_query = rows.schema[key].dataType, F.expr(is_query) if isinstance(is_query, str) else is_query
     some = usable(rows, key, vector)
     lengths = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     facts = some.agg(F.count("*").alias("n"), F.max(lengths).alias("norm")).first()

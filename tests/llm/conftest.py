@@ -61,6 +61,9 @@ def empty_dir(spark, no_docs, tmp_path_factory):
     no_docs.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    turns.write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
