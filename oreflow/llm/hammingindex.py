@@ -35,9 +35,7 @@ SAMPLE, PROBES = 4096, 64
 # Share of the measured queries' true neighbours that the radius has to hold.
 WANTED = 0.96
 # Rows of a part, and pairs of a query and a row that a task looks at: the fewer rows, the more queries.
-PART_ROWS, PART_PAIRS = 8192, 500_000_000
-# Pairs compared at once.
-AT_ONCE = 1 << 21
+PART_ROWS, PART_PAIRS = 65_536, 2_000_000_000
 
 
 @dataclass(frozen=True)
@@ -97,13 +95,12 @@ def radii(radius: int) -> list[int]:
     return [whole if table <= rest else whole - 1 for table in range(TABLES)]
 
 
-def _top(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Which of the pairs are among their query's ``k`` best: largest score, then smallest id."""
-    order = np.lexsort((ids, -scores, query))
-    ordered = query[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(order) else np.zeros(0, int)
-    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-    return order[rank < k]
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Which rows are the ``k`` best, in order: largest score, then smallest id."""
+    some = np.arange(len(ids))
+    if len(ids) > k:
+        some = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+    return some[np.lexsort((ids[some], -scores[some]))][:k]
 
 
 class Part:
@@ -113,33 +110,24 @@ class Part:
         values = substring(codes, table)
         order = np.argsort(values, kind="stable")
         self.table, self.ids, self.codes, self.vectors = table, ids[order], codes[order], vectors[order]
-        self.values, self.starts = np.unique(values[order], return_index=True)
-        self.sizes = np.diff(np.append(self.starts, len(ids)))
-
-    def search(self, ids: np.ndarray, codes: np.ndarray, vectors: np.ndarray, radius: int, k: int):
-        """Query, row and score of each query's best in this part. A code that an earlier index finds is left to it."""
-        reach, at_once = radii(radius), max(1, AT_ONCE // max(1, len(self.ids)))
-        mine = substring(codes, self.table)
-        for start in range(0, len(ids), at_once):
-            some = slice(start, start + at_once)
-            near = np.bitwise_count(mine[some, None] ^ self.values[None, :]) <= reach[self.table]
-            q, v = np.nonzero(near)
-            sizes = self.sizes[v]
-            q = np.repeat(q, sizes)
-            within = np.arange(len(q)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            row = np.repeat(self.starts[v], sizes) + within
-            apart = codes[some][q] ^ self.codes[row]
-            keep = (np.bitwise_count(apart) <= radius) & (ids[some][q] != self.ids[row])
-            for earlier in range(self.table):
-                if reach[earlier] >= 0:
-                    keep &= np.bitwise_count(substring(apart, earlier)) > reach[earlier]
-            q, row = q[keep], row[keep]
-            scores = np.empty(len(q))
-            for a in range(0, len(q), 65_536):
-                b = slice(a, a + 65_536)
-                scores[b] = np.einsum("ij,ij->i", vectors[some][q[b]], self.vectors[row[b]])
-            best = _top(q, self.ids[row], scores, k)
-            yield ids[some][q[best]], self.ids[row[best]], scores[best]
+        self.values, starts = np.unique(values[order], return_index=True)
+        self.sizes = np.diff(np.append(starts, len(ids)))
+
+    def search(self, query: int, code: np.uint64, vector: np.ndarray, radius: int, k: int):
+        """Ids and scores of the query's best rows here. A code that an earlier index finds is left to it."""
+        reach = radii(radius)
+        mine = np.uint16((int(code) >> WIDTH * self.table) & (VALUES - 1))
+        probed = np.bitwise_count(self.values ^ mine) <= reach[self.table]
+        row = np.flatnonzero(np.repeat(probed, self.sizes))
+        apart = self.codes[row] ^ code
+        keep = (np.bitwise_count(apart) <= radius) & (self.ids[row] != query)
+        for earlier in range(self.table):
+            if reach[earlier] >= 0:
+                keep &= np.bitwise_count(substring(apart, earlier)) > reach[earlier]
+        row = row[keep]
+        scores = np.einsum("ij,j->i", self.vectors[row], vector)
+        best = _best(self.ids[row], scores, k)
+        return self.ids[row[best]], scores[best]
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -196,15 +184,16 @@ def true_neighbours(encoded: DataFrame, probes: list, k: int, bytes_kind: str) -
                 continue
             scores = vectors @ _matrix(batch["packed"].tolist(), bytes_kind).T
             rows, codes = batch["id"].to_numpy(np.int64), batch["code"].to_numpy(np.int64).view(np.uint64)
-            scores[ids[:, None] == rows[None, :]] = -np.inf
-            least = np.partition(scores, -min(k, len(rows)), axis=1)[:, -min(k, len(rows))]
-            q, row = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
-            frame = pd.DataFrame({
-                "query_id": ids[q], "id": rows[row], "score": scores[q, row],
-                "bits": np.bitwise_count(asked[q] ^ codes[row]).astype(np.int32),
-            })
-            kept = frame if kept is None else pd.concat([kept, frame])
-            kept = kept.iloc[_top(*[kept[c].to_numpy() for c in ("query_id", "id", "score")], k)]
+            found = [] if kept is None else [kept]
+            for q, query in enumerate(ids):
+                best = _best(rows, np.where(rows == query, -np.inf, scores[q]), k)
+                best = best[rows[best] != query]
+                bits = np.bitwise_count(asked[q] ^ codes[best]).astype(np.int32)
+                found.append(pd.DataFrame({"query_id": query, "id": rows[best], "score": scores[q, best], "bits": bits}))
+            every = pd.concat(found, ignore_index=True)
+            rows, scores, none = every["id"].to_numpy(), every["score"].to_numpy(), np.zeros(0, np.int64)
+            groups = every.groupby("query_id").indices.values()
+            kept = every.iloc[np.concatenate([none, *[g[_best(rows[g], scores[g], k)] for g in groups]])]
         if kept is not None:
             yield kept
 
@@ -267,7 +256,9 @@ def _send(encoded: DataFrame, deal: Deal, radius: int) -> DataFrame:
     """Every row to its part of each index, every query to each part that it has to probe."""
     reach = radii(radius)
     present = [np.flatnonzero(deal.count[t]) for t in range(TABLES)]
-    last = deal.first + np.maximum(deal.count, 1) - 1
+    first = [deal.first[t, present[t]] for t in range(TABLES)]
+    # values that lie in one part, or in the same parts, are neighbours
+    starts = [np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]])) if len(f) else f for f in first]
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -287,12 +278,11 @@ def _send(encoded: DataFrame, deal: Deal, radius: int) -> DataFrame:
                     if reach[t] < 0 or not len(present[t]):
                         continue
                     near = np.bitwise_count(substring(asked[start : start + 64], t)[:, None] ^ present[t].astype(np.uint16))
-                    q, v = np.nonzero(near <= reach[t])
-                    lo, hi = deal.first[t, present[t][v]], last[t, present[t][v]]
-                    sizes = hi - lo + 1
-                    parts = np.repeat(lo, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                    pairs = np.unique(np.stack([np.repeat(q, sizes), parts], 1), axis=0)
-                    yield _message(pairs[:, 1], 1, some.iloc[pairs[:, 0]], "asked")
+                    q, group = np.nonzero(np.logical_or.reduceat(near <= reach[t], starts[t], axis=1))
+                    at = starts[t][group]
+                    sizes = deal.count[t, present[t][at]]
+                    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    yield _message(np.repeat(first[t][at], sizes) + within, 1, some.iloc[np.repeat(q, sizes)], "asked")
 
     return encoded.mapInPandas(send, "part int, kind int, id long, code long, packed binary")
 
@@ -326,8 +316,12 @@ def _probed(encoded: DataFrame, radius: int, rows_of_part: int, k: int, bytes_ki
                     if index is None and held:
                         index = Part(deal.table_of(part), *[np.concatenate(c) for c in zip(*held, strict=True)])
                     if index is not None:
-                        for query, row, score in index.search(*facts, radius, k):
-                            yield pd.DataFrame({"query_id": query, "id": row, "score": score})
+                        found = [(query, *index.search(query, code, v, radius, k)) for query, code, v in zip(*facts, strict=True)]
+                        yield pd.DataFrame({
+                            "query_id": np.repeat(facts[0], [len(row) for _, row, _ in found]),
+                            "id": np.concatenate([row for _, row, _ in found]),
+                            "score": np.concatenate([score for *_, score in found]),
+                        })
 
     return _ranked(sent.mapInPandas(search, "query_id long, id long, score double"), "query_id", k)
 
