@@ -33,3 +33,26 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(place):
         return []
     return [str(item.getPath().toString()) for item in system.listStatus(place) if item.isDirectory()]
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; none if it is not there."""
+    system, place = _opened(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small file. Its text is written under another name first, so that it is never there in part."""
+    system, place = _opened(spark, f"{path}.tmp")
+    stream = system.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    system.rename(place, _opened(spark, path)[1])

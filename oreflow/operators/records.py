@@ -7,8 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.functions import as_date, record_key
+from oreflow.functions.extras import listed_part, other_part
 from oreflow.schemas import BATCH, EXTRA, INGEST_DATE, RECORD_KEY, STATUS, STEP
 from oreflow.settings import NEW
 
@@ -24,22 +26,23 @@ def stamp(
     datasource: str,
     batch_ts: dt.datetime | None = None,
     batch: str | None = None,
-    listed: Sequence[str] | None = None,
+    listed: Sequence[str] | T.StructType | None = None,
 ) -> DataFrame:
     """Add source, ingest time, status ``new``, record key, ingest date and batch.
 
     Pass ``batch_ts`` to make a rerun give the same rows; the batch is named after it if it has no name.
-    ``listed`` are the fields that the payload keeps. Fields beyond them go to ``extra`` as JSON text, null
-    if the record has none, and count for the record key.
+    ``listed`` are the fields that the payload keeps: names, or a type, which lists the fields of nested structs as
+    well. What is beyond them, at any depth, goes to ``extra`` as JSON text, null if the record has no such
+    value, and counts for the record key. In it the elements of an array keep their places.
     """
     now = F.current_timestamp() if batch_ts is None else F.lit(batch_ts.isoformat(" ")).cast("timestamp")
-    value, extra = F.col(payload), F.lit(None).cast("string")
-    fields = records.schema[payload].dataType.fieldNames()
-    more = [name for name in fields if listed is not None and name not in listed]
-    if more:
-        value = F.when(value.isNotNull(), F.struct(*[value[name].alias(name) for name in listed]))
-        extra = F.to_json(F.struct(*[F.col(payload)[name].alias(name) for name in more]))
-        extra = F.when(extra != "{}", extra)
+    value, extra, kind = F.col(payload), F.lit(None).cast("string"), records.schema[payload].dataType
+    if listed is not None:
+        if not isinstance(listed, T.StructType):
+            listed = T.StructType([kind[name] for name in listed])
+        more = other_part(value, kind, listed)
+        value = listed_part(value, kind, listed)
+        extra = extra if more is None else F.to_json(more)
     name = F.date_format(now, "yyyyMMdd'T'HHmmss.SSSSSS") if batch is None else F.lit(batch)
     return records.select(
         F.lit(datasource).alias("datasource"),

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreflow.functions.extras import merged
 from oreflow.operators import (
     code_dimension,
     dimension,
@@ -27,7 +28,7 @@ from oreflow.operators import (
 from oreflow.operators import budget_only as budget_rule
 from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, clean, counts
 from oreflow.plans.counting import Counted
-from oreflow.plans.status import at_status, settle
+from oreflow.plans.status import LOAD, REPAIR, run_of, settle, undo_unfinished
 from oreflow.schemas import (
     BATCH,
     BRONZE,
@@ -48,12 +49,14 @@ from oreflow.schemas import (
 )
 from oreflow.settings import LOADED, NEW, QUARANTINED, Settings
 from oreflow.sinks import append_rows, drop_partitions, table_exists, write_snapshot
+from oreflow.sinks.sketches import sketch_new
+from oreflow.sinks.tables import partitions
 from oreflow.sources import read_json_batch, read_status, split_rejects, with_extra_fields
 from oreflow.sources.json_files import is_rejected
 
 PAYLOAD = "movie"
-# Appended to the name of a row's step when it is loaded from new, and when it is repaired.
-LOAD, REPAIR = "l", "r"
+# Names that a partition cannot be told from a null or from another by.
+NO_NAMES = ("", "null", "__HIVE_DEFAULT_PARTITION__")
 
 
 def rules_of(cfg: Settings, prefix: str = "") -> list[Rule]:
@@ -82,10 +85,9 @@ def run_time(spark: SparkSession, cfg: Settings) -> dt.datetime:
 
 
 def raw_schema(spark: SparkSession, cfg: Settings) -> T.StructType:
-    """The raw documents' schema: the listed fields of a record and then the others, as the settings ask for."""
+    """The raw documents' schema: the listed fields of a record and others at any depth, as the settings ask for."""
     if cfg.record is not None:
-        known = {name.lower() for name in RECORD_FIELDS}
-        record = T.StructType([*RECORD.fields, *[f for f in cfg.record.fields if f.name.lower() not in known]])
+        record = merged(RECORD, cfg.record)
     elif cfg.extra_fields == "keep":
         record = with_extra_fields(spark, cfg.raw_path, PAYLOAD, RECORD, cfg.multiline, cfg.modified_after)
     elif cfg.extra_fields == "ignore":
@@ -98,12 +100,22 @@ def raw_schema(spark: SparkSession, cfg: Settings) -> T.StructType:
 def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> dict:
     """Add the raw files' records to bronze as one batch; with ``reset``, replace all of bronze and its rejects.
 
-    A batch of the same name is replaced, so a run may be repeated. Documents that cannot be read in full are
-    counted on the way. Only if there are any, or their number did not arrive, does a second pass write
-    them to the rejects table. Records whose number did not arrive are counted in bronze.
+    A batch of the same name is replaced, so a run may be repeated. The new rows are written as a run of their
+    own, which the catalog gets to know when the write has finished; then the old ones go, and what silver had
+    of them. A run that fails leaves both layers as they were; one that stops later is finished by the next step.
+    A reset empties silver too, as bronze then has none of its records.
+
+    Documents that cannot be read in full are counted on the way. Only if there are any, or their number did not
+    arrive, does a second pass write them to the rejects table. Records are counted by the written files' footers.
     """
     now = run_time(spark, cfg)
     batch = cfg.batch or now.strftime("%Y%m%dT%H%M%S.%f")
+    if batch in NO_NAMES:
+        raise ValueError(f"a batch cannot be called {batch!r}")
+    bronze, silver = cfg.table("bronze"), cfg.table("silver")
+    undo_unfinished(spark, bronze, silver)
+    there = partitions(spark, bronze) if table_exists(spark, bronze) else []
+    run = 1 + max((run_of(part[STEP]) or 0 for part in there if part[BATCH] == batch), default=-1)
     raw = read_json_batch(spark, cfg.raw_path, raw_schema(spark, cfg), cfg.multiline, cfg.modified_after)
     documents = Counted(
         raw,
@@ -116,15 +128,18 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
     records = explode_records(documents.rows, PAYLOAD, PAYLOAD)
     if cfg.spread:
         records = records.hint("rebalance")
-    rows = stamp(records, PAYLOAD, cfg.datasource, now, batch, list(RECORD_FIELDS))
-    _add_batch(rows, cfg, "bronze", BRONZE, BRONZE_PARTS, batch, reset)
-    silver = cfg.table("silver")
+    rows = stamp(records, PAYLOAD, cfg.datasource, now, batch, RECORD).withColumn(STEP, F.lit(str(run)))
+    if reset:
+        write_snapshot(rows, bronze, BRONZE, cfg.path("bronze"), BRONZE_PARTS, one_value=True)
+    else:
+        append_rows(rows, bronze, BRONZE, cfg.path("bronze"), BRONZE_PARTS, one_value=True)
+        drop_partitions(spark, bronze, lambda part: part[BATCH] == batch and part[STEP] != str(run))
     if table_exists(spark, silver):  # what an earlier run of this batch had loaded
-        drop_partitions(spark, silver, lambda part: part[BATCH] == batch)
-    report = documents.counts()
-    if report is None:  # what is known without reading the input again
-        written = spark.table(cfg.table("bronze")).filter(F.col(BATCH) == batch).count()
-        report = {"documents": None, "rejected": None, "records": written}
+        drop_partitions(spark, silver, lambda part: reset or part[BATCH] == batch)
+    mine = (F.col(BATCH) == batch) & (F.col(STEP) == str(run))
+    sketch_new(spark, bronze, mine)
+    report = documents.counts() or {"documents": None, "rejected": None}
+    report["records"] = spark.table(bronze).filter(mine).count()
     if report["rejected"] != 0 or table_exists(spark, cfg.table("rejects")):
         rejects = split_rejects(raw, PAYLOAD)[1] if report["rejected"] != 0 else _none(spark, REJECTS)
         rejects = rejects.withColumn(INGEST_DATE, F.lit(now.date())).withColumn(BATCH, F.lit(batch))
@@ -149,31 +164,48 @@ def _add_batch(
     append_rows(rows, table, schema, cfg.path(layer), parts, one_value=True)
 
 
-def _load(spark: SparkSession, cfg: Settings, rows: DataFrame, status: str, mark: str) -> None:
-    """Add rows to silver under the step that their records are about to take, instead of what is there of it."""
-    table = cfg.table("silver")
+def _load(cfg: Settings, rows: DataFrame) -> None:
+    """Add rows to silver, instead of what is there of their batches' steps."""
+    spark, table = rows.sparkSession, cfg.table("silver")
+    parts = [*SILVER_PARTS, *cfg.silver_partition_by]
     if table_exists(spark, table):
-        steps = {(part[BATCH], part[STEP] + mark) for part in at_status(spark, cfg.table("bronze"), status)}
+        steps = {tuple(row) for row in rows.select(*SILVER_PARTS).distinct().collect()}  # partition values alone
         drop_partitions(spark, table, lambda part: (part[BATCH], part[STEP]) in steps)
-    rows = rows.withColumn(STEP, F.concat(STEP, F.lit(mark)))
-    parts = [*SILVER_PARTS, *cfg.silver_partition_by]
     append_rows(rows, table, SILVER, cfg.path("silver"), parts, one_value=not cfg.silver_partition_by)
 
 
+def _loaded(spark: SparkSession, cfg: Settings, written: Column) -> DataFrame:
+    """The loaded records among the rows that a step has just written, flat."""
+    return flat(read_status(spark, cfg.table("bronze"), LOADED).filter(written), SILVER_PARTS)
+
+
 def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
-    """Add the clean rows among the new ones to silver, and settle every new row's status.
+    """Settle every new row's status, and add the loaded ones to silver.
 
-    Returns the counts by route, taken while the rows are written. Both writes replace what a run that was
-    cut short left, so the step may be repeated.
+    The new rows are read once: routed, counted and written by status. Silver is filled from what was written,
+    before the old rows go, so a run that is cut short is taken back by the next one and then done again.
+    Returns the counts by route.
     """
-    rules = rules_of(cfg)
-    batch = Counted(flat(read_status(spark, cfg.table("bronze"), NEW), SILVER_PARTS), counts(rules))
-    _load(spark, cfg, clean(batch.rows, rules), NEW, LOAD)
-    report = batch.counts() or {}
-    route = verdict(rules_of(cfg, f"{PAYLOAD}."), cfg.unrouted)
+    undo_unfinished(spark, cfg.table("bronze"), cfg.table("silver"))
+    if not table_exists(spark, cfg.table("silver")):
+        _load(cfg, _none(spark, SILVER))
+    rules, batch = rules_of(cfg, f"{PAYLOAD}."), []
+    route = verdict(rules, cfg.unrouted)
     outcome = F.when(route == CLEAN, LOADED).when(route == QUARANTINE, QUARANTINED)
-    settle(spark, cfg.table("bronze"), NEW, outcome, LOAD)
-    return report
+
+    def seen(rows: DataFrame) -> DataFrame:
+        batch.append(Counted(rows, counts(rules)))
+        return batch[0].rows
+
+    settle(
+        spark, cfg.table("bronze"), NEW, outcome, LOAD, seen=seen,
+        before_old_go=lambda written: _load(cfg, _loaded(spark, cfg, written)),
+    )
+    if not batch:  # nothing was new
+        return spark.range(0).select(*[F.lit(None).alias(c) for c in ("Budget", "RunTime")]).agg(
+            *counts(rules_of(cfg))
+        ).first().asDict()
+    return batch[0].counts() or {}
 
 
 def build_marts(spark: SparkSession, cfg: Settings, language_names: DataFrame | str = "English") -> None:
@@ -206,9 +238,11 @@ def repair_quarantined(spark: SparkSession, cfg: Settings) -> int:
     Returns how many records are still quarantined, which should be none. May be repeated, as the load.
     """
     bronze = cfg.table("bronze")
-    fixed = repaired(flat(read_status(spark, bronze, QUARANTINED), SILVER_PARTS), cfg)
-    _load(spark, cfg, fixed, QUARANTINED, REPAIR)
-    settle(spark, bronze, QUARANTINED, F.lit(LOADED), REPAIR)
+    undo_unfinished(spark, bronze, cfg.table("silver"))
+    settle(
+        spark, bronze, QUARANTINED, F.lit(LOADED), REPAIR,
+        before_old_go=lambda written: _load(cfg, repaired(_loaded(spark, cfg, written), cfg)),
+    )
     return read_status(spark, bronze, QUARANTINED).count()
 
 

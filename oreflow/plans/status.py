@@ -1,24 +1,32 @@
-"""Status changes of the bronze table. Rows that change move to partitions of their own."""
+"""Status changes of the bronze table. Rows that change move to partitions of their own.
+
+The new partitions of a change enter the catalog when its write has finished; after that the old ones go. A
+run that stops in between leaves both. What it left is put right by ``undo_unfinished`` before the next change, so
+every change may be run again.
+"""
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.functions.files import delete_folder, read_text, write_text
 from oreflow.operators import merge_status, one_per_key
-from oreflow.schemas import BRONZE_PARTS, RECORD_KEY, STATUS, STEP
-from oreflow.sinks.tables import drop_partitions, insert_rows, partitions
-
-
-def _place_column() -> Column:
-    """Where a row stands, from partition columns alone, so that a filter on it prunes."""
-    return F.concat_ws("/", *[F.col(c).cast("string") for c in BRONZE_PARTS])
-
+from oreflow.schemas import BATCH, BRONZE_PARTS, RECORD_KEY, STATUS, STEP
+from oreflow.settings import NEW, QUARANTINED
+from oreflow.sinks.sketches import may_hold, place_column, place_of, sketch_new
+from oreflow.sinks.tables import drop_partitions, insert_rows, partitions, table_exists
+from oreflow.sources.tables import location_of
 
-def _place(part: dict) -> str:
-    return "/".join(str(part[c]) for c in BRONZE_PARTS)
+# What a step appends to the name of a row's step: loaded from new, repaired from quarantined.
+LOAD, REPAIR = "l", "r"
+# Where a merge says what it is about to do, in the table's folder.
+INTENT = "_merge.json"
 
 
 def at_status(spark: SparkSession, table: str, status: str) -> list[dict]:
@@ -32,50 +40,133 @@ def stale_places(table: DataFrame, source: DataFrame, status: str, key: str = RE
     The source is made one row per key by an aggregate whose partitions the join does not reuse, so the
     table's side is shuffled once, unaggregated, and a hot key in it can be split.
     """
-    stale = table.filter(F.col(STATUS) != status).select(key, _place_column().alias("place"))
+    stale = table.filter(F.col(STATUS) != status).select(key, place_column().alias("place"))
     return stale.join(one_per_key(source, key), key, "left_semi").select("place").distinct()
 
 
+def run_of(step: str | None) -> int | None:
+    """The number of the run that brought a batch in, which its steps' names begin with."""
+    number = re.match(r"\d+", step or "")
+    return int(number[0]) if number else None
+
+
+def undo_unfinished(spark: SparkSession, bronze: str, silver: str | None = None) -> None:
+    """Put right what a step left that was cut short. Reads the catalog and one small file.
+
+    A merge that has written all its rows is finished, else what it wrote goes. Of a batch that was brought in
+    again only the last run counts. Rows that a step moved while their old partition is still there go,
+    in silver too, and so do rows of runs that bronze no longer has: the step will be run again.
+    """
+    if not table_exists(spark, bronze):
+        return
+    note = f"{location_of(spark, bronze).rstrip('/')}/{INTENT}"
+    intent = read_text(spark, note)
+    if intent is not None:
+        left = json.loads(intent)
+        if read_text(spark, f"{note}.{left['mark']}") is not None:
+            drop_partitions(spark, bronze, lambda part: place_of(part) in set(left["places"]))
+        else:
+            drop_partitions(spark, bronze, lambda part: (part[STEP] or "").endswith(left["mark"]))
+        delete_folder(spark, note)
+        delete_folder(spark, f"{note}.{left['mark']}")
+    there = partitions(spark, bronze)
+    last: dict[str | None, int] = {}
+    for part in there:
+        last[part[BATCH]] = max(last.get(part[BATCH], 0), run_of(part[STEP]) or 0)
+
+    def superseded(part: dict) -> bool:
+        run = run_of(part[STEP])
+        return run is not None and part[BATCH] in last and run < last[part[BATCH]]
+
+    open_at = {(p[BATCH], p[STEP] + {NEW: LOAD, QUARANTINED: REPAIR}[p[STATUS]]) for p in there if p[STATUS] in (NEW, QUARANTINED)}
+
+    def unfinished(part: dict) -> bool:
+        return superseded(part) or (part[BATCH], part[STEP]) in open_at
+
+    if any(map(unfinished, there)):
+        drop_partitions(spark, bronze, unfinished)
+    if silver is not None and table_exists(spark, silver):
+        if any(unfinished(part) or part[BATCH] not in last for part in partitions(spark, silver)):
+            drop_partitions(spark, silver, lambda part: unfinished(part) or part[BATCH] not in last)
+
+
 def update_status(
     spark: SparkSession, table: str, source: DataFrame, status: str, key: str = RECORD_KEY
 ) -> bool:
     """Merge one status into the table for every row that matches a row of ``source``, all copies of it.
 
     ``source`` is any DataFrame with the key column; it may be derived from the table itself. A first,
-    narrow pass finds the partitions that change; they alone are rewritten. Returns whether any did.
+    narrow pass finds the partitions that change; they alone are rewritten. With few keys, sketches of the
+    partitions' keys tell which of them that pass need not read. Returns whether any row changed.
+
+    What the merge will replace is noted in the table's folder before it writes, and noted again when it has
+    written; so after a stop the next call finishes it or takes it back, and then merges.
     """
+    undo_unfinished(spark, table)
     rows = spark.table(table)
-    places = [row[0] for row in stale_places(rows, source, status, key).collect()]
+    some = rows
+    if key == RECORD_KEY:
+        held = may_hold(spark, table, source, [p for p in partitions(spark, table) if p[STATUS] != status])
+        if held is not None:
+            some = rows.filter(place_column().isin([place_of(p) for p in held])) if held else rows.limit(0)
+    places = [row[0] for row in stale_places(some, source, status, key).collect()]
     if places:
-        some = rows.filter(_place_column().isin(places))
-        merged = merge_status(some, source, key, status)
-        insert_rows(merged.withColumn(STEP, F.lit(f"u{uuid.uuid4().hex[:12]}")), table, BRONZE_PARTS)
-        drop_partitions(spark, table, lambda part: _place(part) in places)
+        note = f"{location_of(spark, table).rstrip('/')}/{INTENT}"
+        mark = f"u{uuid.uuid4().hex[:12]}"
+        write_text(spark, note, json.dumps({"mark": mark, "places": places}))
+        merged = merge_status(rows.filter(place_column().isin(places)), source, key, status)
+        run = F.regexp_extract(STEP, r"^\d+", 0)
+        insert_rows(merged.withColumn(STEP, F.concat(run, F.lit(mark))), table, BRONZE_PARTS)
+        sketch_new(spark, table, F.col(STEP).endswith(mark))
+        write_text(spark, f"{note}.{mark}", "written")
+        drop_partitions(spark, table, lambda part: place_of(part) in set(places))
+        delete_folder(spark, note)
+        delete_folder(spark, f"{note}.{mark}")
     return bool(places)
 
 
 def settle(
-    spark: SparkSession, table: str, from_status: str, outcome: Column, mark: str, key: str = RECORD_KEY
+    spark: SparkSession,
+    table: str,
+    from_status: str,
+    outcome: Column,
+    mark: str,
+    key: str = RECORD_KEY,
+    seen: Callable[[DataFrame], DataFrame] | None = None,
+    before_old_go: Callable[[Column], None] | None = None,
 ) -> bool:
     """Give every row at ``from_status`` its outcome. Rows of other statuses are neither read nor changed.
 
-    The rows are written as partitions of their batch's next step, whose name is the old one's and
-    ``mark``, and the old partitions go. What a run that was cut short left of that step is replaced, so
+    The rows are read once and written as partitions of their batch's next step, whose name is the old one's and
+    ``mark``; then the old partitions go. What a run that was cut short left of that step is replaced, so
     the step may be run again. A null outcome leaves a row's status as it is, and so does a null
-    record, which has no key. Nothing is shuffled.
+    record, which has no key; a partition in which no row changes stays. Nothing is shuffled.
+
+    ``seen`` may wrap the rows that are read, to count them. ``before_old_go`` is called between the two writes
+    with a condition on the table that holds for the rows just written: what it does is done again if the run
+    is lost before the old partitions have gone.
     """
+    moved = at_status(spark, table, from_status)
+    if not moved:
+        return False
+    steps = {(part[BATCH], part[STEP] + mark) for part in moved}
+    drop_partitions(spark, table, lambda part: (part[BATCH], part[STEP]) in steps)
     rows = spark.table(table).filter(F.col(STATUS) == from_status)
+    rows = rows if seen is None else seen(rows)
     decided = F.coalesce((outcome != from_status) & F.col(key).isNotNull(), F.lit(False))
-    places = {row[0] for row in rows.filter(decided).select(_place_column().alias("place")).distinct().collect()}
-    if not places:
-        return False
-    moved = [part for part in at_status(spark, table, from_status) if _place(part) in places]
-    steps = {(part["batch"], part[STEP] + mark) for part in moved}
-    drop_partitions(spark, table, lambda part: (part["batch"], part[STEP]) in steps)
     # its tasks read one batch each, mostly, and write a file for each status: no shuffle is needed
-    status = F.when(decided, outcome).otherwise(F.col(STATUS))
-    settled = rows.filter(_place_column().isin(sorted(places))).withColumn("settled", status)
+    settled = rows.withColumn("settled", F.when(decided, outcome).otherwise(F.col(STATUS)))
     settled = settled.withColumn(STATUS, F.col("settled")).withColumn(STEP, F.concat(STEP, F.lit(mark)))
     insert_rows(settled.drop("settled"), table, BRONZE_PARTS, one_value=True)
-    drop_partitions(spark, table, lambda part: _place(part) in places)
-    return True
+    changed = {(p[BATCH], p[STEP]) for p in partitions(spark, table) if p[STATUS] != from_status} & steps
+    if steps - changed:
+        drop_partitions(spark, table, lambda part: (part[BATCH], part[STEP]) in steps - changed)
+    if changed:
+        names = sorted({step for _, step in changed})
+        written = F.col(STEP).isin(names) & F.col(BATCH).isin(sorted({batch for batch, _ in changed}))
+        sketch_new(spark, table, written)
+        if before_old_go is not None:
+            before_old_go(written)
+        old = {place_of(part) for part in moved if (part[BATCH], part[STEP] + mark) in changed}
+        drop_partitions(spark, table, lambda part: place_of(part) in old)
+    return bool(changed)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreflow.functions.extras import merged
 from oreflow.functions.files import read_start
 from oreflow.schemas import CORRUPT, SOURCE_FILE
 
@@ -46,7 +47,7 @@ def with_extra_fields(
     multiline: bool = True,
     modified_after: str | None = None,
 ) -> T.StructType:
-    """The listed record type and, after it, the fields that records in the files have beyond it.
+    """The listed record type with the fields that records in the files have beyond it, at any depth.
 
     One pass over the files, as for any inferred schema. Names that differ by case alone are refused, as
     Spark could not tell them apart.
@@ -60,9 +61,7 @@ def with_extra_fields(
     kind = next((f.dataType for f in found.fields if f.name == array_col), None)
     if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
         return listed
-    known = {name.lower() for name in listed.fieldNames()}
-    more = {f.name.lower(): f for f in kind.elementType.fields if f.name.lower() not in known}
-    return T.StructType([*listed.fields, *more.values()])
+    return merged(listed, kind.elementType)
 
 
 def is_rejected(array_col: str) -> Column:

@@ -1,0 +1,215 @@
+"""Failures and stops at every point of a step, and what small merges read."""
+
+import gzip
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import oreflow.plans.layers as layers
+import oreflow.plans.status as status_plans
+from oreflow.plans import bronze_to_silver, raw_to_bronze, repair_quarantined, update_status
+from oreflow.schemas import RECORD_KEY
+from oreflow.sinks import sketches
+from oreflow.sinks.tables import partitions
+from oreflow.sources.tables import location_of
+from tests.test_plans import ALL, AT_FLOOR, BACKWARDS, CHEAP, GOOD, NO_RUNTIME, run  # noqa: F401
+
+
+def state(run):
+    return run.statuses(), run.rows("silver", "*")
+
+
+def test_a_batch_that_fails_leaves_both_layers(run, spark):
+    run.ingest([GOOD, CHEAP], batch="a")
+    bronze_to_silver(spark, run.cfg)
+    before, files = state(run), set(run.table("bronze").inputFiles())
+    folder = run.root / f"raw-{run.files}"
+    for file in folder.iterdir():
+        file.unlink()
+    (folder / "0.json.gz").write_bytes(gzip.compress(json.dumps({"movie": [AT_FLOOR]}).encode())[:-20] + b"broken")
+    with pytest.raises(Exception, match="(?i)crc|trailer|corrupt|stream|EOF|invalid|block|incorrect"):
+        raw_to_bronze(spark, run.cfg)
+    assert state(run) == before and set(run.table("bronze").inputFiles()) == files
+    (folder / "0.json.gz").write_bytes(gzip.compress(json.dumps({"movie": [AT_FLOOR]}).encode()))
+    assert raw_to_bronze(spark, run.cfg)["records"] == 1
+    assert run.statuses() == {(2, "new"): 1} and run.rows("silver", "Id") == []
+
+
+def test_a_batch_in_a_failing_write_leaves_both_layers(run, spark, monkeypatch):
+    run.ingest([GOOD, CHEAP], batch="a")
+    bronze_to_silver(spark, run.cfg)
+    before = state(run)
+
+    def broken(records, *args, **kwargs):
+        bad = F.when(F.col("movie.Id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("datasource"))
+        return real(records, *args, **kwargs).withColumn("datasource", F.coalesce(bad, F.lit("")))
+
+    real = layers.stamp
+    with monkeypatch.context() as patch:
+        patch.setattr(layers, "stamp", broken)
+        with pytest.raises(Exception, match="lost"):
+            raw_to_bronze(spark, run.cfg)
+    assert state(run) == before
+
+
+@pytest.mark.parametrize("lost_at", [1, 2, 3])
+def test_a_stop_after_a_batch_was_written_again(run, spark, monkeypatch, lost_at):
+    """Old rows still there beside the new ones: the next step, whichever it is, drops them."""
+    run.ingest([GOOD, CHEAP], batch="a")
+    run.ingest([GOOD, AT_FLOOR], batch="b")
+    bronze_to_silver(spark, run.cfg)
+    raw = run.settings(day=9, batch="a")
+    real, calls = layers.drop_partitions, []
+
+    def stop(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == lost_at:
+            raise ZeroDivisionError
+        return real(*args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(layers, "drop_partitions", stop)
+        if lost_at < 3:
+            with pytest.raises(ZeroDivisionError):
+                raw_to_bronze(spark, raw)
+    bronze_to_silver(spark, run.cfg)
+    repair_quarantined(spark, run.cfg)
+    loaded = run.table("bronze").groupBy("batch").count().collect()
+    silver = run.table("silver").groupBy("batch").count().collect()
+    assert {tuple(r) for r in loaded} == {tuple(r) for r in silver} == {("a", 2), ("b", 2)}
+
+
+@pytest.mark.parametrize("lost, after", [
+    ("insert_rows", False), ("insert_rows", True), ("write_text", True), ("drop_partitions", False),
+    ("drop_partitions", True), ("delete_folder", True),
+])
+def test_a_merge_may_be_stopped_anywhere(run, spark, monkeypatch, lost, after):
+    run.ingest(ALL, batch="a")
+    run.ingest([GOOD, CHEAP], batch="b")
+    table = run.cfg.table("bronze")
+    source = spark.table(table).filter("movie.Id in (1, 3)").select(RECORD_KEY).distinct()
+    source = spark.createDataFrame(source.collect(), source.schema)
+    real = getattr(status_plans, lost)
+
+    def stop(*args, **kwargs):
+        if after:
+            real(*args, **kwargs)
+        raise ZeroDivisionError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(status_plans, lost, stop)
+        with pytest.raises(ZeroDivisionError):
+            update_status(spark, table, source, "quarantined")
+    want = {(1, "quarantined"): 2, (3, "quarantined"): 2, (2, "new"): 1, (4, "new"): 1, (5, "new"): 1, (6, "new"): 1}
+    update_status(spark, table, source, "quarantined")
+    assert run.statuses() == want
+    assert not update_status(spark, table, source, "quarantined")
+    bronze_to_silver(spark, run.cfg)
+    assert sum(run.statuses().values()) == 8 and run.rows("silver", "Id") == [(2,)]
+
+
+def test_settling_stopped_before_silver_is_done_again(run, spark, monkeypatch):
+    run.ingest([AT_FLOOR], batch="z")
+    bronze_to_silver(spark, run.cfg)
+    run.ingest([GOOD, CHEAP, NO_RUNTIME], batch="a", unrouted="keep")
+    for step in (bronze_to_silver, repair_quarantined):
+        with monkeypatch.context() as patch:
+            patch.setattr(layers, "append_rows", lambda *a, **k: 1 / 0)
+            if step is bronze_to_silver or run.table("bronze").filter("status = 'quarantined'").count():
+                with pytest.raises(ZeroDivisionError):
+                    step(spark, run.cfg)
+        # another step comes first: what the stopped one moved is taken back before
+        repair_quarantined(spark, run.cfg)
+        bronze_to_silver(spark, run.cfg)
+    repair_quarantined(spark, run.cfg)
+    assert run.statuses() == {(1, "loaded"): 1, (2, "loaded"): 1, (3, "loaded"): 1, (6, "new"): 1}
+    assert run.rows("silver", "Id") == [(1,), (2,), (3,)]
+
+
+def test_new_rows_are_read_once(run, spark, monkeypatch):
+    run.ingest([GOOD, CHEAP, AT_FLOOR, BACKWARDS], batch="a")
+    new = [f.removeprefix("file:") for f in run.table("bronze").inputFiles()]
+    real = status_plans.insert_rows
+
+    def then_gone(df, *args, **kwargs):
+        real(df, *args, **kwargs)
+        for file in new:  # whatever reads them again fails
+            open(file, "wb").close()
+
+    monkeypatch.setattr(status_plans, "insert_rows", then_gone)
+    report = bronze_to_silver(spark, run.cfg)
+    assert (report["n"], report["clean"], report["quarantine"]) == (4, 2, 2)
+    assert run.rows("silver", "Id") == [(1,), (2,)]
+
+
+def test_reset_empties_silver(run, spark):
+    run.ingest([GOOD], batch="a")
+    run.ingest([GOOD, AT_FLOOR], batch="b")
+    bronze_to_silver(spark, run.cfg)
+    run.ingest([AT_FLOOR], batch="b", reset=True)
+    assert run.rows("silver", "Id") == [] and run.statuses() == {(2, "new"): 1}
+    bronze_to_silver(spark, run.cfg)
+    assert run.rows("silver", "Id") == [(2,)] and run.statuses() == {(2, "loaded"): 1}
+
+
+@pytest.mark.parametrize("name", ["null", "__HIVE_DEFAULT_PARTITION__"])
+def test_names_that_mean_null_are_refused(run, name):
+    with pytest.raises(ValueError, match="cannot be called"):
+        run.ingest([GOOD], batch=name)
+
+
+# ---- sketches --------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def days(run, spark):
+    """Six batches of forty records, settled."""
+    for day in range(1, 7):
+        run.ingest([{**GOOD, "Id": 100 * day + i} for i in range(40)], day=day)
+        bronze_to_silver(spark, run.cfg)
+    return run
+
+
+def test_a_small_merge_reads_the_partitions_that_hold_its_keys(days, spark, monkeypatch):
+    table, asked = days.cfg.table("bronze"), []
+    real = status_plans.stale_places
+    monkeypatch.setattr(
+        status_plans, "stale_places", lambda rows, *a: (asked.append(len(rows.inputFiles())), real(rows, *a))[1]
+    )
+    source = spark.table(table).filter("movie.Id in (305, 507)")
+    assert update_status(spark, table, source, "quarantined")
+    assert 2 <= asked[0] <= 4 and days.table("bronze").filter("status = 'quarantined'").count() == 2
+    # a key that no partition holds reads none of them, mostly
+    assert not update_status(spark, table, spark.range(1).select(F.unhex(F.sha2(F.lit("x"), 256)).alias(RECORD_KEY)), "new")
+    assert asked[1] <= 2
+
+
+def test_partitions_without_a_sketch_are_read(days, spark):
+    table = days.cfg.table("bronze")
+    base = sketches._folder(spark, table)
+    kept = [f for f in sketches.folders(spark, base)]
+    for folder in kept[::2]:
+        sketches.delete_folder(spark, folder)
+    source = spark.table(table).filter("movie.Id % 100 = 7")
+    assert update_status(spark, table, source, "quarantined")
+    assert days.table("bronze").filter("status = 'quarantined'").count() == 6
+
+
+def test_sketches_miss_no_key_and_few_others(days, spark):
+    table = days.cfg.table("bronze")
+    parts = partitions(spark, table)
+    for row in spark.table(table).groupBy("batch").agg(F.min(RECORD_KEY).alias(RECORD_KEY)).collect():
+        key = spark.createDataFrame([(bytes(row[RECORD_KEY]),)], f"{RECORD_KEY} binary")
+        held = sketches.may_hold(spark, table, key, parts)
+        assert row["batch"] in {p["batch"] for p in held} and len(held) <= 3
+    assert sketches.may_hold(spark, table, spark.table(table).limit(0), parts) == []
+    many = spark.range(5000).select(F.col("id").cast("string").cast("binary").alias(RECORD_KEY))
+    assert sketches.may_hold(spark, table, many, parts) is None
+
+
+def test_sketches_go_with_their_partitions(days, spark):
+    table = days.cfg.table("bronze")
+    # those of the partitions dropped last go with the next change
+    assert len(sketches.folders(spark, sketches._folder(spark, table))) <= 1 + len(partitions(spark, table)) == 7
+    assert location_of(spark, table) in sketches._folder(spark, table)
