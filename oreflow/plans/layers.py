@@ -1,32 +1,18 @@
-"""The four batch steps: raw to bronze, bronze to silver, silver to marts, and repair."""
+"""The batch steps: raw to bronze, bronze to silver, and repair."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.extras import merged
-from oreflow.operators import (
-    code_dimension,
-    dimension,
-    entity,
-    explode_records,
-    flatten,
-    junction,
-    repair,
-    split,
-    stamp,
-    strict,
-    verdict,
-)
+from oreflow.operators import explode_records, flatten, repair, split, stamp, strict, verdict
 from oreflow.operators import budget_only as budget_rule
-from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, clean, counts
+from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, counts
 from oreflow.plans.counting import Counted
 from oreflow.plans.status import LOAD, REPAIR, run_of, settle, undo_unfinished
 from oreflow.schemas import (
@@ -34,12 +20,7 @@ from oreflow.schemas import (
     BRONZE,
     BRONZE_PARTS,
     DATE_FIELDS,
-    GENRE,
     INGEST_DATE,
-    LANGUAGE,
-    MOVIE,
-    MOVIE_COLUMNS,
-    MOVIE_GENRE,
     RECORD,
     RECORD_FIELDS,
     REJECTS,
@@ -208,30 +189,6 @@ def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
     return batch[0].counts() or {}
 
 
-def build_marts(spark: SparkSession, cfg: Settings, language_names: DataFrame | str = "English") -> None:
-    """Rebuild the movie, genre, language and movie-genre tables.
-
-    Movie and language come from silver. Genre and junction come from the loaded bronze records
-    that pass the rules as they arrived, so records loaded after repair are not among them.
-    """
-    silver = spark.table(cfg.table("silver"))
-    loaded = clean(flat(read_status(spark, cfg.table("bronze"), LOADED)), rules_of(cfg))
-    marts = {
-        "movie": (entity(silver, MOVIE_COLUMNS), MOVIE),
-        "genre": (dimension(loaded, "genres"), GENRE),
-        "language": (code_dimension(silver, "OriginalLanguage", language_names), LANGUAGE),
-        "movie_genre": (junction(loaded, "Id", "genres.id"), MOVIE_GENRE),
-    }
-
-    def write(name: str) -> None:
-        rows, schema = marts[name]
-        write_snapshot(rows, cfg.table(name), schema, cfg.path(name))
-
-    # four independent jobs: run together, one fills the executors another leaves idle
-    with ThreadPoolExecutor(len(marts)) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), marts))
-
-
 def repair_quarantined(spark: SparkSession, cfg: Settings) -> int:
     """Repair the quarantined records, add them to silver and mark them loaded.
 
