@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from oreflow.schemas import (
     BRONZE,
     BRONZE_PARTS,
     DATE_FIELDS,
+    FILES,
     INGEST_DATE,
     RECORD,
     RECORD_FIELDS,
@@ -34,6 +36,7 @@ from oreflow.sinks.sketches import sketch_new
 from oreflow.sinks.tables import partitions
 from oreflow.sources import read_json_batch, read_status, split_rejects, with_extra_fields
 from oreflow.sources.json_files import is_rejected
+from oreflow.sources.ledger import arrived, listed_files, not_copies, with_digest
 
 PAYLOAD = "movie"
 # Names that a partition cannot be told from a null or from another by.
@@ -65,6 +68,30 @@ def run_time(spark: SparkSession, cfg: Settings) -> dt.datetime:
     return dt.datetime.fromisoformat(spark.range(1).select(now).first()[0])
 
 
+def unread_files(spark: SparkSession, cfg: Settings, batch: str, run: str) -> list[str]:
+    """The raw files that no other batch has read, noted in the ledger as those of this run.
+
+    A run's notes count from the moment on that bronze has its records; so a run that fails leaves none. Files
+    that are copies of others are noted too, but not read. A batch that is run again may read its files again.
+    """
+    ledger, parts = cfg.table("raw_files"), [BATCH, STEP]
+    files = listed_files(spark, cfg.raw_path)
+    if cfg.modified_after is not None:
+        files = files.filter(F.col("modified") > F.lit(cfg.modified_after).cast("timestamp"))
+    if table_exists(spark, ledger):
+        drop_partitions(spark, ledger, lambda part: (part[BATCH], part[STEP]) == (batch, run))
+    bronze = cfg.table("bronze")
+    there = partitions(spark, bronze) if table_exists(spark, bronze) else []
+    runs = {f"{p[BATCH]}/{run_of(p[STEP])}" for p in there if p[BATCH] != batch and run_of(p[STEP]) is not None}
+    known = spark.table(ledger) if table_exists(spark, ledger) else _none(spark, FILES)
+    known = known.filter(F.concat_ws("/", BATCH, STEP).isin(sorted(runs)) if runs else F.lit(False))
+    new = with_digest(spark, arrived(files, known))
+    noted = new.withColumn(BATCH, F.lit(batch)).withColumn(STEP, F.lit(run))
+    append_rows(noted, ledger, FILES, cfg.path("raw_files"), parts, one_value=True)
+    mine = spark.table(ledger).filter((F.col(BATCH) == batch) & (F.col(STEP) == run))
+    return [row["path"] for row in not_copies(mine, known).collect()]
+
+
 def raw_schema(spark: SparkSession, cfg: Settings) -> T.StructType:
     """The raw documents' schema: the listed fields of a record and others at any depth, as the settings ask for."""
     if cfg.record is not None:
@@ -97,7 +124,10 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
     undo_unfinished(spark, bronze, silver)
     there = partitions(spark, bronze) if table_exists(spark, bronze) else []
     run = 1 + max((run_of(part[STEP]) or 0 for part in there if part[BATCH] == batch), default=-1)
-    raw = read_json_batch(spark, cfg.raw_path, raw_schema(spark, cfg), cfg.multiline, cfg.modified_after)
+    if cfg.ledger:
+        cfg = replace(cfg, raw=unread_files(spark, cfg, batch, str(run)), modified_after=None)
+    schema = raw_schema(spark, cfg)
+    raw = read_json_batch(spark, cfg.raw_path, schema, cfg.multiline, cfg.modified_after)
     documents = Counted(
         raw,
         [

@@ -73,6 +73,11 @@ REJECTS = struct(
     batch=T.StringType(),
 )
 
+FILES = struct(
+    path=T.StringType(), length=T.LongType(), modified=T.TimestampType(), lines=T.LongType(), digest=T.StringType(),
+    batch=T.StringType(), step=T.StringType(),
+)
+
 
 def bronze_of(payload: str, record: T.StructType) -> T.StructType:
     """Bronze table schema for records of the given type."""

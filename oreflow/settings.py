@@ -34,6 +34,8 @@ class Settings:
     that are many and alike do better without.
 
     ``raw`` is a folder or a list of paths, of which only files changed after ``modified_after`` are read.
+    With ``ledger`` the files that a run reads are kept in a table, and later runs read those alone that it lacks: late
+    files with old times are read, and a file sent again, with the same lines under any name or time, is not.
     ``batch`` names the run's batch; a run of the same batch replaces it. Without a name it is called after
     the batch's time. ``extra_fields`` says what becomes of raw fields that are not listed: ``keep`` finds
     them by a pass over the raw files, ``ignore`` saves that pass for feeds known to have none. ``record``, the
@@ -45,6 +47,7 @@ class Settings:
     database: str = "default"
     raw: str | Sequence[str] | None = None
     modified_after: str | None = None
+    ledger: bool = False
     batch: str | None = None
     extra_fields: str = "keep"
     record: T.StructType | None = None
@@ -59,7 +62,7 @@ class Settings:
 
     @property
     def raw_path(self) -> str | Sequence[str]:
-        return self.raw or f"{self.root}/raw"
+        return f"{self.root}/raw" if self.raw is None else self.raw
 
     def table(self, layer: str) -> str:
         return f"{self.database}.{self.tables.get(layer, layer)}"

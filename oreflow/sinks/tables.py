@@ -222,8 +222,3 @@ def replace_partitions(
         spark.conf.set(mode, was)
     drop_partitions(spark, table, lambda p: p[partition_col] in wanted - there)
     spark.catalog.refreshTable(table)
-
-
-def distinct_values(df: DataFrame, column: str) -> list:
-    """A partition column's values: as many as the table has partitions, not as it has rows."""
-    return [row[0] for row in df.select(column).distinct().orderBy(F.col(column)).collect()]

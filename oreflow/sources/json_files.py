@@ -35,6 +35,9 @@ def read_json_batch(
         if CORRUPT not in schema.fieldNames():
             schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.schema(schema)
+    if not isinstance(paths, str) and not list(paths):  # no files, no rows
+        empty = spark.createDataFrame([], schema or T.StructType([T.StructField(CORRUPT, T.StringType())]))
+        return empty.withColumn(SOURCE_FILE, F.lit(None).cast("string"))
     paths = paths if isinstance(paths, str) else list(paths)
     return reader.json(paths).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 

@@ -39,12 +39,12 @@ def _bare(path: str) -> str:
 def table_at(spark: SparkSession, path: str, database: str = "default") -> str:
     """Name of the table whose rows live under a layer's folder.
 
-    Catalog look-ups only. Tables are found through the catalog because it alone knows which of a
-    layer's run folders are current.
+    One look-up in the catalog, whatever the number of tables: it alone knows which of a layer's run folders is
+    current.
     """
-    for entry in spark.catalog.listTables(database):
-        name = f"{database}.{entry.name}"
-        place = None if entry.isTemporary or entry.tableType == "VIEW" else location_if_any(spark, name)
+    for row in spark.sql(f"SHOW TABLE EXTENDED IN {database} LIKE '*'").collect():
+        facts = dict(line.split(": ", 1) for line in row["information"].splitlines() if ": " in line)
+        place = None if row["isTemporary"] or facts.get("Type") == "VIEW" else facts.get("Location")
         if place is not None and f"{_bare(place)}/".startswith(f"{_bare(path)}/"):
-            return name
+            return f"{database}.{row['tableName']}"
     raise LookupError(f"no table of {database} is registered under {path}")
