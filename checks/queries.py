@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from checks import records as R
 from oreflow.functions import as_int, record_key
+from oreflow.functions.files import write_text
 from oreflow.operators import (
     budget_only,
     code_dimension,
@@ -41,6 +42,7 @@ from oreflow.plans import (
     raw_to_bronze,
     rebuild_silver,
     repair_quarantined,
+    update_marts,
     update_status,
 )
 from oreflow.schemas import BRONZE_PARTS, INGEST_DATE, RAW, RECORD_FIELDS, RECORD_KEY, SILVER, SILVER_PARTS, bronze_of, struct
@@ -931,6 +933,103 @@ def run_rebuilt_silver(spark, sf_dir):
     return movie_scalars(spark.table(cfg.table("silver")))
 
 
+@check(movie("""select distinct "Id", u.i.id genre_id, 's' || "Id" as slug, 2 as n_keys from movie, unnest(genres) u(i)"""))
+def unlisted_nested_fields(spark, sf_dir):
+    """Records with a field beyond the listed ones inside an array of structs: kept, in place, and part of the key."""
+    cfg = fresh(spark, sf_dir, root=shared_folder(spark, "nested"), database=database(spark))
+
+    def write(folder):
+        value = F.concat(F.lit("s"), F.col("movie.Id"))
+        rows = R.movies(spark, sf_dir).select("movie", F.explode(F.array(value, F.lit("other"))).alias("slug"))
+        genres = F.transform("movie.genres", lambda genre: genre.withField("slug", F.col("slug")))
+        rows.select(F.array(F.col("movie").withField("genres", genres)).alias("movie")).write.json(folder)
+
+    cfg = replace(cfg, raw=R.written(spark, "raw-nested", sf_dir, write), multiline=False)
+    raw_to_bronze(spark, cfg)
+    more = F.from_json("extra", "genres array<struct<slug string>>")["genres"]
+    rows = spark.table(cfg.table("bronze")).withColumn("more", more)
+    items = rows.select("movie.Id", F.explode(F.arrays_zip("movie.genres", "more")).alias("item"))
+    items = items.select("Id", F.col("item.genres.id").alias("genre_id"), F.col("item.more.slug").alias("slug"))
+    keys = rows.select("movie.Id", RECORD_KEY).groupBy("Id").agg(F.count_distinct(RECORD_KEY).cast("int").alias("n_keys"))
+    return items.filter("slug <> 'other'").distinct().join(keys, "Id")
+
+
+@check(movie(f"""select case when {MOVIE_STRICT} then 'loaded' else 'quarantined' end status, count(*) n,
+  max(s.n_silver) n_silver, true failed from movie, (select count(*) n_silver from movie where {MOVIE_STRICT}) s group by 1"""))
+def load_after_failure(spark, sf_dir):
+    """A loaded batch is delivered again with a file that cannot be read: the run fails, both layers stay."""
+    cfg = fresh(spark, sf_dir, batch="one", root=shared_folder(spark, "failing"), database=database(spark))
+    raw_to_bronze(spark, cfg)
+    bronze_to_silver(spark, cfg)
+    broken = f"{shared_folder(spark, 'raw-broken')}/a.json.gz"
+    write_text(spark, broken, "not compressed")
+    failed = False
+    try:
+        raw_to_bronze(spark, replace(cfg, raw=broken, extra_fields="ignore"))
+    except Exception:  # whatever the reader raises
+        failed = True
+    bronze_to_silver(spark, cfg)
+    n_silver = spark.table(cfg.table("silver")).count()
+    bronze = spark.table(cfg.table("bronze")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return bronze.withColumns({"n_silver": F.lit(n_silver).cast("long"), "failed": F.lit(failed)})
+
+
+def in_thirds(spark, sf_dir, label) -> list[Settings]:
+    """The movie files as three batches of one feed."""
+    files = raw_files(spark, R.documents(spark, sf_dir, "movie")).orderBy("path").select("path").collect()
+    where = {"root": shared_folder(spark, label), "database": database(spark)}
+    paths = [row["path"] for row in files]
+    return [replace(fresh(spark, sf_dir, k + 1, batch=f"b{k}", **where), raw=paths[k::3]) for k in range(3)]
+
+
+@check(movie(f"""select 'movie' mart, cast("Id" as varchar) a, "Title" b, count(*) n from movie where {MOVIE_STRICT} group by all
+union all select 'genre', cast(id as varchar), name, count(distinct 1) from (select u.i.id, trim(u.i.name) as name
+  from movie, unnest(genres) u(i) where {MOVIE_STRICT}) where name <> '' and id is not null group by all
+union all select 'language', "OriginalLanguage", 'English', count(distinct 1) from movie where {MOVIE_STRICT} group by all
+union all select 'movie_genre', cast("Id" as varchar), cast(u.i.id as varchar), count(distinct 1)
+  from movie, unnest(genres) u(i) where {MOVIE_STRICT} group by all"""))
+def marts_by_batch(spark, sf_dir):
+    """Marts brought up to date after each of three batches, of which the second is delivered twice."""
+    one, two, three = in_thirds(spark, sf_dir, "by-batch")
+    for cfg in (one, two, three, two):
+        raw_to_bronze(spark, cfg)
+        bronze_to_silver(spark, cfg)
+        update_marts(spark, cfg)
+    rows = None
+    for name, a, b in (("movie", "Id", "Title"), ("genre", "id", "name"), ("language", "code", "name"),
+                       ("movie_genre", "movie_id", "genres_id")):
+        mart = spark.table(cfg.table(name)).select(F.lit(name).alias("mart"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))
+        rows = mart if rows is None else rows.unionByName(mart)
+    return rows.groupBy("mart", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check(movie('select "Id", count(*) n, count(distinct "Id") n_ids from movie group by 1'))
+def ledger_of_files(spark, sf_dir):
+    """Runs over a growing set of files, a file sent again under another name among them: each record counts once."""
+    files = raw_files(spark, R.documents(spark, sf_dir, "movie")).orderBy("path").select("path").collect()
+    paths, again = [row["path"] for row in files], shared_folder(spark, "again")
+    spark.read.text(paths[0]).coalesce(1).write.text(again)
+    where = {"root": shared_folder(spark, "ledger"), "database": database(spark), "ledger": True}
+    for day, some in ((1, paths[::2]), (2, paths), (3, [*paths, again])):
+        cfg = replace(fresh(spark, sf_dir, day, **where), raw=some)
+        raw_to_bronze(spark, cfg)
+    rows = spark.table(cfg.table("bronze"))
+    return rows.groupBy("movie.Id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("movie.Id").alias("n_ids"))
+
+
+@check(movie(f"""select case when "Id" in (select distinct "Id" from movie order by 1 limit 2) then 'quarantined'
+  when {MOVIE_STRICT} then 'loaded' else 'quarantined' end status, count(*) n from movie group by 1"""))
+def merge_of_few_keys(spark, sf_dir):
+    """Two records of three settled batches are quarantined by key: sketches say which partitions to look into."""
+    for cfg in in_thirds(spark, sf_dir, "few-keys"):
+        raw_to_bronze(spark, cfg)
+        bronze_to_silver(spark, cfg)
+    table = spark.table(cfg.table("bronze"))
+    two = [row[0] for row in table.select("movie.Id").distinct().orderBy("Id").limit(2).collect()]
+    update_status(spark, cfg.table("bronze"), table.filter(F.col("movie.Id").isin(two)), "quarantined")
+    return spark.table(cfg.table("bronze")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- flagship --------------------------------------------------------------------------------
 
 
