@@ -2,8 +2,9 @@
 
 BENCH_SF_DIR names the folder, BENCH_CPUS the number of cores, BENCH_RUNS how often each step runs;
 the median counts. Inputs (raw files, bronze) are written before the clock starts. The bytes each step
-shuffles and the rows it writes come from Spark's event log, in BENCH_EVENT_LOG or a temporary folder.
-Two steps load the same small batch after 3 and after 30 days of settled history: they should take alike.
+reads and shuffles and the rows it writes come from Spark's event log, in BENCH_EVENT_LOG or a temporary folder.
+Three steps run after 3 and after 30 days of settled history: a small batch, the marts brought up to date, a merge
+of one key. Each pair should take alike.
 """
 
 from __future__ import annotations
@@ -27,11 +28,14 @@ from checks import queries as Q  # noqa: E402
 from checks import records as R  # noqa: E402
 from oreflow import Settings  # noqa: E402
 from oreflow.operators import explode_records, profile, stamp, strict  # noqa: E402
-from oreflow.plans import bronze_to_silver, build_marts, raw_to_bronze, repair_quarantined  # noqa: E402
+from oreflow.plans import (  # noqa: E402
+    bronze_to_silver, build_marts, raw_to_bronze, repair_quarantined, update_marts, update_status,
+)
 from oreflow.plans.layers import flat  # noqa: E402
-from oreflow.schemas import BRONZE, BRONZE_PARTS, RAW  # noqa: E402
+from oreflow.schemas import BRONZE, BRONZE_PARTS, RAW, RECORD_KEY  # noqa: E402
 from oreflow.settings import shared_folder  # noqa: E402
 from oreflow.sinks import append_rows  # noqa: E402
+from oreflow.sinks.sketches import sketch_run  # noqa: E402
 from oreflow.sources import raw_files, read_json_batch  # noqa: E402
 
 QUERIES = [
@@ -125,7 +129,15 @@ def main() -> None:
                 bronze_to_silver(spark, new)
 
             clock(f"run_new_batch_after_{days}_days", load)
-        taken[f"run_new_batch_after_{days}_days"].pop(0)
+            clock(f"run_update_marts_after_{days}_days", lambda: update_marts(spark, cfg))
+        table = cfg.table("bronze")
+        one = spark.table(table).filter("p_ingestdate = date '2024-03-01'").agg(F.min(RECORD_KEY))
+        one = spark.createDataFrame([(bytes(one.first()[0]),)], f"{RECORD_KEY} binary")
+        for attempt in range(runs + 1):
+            status = ("quarantined", "loaded")[attempt % 2]
+            clock(f"run_small_merge_after_{days}_days", lambda status=status: update_status(spark, table, one, status))
+        for step in ("new_batch", "update_marts", "small_merge"):
+            taken[f"run_{step}_after_{days}_days"].pop(0)
 
     medians = {name: round(statistics.median(times), 4) for name, times in taken.items()}
     result = {
@@ -141,8 +153,9 @@ def main() -> None:
     app = spark.sparkContext.applicationId
     spark.stop()
     times = {n: runs + 1 if n.startswith("run_") else runs for n in medians}
-    moved, rows = moved_by_step(f"{log_dir}/{app}")
+    moved, rows, read = moved_by_step(f"{log_dir}/{app}")
     result["shuffle_bytes"] = {n: moved.get(n, 0) // times[n] for n in medians}
+    result["bytes_read"] = {n: read.get(n, 0) // times[n] for n in medians}
     result["rows_written"] = {n: rows.get(n, 0) // times[n] for n in medians}
     print(json.dumps(result))
 
@@ -157,11 +170,14 @@ def history(spark, cfg: Settings, days: int) -> None:
     status = F.when(F.col("movie.Budget") >= 1e6, "loaded").otherwise("quarantined")
     rows = rows.withColumn("status", status).drop("day")
     append_rows(rows, cfg.table("bronze"), BRONZE, cfg.path("bronze"), BRONZE_PARTS)
+    for day in range(days):
+        mine = spark.table(cfg.table("bronze")).filter(F.col("batch") == f"day{day}")
+        sketch_run(spark, cfg.table("bronze"), f"day{day}", 0, mine, mine.count())
 
 
-def moved_by_step(log: str) -> tuple[Counter, Counter]:
-    """Shuffle bytes and rows written per job description."""
-    step_of, moved, rows = {}, Counter(), Counter()
+def moved_by_step(log: str) -> tuple[Counter, Counter, Counter]:
+    """Shuffle bytes, rows written and bytes read per job description."""
+    step_of, moved, rows, read = {}, Counter(), Counter(), Counter()
     with open(log) as events:
         for event in map(json.loads, events):
             if event["Event"] == "SparkListenerJobStart":
@@ -171,7 +187,8 @@ def moved_by_step(log: str) -> tuple[Counter, Counter]:
                 metrics, step = event["Task Metrics"], step_of.get(event["Stage ID"])
                 moved[step] += metrics["Shuffle Write Metrics"]["Shuffle Bytes Written"]
                 rows[step] += metrics["Output Metrics"]["Records Written"]
-    return moved, rows
+                read[step] += metrics["Input Metrics"]["Bytes Read"]
+    return moved, rows, read
 
 
 if __name__ == "__main__":

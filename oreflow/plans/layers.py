@@ -15,7 +15,7 @@ from oreflow.operators import explode_records, flatten, repair, split, stamp, st
 from oreflow.operators import budget_only as budget_rule
 from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, counts
 from oreflow.plans.counting import Counted
-from oreflow.plans.status import LOAD, REPAIR, run_of, settle, undo_unfinished
+from oreflow.plans.status import LOAD, REPAIR, settle, undo_unfinished
 from oreflow.schemas import (
     BATCH,
     BRONZE,
@@ -32,7 +32,7 @@ from oreflow.schemas import (
 )
 from oreflow.settings import LOADED, NEW, QUARANTINED, Settings
 from oreflow.sinks import append_rows, drop_partitions, table_exists, write_snapshot
-from oreflow.sinks.sketches import sketch_new
+from oreflow.sinks.sketches import run_of, sketch_run
 from oreflow.sinks.tables import partitions
 from oreflow.sources import read_json_batch, read_status, split_rejects, with_extra_fields
 from oreflow.sources.json_files import is_rejected
@@ -147,10 +147,10 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
         drop_partitions(spark, bronze, lambda part: part[BATCH] == batch and part[STEP] != str(run))
     if table_exists(spark, silver):  # what an earlier run of this batch had loaded
         drop_partitions(spark, silver, lambda part: reset or part[BATCH] == batch)
-    mine = (F.col(BATCH) == batch) & (F.col(STEP) == str(run))
-    sketch_new(spark, bronze, mine)
+    mine = spark.table(bronze).filter((F.col(BATCH) == batch) & (F.col(STEP) == str(run)))
     report = documents.counts() or {"documents": None, "rejected": None}
-    report["records"] = spark.table(bronze).filter(mine).count()
+    report["records"] = mine.count()
+    sketch_run(spark, bronze, batch, run, mine, report["records"])
     if report["rejected"] != 0 or table_exists(spark, cfg.table("rejects")):
         rejects = split_rejects(raw, PAYLOAD)[1] if report["rejected"] != 0 else _none(spark, REJECTS)
         rejects = rejects.withColumn(INGEST_DATE, F.lit(now.date())).withColumn(BATCH, F.lit(batch))
@@ -175,19 +175,19 @@ def _add_batch(
     append_rows(rows, table, schema, cfg.path(layer), parts, one_value=True)
 
 
-def _load(cfg: Settings, rows: DataFrame) -> None:
-    """Add rows to silver, instead of what is there of their batches' steps."""
+def _load(cfg: Settings, rows: DataFrame, steps: set[tuple[str, str]]) -> None:
+    """Add rows of these batches and steps to silver, instead of what is there of them."""
     spark, table = rows.sparkSession, cfg.table("silver")
     parts = [*SILVER_PARTS, *cfg.silver_partition_by]
     if table_exists(spark, table):
-        steps = {tuple(row) for row in rows.select(*SILVER_PARTS).distinct().collect()}  # partition values alone
         drop_partitions(spark, table, lambda part: (part[BATCH], part[STEP]) in steps)
     append_rows(rows, table, SILVER, cfg.path("silver"), parts, one_value=not cfg.silver_partition_by)
 
 
-def _loaded(spark: SparkSession, cfg: Settings, written: Column) -> DataFrame:
+def _loaded(spark: SparkSession, cfg: Settings, steps: set[tuple[str, str]]) -> DataFrame:
     """The loaded records among the rows that a step has just written, flat."""
-    return flat(read_status(spark, cfg.table("bronze"), LOADED).filter(written), SILVER_PARTS)
+    here = F.concat_ws("/", BATCH, STEP).isin(sorted(f"{batch}/{step}" for batch, step in steps))
+    return flat(read_status(spark, cfg.table("bronze"), LOADED).filter(here), SILVER_PARTS)
 
 
 def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
@@ -199,7 +199,7 @@ def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
     """
     undo_unfinished(spark, cfg.table("bronze"), cfg.table("silver"))
     if not table_exists(spark, cfg.table("silver")):
-        _load(cfg, _none(spark, SILVER))
+        _load(cfg, _none(spark, SILVER), set())
     rules, batch = rules_of(cfg, f"{PAYLOAD}."), []
     route = verdict(rules, cfg.unrouted)
     outcome = F.when(route == CLEAN, LOADED).when(route == QUARANTINE, QUARANTINED)
@@ -210,7 +210,7 @@ def bronze_to_silver(spark: SparkSession, cfg: Settings) -> dict:
 
     settle(
         spark, cfg.table("bronze"), NEW, outcome, LOAD, seen=seen,
-        before_old_go=lambda written: _load(cfg, _loaded(spark, cfg, written)),
+        before_old_go=lambda steps: _load(cfg, _loaded(spark, cfg, steps), steps),
     )
     if not batch:  # nothing was new
         return spark.range(0).select(*[F.lit(None).alias(c) for c in ("Budget", "RunTime")]).agg(
@@ -228,7 +228,7 @@ def repair_quarantined(spark: SparkSession, cfg: Settings) -> int:
     undo_unfinished(spark, bronze, cfg.table("silver"))
     settle(
         spark, bronze, QUARANTINED, F.lit(LOADED), REPAIR,
-        before_old_go=lambda written: _load(cfg, repaired(_loaded(spark, cfg, written), cfg)),
+        before_old_go=lambda steps: _load(cfg, repaired(_loaded(spark, cfg, steps), cfg), steps),
     )
     return read_status(spark, bronze, QUARANTINED).count()
 

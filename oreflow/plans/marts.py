@@ -31,6 +31,7 @@ from oreflow.schemas import (
 )
 from oreflow.settings import LOADED, Settings
 from oreflow.sinks import append_rows, drop_partitions, partitions, table_exists, write_snapshot
+from oreflow.sinks.tables import CATALOG
 from oreflow.sources import read_status
 from oreflow.sources.tables import location_of
 
@@ -79,8 +80,9 @@ def build_marts(spark: SparkSession, cfg: Settings, language_names: DataFrame |
 
     def write(name: str) -> None:
         table, mart = cfg.table(name), marts[name]
-        if _is_view(spark, table):
-            spark.sql(f"DROP VIEW {table}")
+        with CATALOG:
+            if _is_view(spark, table):
+                spark.sql(f"DROP VIEW {table}")
         write_snapshot(mart.rows(_source(spark, cfg, mart)), table, mart.schema, cfg.path(name))
 
     _together(spark, cfg, marts, write)
@@ -116,10 +118,12 @@ def update_marts(spark: SparkSession, cfg: Settings, language_names: DataFrame |
             new = want
         report[name] = [len(new), len(gone)]
         if gone and not again:
-            drop_partitions(spark, table, lambda part: part[ORIGIN] in gone)
+            with CATALOG:
+                drop_partitions(spark, table, lambda part: part[ORIGIN] in gone)
         if new or not there:
             _add(spark, cfg, name, mart, new, replace=again or not there)
-        _show(spark, cfg, name, mart)
+        with CATALOG:
+            _show(spark, cfg, name, mart)
 
     _together(spark, cfg, marts, write)
     return report
@@ -168,10 +172,11 @@ def _add(spark: SparkSession, cfg: Settings, name: str, mart: Mart, new: set[str
         for origin in new:  # what a run that was lost while it wrote may have left there
             delete_folder(spark, f"{place}/{ORIGIN}={origin}")
         append_rows(rows, table, schema, cfg.path(f"{name}_parts"), [ORIGIN])
-    listed = {part[ORIGIN] for part in partitions(spark, table)}
-    for k in range(0, len(rest := sorted(new - listed)), 100):
-        specs = " ".join(f"PARTITION ({ORIGIN} = '{origin}')" for origin in rest[k : k + 100])
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    with CATALOG:
+        rest = sorted(new - {part[ORIGIN] for part in partitions(spark, table)})
+        for k in range(0, len(rest), 100):
+            specs = " ".join(f"PARTITION ({ORIGIN} = '{origin}')" for origin in rest[k : k + 100])
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
 
 
 def _is_view(spark: SparkSession, table: str) -> bool:

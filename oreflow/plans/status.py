@@ -8,7 +8,6 @@ every change may be run again.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +18,7 @@ from oreflow.functions.files import delete_folder, read_text, write_text
 from oreflow.operators import merge_status, one_per_key
 from oreflow.schemas import BATCH, BRONZE_PARTS, RECORD_KEY, STATUS, STEP
 from oreflow.settings import NEW, QUARANTINED
-from oreflow.sinks.sketches import may_hold, place_column, place_of, sketch_new
+from oreflow.sinks.sketches import may_hold, place_column, place_of, run_of
 from oreflow.sinks.tables import drop_partitions, insert_rows, partitions, table_exists
 from oreflow.sources.tables import location_of
 
@@ -44,12 +43,6 @@ def stale_places(table: DataFrame, source: DataFrame, status: str, key: str = RE
     return stale.join(one_per_key(source, key), key, "left_semi").select("place").distinct()
 
 
-def run_of(step: str | None) -> int | None:
-    """The number of the run that brought a batch in, which its steps' names begin with."""
-    number = re.match(r"\d+", step or "")
-    return int(number[0]) if number else None
-
-
 def undo_unfinished(spark: SparkSession, bronze: str, silver: str | None = None) -> None:
     """Put right what a step left that was cut short. Reads the catalog and one small file.
 
@@ -97,7 +90,7 @@ def update_status(
 
     ``source`` is any DataFrame with the key column; it may be derived from the table itself. A first,
     narrow pass finds the partitions that change; they alone are rewritten. With few keys, sketches of the
-    partitions' keys tell which of them that pass need not read. Returns whether any row changed.
+    batches' keys tell which of them that pass need not read. Returns whether any row changed.
 
     What the merge will replace is noted in the table's folder before it writes, and noted again when it has
     written; so after a stop the next call finishes it or takes it back, and then merges.
@@ -117,7 +110,6 @@ def update_status(
         merged = merge_status(rows.filter(place_column().isin(places)), source, key, status)
         run = F.regexp_extract(STEP, r"^\d+", 0)
         insert_rows(merged.withColumn(STEP, F.concat(run, F.lit(mark))), table, BRONZE_PARTS)
-        sketch_new(spark, table, F.col(STEP).endswith(mark))
         write_text(spark, f"{note}.{mark}", "written")
         drop_partitions(spark, table, lambda part: place_of(part) in set(places))
         delete_folder(spark, note)
@@ -133,7 +125,7 @@ def settle(
     mark: str,
     key: str = RECORD_KEY,
     seen: Callable[[DataFrame], DataFrame] | None = None,
-    before_old_go: Callable[[Column], None] | None = None,
+    before_old_go: Callable[[set[tuple[str, str]]], None] | None = None,
 ) -> bool:
     """Give every row at ``from_status`` its outcome. Rows of other statuses are neither read nor changed.
 
@@ -143,8 +135,8 @@ def settle(
     record, which has no key; a partition in which no row changes stays. Nothing is shuffled.
 
     ``seen`` may wrap the rows that are read, to count them. ``before_old_go`` is called between the two writes
-    with a condition on the table that holds for the rows just written: what it does is done again if the run
-    is lost before the old partitions have gone.
+    with the batches and steps just written: what it does is done again if the run is lost before the old
+    partitions have gone.
     """
     moved = at_status(spark, table, from_status)
     if not moved:
@@ -162,11 +154,8 @@ def settle(
     if steps - changed:
         drop_partitions(spark, table, lambda part: (part[BATCH], part[STEP]) in steps - changed)
     if changed:
-        names = sorted({step for _, step in changed})
-        written = F.col(STEP).isin(names) & F.col(BATCH).isin(sorted({batch for batch, _ in changed}))
-        sketch_new(spark, table, written)
         if before_old_go is not None:
-            before_old_go(written)
+            before_old_go(changed)
         old = {place_of(part) for part in moved if (part[BATCH], part[STEP] + mark) in changed}
         drop_partitions(spark, table, lambda part: place_of(part) in old)
     return bool(changed)

@@ -1,21 +1,23 @@
-"""Sketches of the keys that each partition of the bronze table holds, so that a small merge need not read them all.
+"""Sketches of the keys that each batch of the bronze table holds, so that a small merge need not read them all.
 
 A sketch is a Bloom filter with two bits a key and sixteen bits of room, kept as bitmaps of 32,768 bits: the
-aggregate that makes it is Spark's own, combines on the map side and has no bound on a partition's size. Sketches lie in
-a folder of the table that table reads do not see, one folder for each partition. Partitions without
-a sketch are always read, so sketches save reading and decide nothing.
+aggregate that makes it is Spark's own, combines on the map side and has no bound on a batch's size. A batch's rows
+keep their keys whatever happens to them, so it is sketched once, when it comes in. Sketches lie in a folder of
+the table that table reads do not see, one folder for each run of a batch. Batches without a sketch are
+always read, so sketches save reading and decide nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.files import delete_folder, folders
-from oreflow.schemas import BRONZE_PARTS, RECORD_KEY
+from oreflow.schemas import BATCH, BRONZE_PARTS, RECORD_KEY, STEP
 from oreflow.sinks.tables import partitions
 from oreflow.sources.tables import location_of
 
@@ -33,8 +35,15 @@ def place_of(part: dict) -> str:
     return "/".join(str(part[c]) for c in BRONZE_PARTS)
 
 
-def _name(place: str) -> str:
-    return hashlib.md5(place.encode()).hexdigest()
+def run_of(step: str | None) -> int | None:
+    """The number of the run that brought a batch in, which its steps' names begin with."""
+    number = re.match(r"\d+", step or "")
+    return int(number[0]) if number else None
+
+
+def _name(part: dict) -> str:
+    """The sketch of a partition: that of its batch and run."""
+    return hashlib.md5(f"{part[BATCH]}/{run_of(part[STEP])}".encode()).hexdigest()
 
 
 def _folder(spark: SparkSession, table: str) -> str:
@@ -45,26 +54,15 @@ def _positions(room: Column, key: str) -> Column:
     return F.array(F.pmod(F.xxhash64(key), room), F.pmod(F.xxhash64(key, F.lit(1)), room))
 
 
-def sketch_new(spark: SparkSession, table: str, written: Column) -> None:
-    """Sketch the partitions just written, of whose rows ``written`` is true. Reads their key column.
-
-    Sketches of partitions that the table no longer has go.
-    """
-    base, rows = _folder(spark, table), spark.table(table).filter(written)
-    place = place_column().alias("place")
-    sizes = rows.groupBy(*BRONZE_PARTS).count().select(place, "count").collect()  # from the files' footers
-    if sizes:
-        rooms = [(r["place"], _name(r["place"]), max(BITMAP, 1 << (ROOM * r["count"] - 1).bit_length())) for r in sizes]
-        rooms = spark.createDataFrame(rooms, "place string, at string, room long")
-        keys = rows.filter(F.col(RECORD_KEY).isNotNull()).select(place, RECORD_KEY).join(rooms, "place")
-        bits = keys.select("at", "room", F.explode(_positions(F.col("room"), RECORD_KEY)).alias("bit"))
-        maps = bits.groupBy("at", "room", F.floor(F.col("bit") / BITMAP).alias("bitmap"))
-        maps = maps.agg(F.bitmap_construct_agg(F.col("bit") % BITMAP).alias("bits"))
-        for row in sizes:
-            delete_folder(spark, f"{base}/at={_name(row['place'])}")
-        maps = maps.sortWithinPartitions("at", "bitmap")
-        maps.write.mode("append").option("compression", "zstd").partitionBy("at").parquet(base)
-    current = {f"at={_name(place_of(part))}" for part in partitions(spark, table)}
+def sketch_run(spark: SparkSession, table: str, batch: str, run: int, rows: DataFrame, n: int) -> None:
+    """Sketch the ``n`` rows of a run of a batch. Sketches of runs that the table no longer has go."""
+    base, mine = _folder(spark, table), _name({BATCH: batch, STEP: str(run)})
+    room = F.lit(max(BITMAP, 1 << (ROOM * max(n, 1) - 1).bit_length())).cast("long")
+    bits = rows.filter(F.col(RECORD_KEY).isNotNull()).select(F.explode(_positions(room, RECORD_KEY)).alias("bit"))
+    maps = bits.groupBy(room.alias("room"), F.floor(F.col("bit") / BITMAP).alias("bitmap"))
+    maps = maps.agg(F.bitmap_construct_agg(F.col("bit") % BITMAP).alias("bits")).sortWithinPartitions("bitmap")
+    maps.write.mode("overwrite").option("compression", "zstd").parquet(f"{base}/at={mine}")
+    current = {f"at={_name(part)}" for part in partitions(spark, table)}
     for folder in folders(spark, base):
         if folder.rsplit("/", 1)[-1] not in current:
             delete_folder(spark, folder)
@@ -83,8 +81,7 @@ def may_hold(spark: SparkSession, table: str, source: DataFrame, parts: Sequence
         return []
     base = _folder(spark, table)
     there = {folder.rsplit("=", 1)[-1]: folder for folder in folders(spark, base)}
-    names = {_name(place_of(part)): part for part in parts}
-    known = sorted(set(names) & set(there))
+    known = sorted({_name(part) for part in parts} & set(there))
     if not known:
         return list(parts)
     schema = "room long, bitmap long, bits binary, at string"
@@ -101,4 +98,4 @@ def may_hold(spark: SparkSession, table: str, source: DataFrame, parts: Sequence
     hits = sketches.join(F.broadcast(bits), ["room", "bitmap"]).filter(hit)
     found = hits.groupBy("at", RECORD_KEY).agg(F.count_distinct("which").alias("n")).filter("n = 2")
     held = {row[0] for row in found.select("at").distinct().collect()}
-    return [part for name, part in names.items() if name in held or name not in there]
+    return [part for part in parts if _name(part) in held or _name(part) not in there]

@@ -8,6 +8,7 @@ as it was. One writer per table at a time. Tables outlive the session where the
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from urllib.parse import unquote
@@ -20,6 +21,8 @@ from oreflow.functions.files import delete_folder, folders
 from oreflow.schemas import require_shape, shape
 from oreflow.sources.tables import location_of
 
+# Steps that write several tables at once change the catalog one after the other.
+CATALOG = threading.RLock()
 # A quarter smaller than Spark's default codec, written and read in the same time.
 CODEC = "zstd"
 
@@ -194,11 +197,12 @@ def write_snapshot(
     folder = run_folder(path)
     rows = _spread(df.select(*schema.fieldNames()), partition_by, one_value)
     rows.write.option("compression", CODEC).partitionBy(*partition_by).parquet(folder)
-    if not partition_by and table_exists(spark, table):
-        if shape(spark.table(table).schema) == shape(schema):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(folder)}")
-            return
-    register(spark, table, schema, folder, partition_by)
+    with CATALOG:
+        if not partition_by and table_exists(spark, table):
+            if shape(spark.table(table).schema) == shape(schema):
+                spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(folder)}")
+                return
+        register(spark, table, schema, folder, partition_by)
 
 
 def replace_partitions(
