@@ -16,7 +16,7 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,12 @@ ASIDE = frozenset(
 MAIN = frozenset(["article", "main"])
 # Elements that hold a whole page or article, which no name sets aside.
 WHOLE = MAIN | {"html", "body"}
+# Elements whose start ends a paragraph that is still open, and headings.
+ENDS_P = frozenset(
+    "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr main menu nav ol p pre section table ul".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open one of their kind, as their end tags may be left out.
 UNCLOSED = frozenset("p li dt dd tr td th option".split())
 ASIDE_NAMES = re.compile(
@@ -49,6 +55,8 @@ ASIDE_NAMES = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
+# Names of what readers write, which may be most of an article's text.
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies)(?:$|[\s_-])", re.I)
 
 # A comment, a script or style with its text, a tag, a tag with a quote left open, a declaration, text.
 _TOKEN = re.compile(
@@ -62,25 +70,34 @@ LONG_PATH = 500
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
-def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
-    """The page's tokens in order: (role, "", None) for a tag, (role, text, main) for a block of text.
+class _Element:
+    """An element of a page: where it stands, what it is by its tag and names, and how much text it holds."""
 
-    A role names the elements a token stands in. ``main`` tells whether a block stands in an article, and in
-    nothing that is set aside; without an article or main element anywhere it is None, if not set aside.
-    Character references are decoded, white space in a block is one space, empty blocks are left out.
-    """
-    stack: list[tuple[str, str, bool]] = []  # name, path, set aside
-    inside = 0  # article and main elements that are open
+    __slots__ = ("chars", "inside", "name", "names", "parent", "path", "state", "weak")
+
+    def __init__(self, name: str, names: str, path: str, parent: _Element | None):
+        self.name, self.names, self.path, self.parent, self.chars = name, names, path, parent, 0
+        self.weak = name == "form" or (name not in WHOLE and bool(names and ASIDE_NAMES.search(names)))
+        self.inside = name in MAIN or (parent is not None and parent.inside)
+        self.state = 2 if name in ASIDE and not self.weak else 0  # 2 is set aside, 1 all but headings
+        if name == "header" and parent is not None and parent.inside:
+            self.state = 1
+
+
+def _parsed(html: str) -> tuple[list[tuple[str, str, _Element | None]], list[_Element]]:
+    """The page's tokens with the element each stands in, and its elements in order."""
+    stack: list[_Element] = []
+    elements: list[_Element] = []
+    tokens: list[tuple[str, str, _Element | None]] = []
     block: list[str] = []
 
     def flush():
         text = " ".join(entities.unescape("".join(block)).split())
         block.clear()
         if text:
-            path, aside = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-            yield path, text, False if aside else (True if inside else None)
+            tokens.append((stack[-1].path if stack else "", text, stack[-1] if stack else None))
 
-    for token in _TOKEN.finditer(html or ""):
+    for token in _TOKEN.finditer(html):
         piece, name = token[0], token[3] or token[6]
         if name is None:
             if piece[0] != "<" or piece == "<":
@@ -91,29 +108,89 @@ def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
             if name == "br":
                 block.append(" ")
             continue
-        yield from flush()
+        flush()
         if token[2] or token[5]:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    yield f"{stack[k][1]}>", "", None
-                    inside -= sum(element[0] in MAIN for element in stack[k:])
+                if stack[k].name == name:
+                    tokens.append((f"{stack[k].path}>", "", None))
                     del stack[k:]
                     break
             continue
         rest = token[4] or token[7] or ""
-        if name in UNCLOSED and stack and stack[-1][0] == name:
+        if stack and ((name in UNCLOSED and stack[-1].name == name) or (name in ENDS_P and stack[-1].name == "p")):
             stack.pop()
         names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(rest))
-        path = f"{stack[-1][1] if stack else ''}/{name}" + (f"[{names}]" if names else "")
+        path = f"{stack[-1].path if stack else ''}/{name}" + (f"[{names}]" if names else "")
         if len(path) > LONG_PATH:
             path = f"/{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
-        yield path, "", None
+        tokens.append((path, "", None))
         if name not in VOID and not rest.endswith("/"):
-            named = name not in WHOLE and bool(names and ASIDE_NAMES.search(names))
-            aside = (bool(stack) and stack[-1][2]) or name in ASIDE or named
-            stack.append((name, path, aside))
-            inside += name in MAIN
-    yield from flush()
+            stack.append(_Element(name, names, path, stack[-1] if stack else None))
+            elements.append(stack[-1])
+    flush()
+    return tokens, elements
+
+
+def _set_aside(tokens: list, elements: list[_Element]) -> None:
+    """Decide for every element whether its text is set aside.
+
+    Tags decide for themselves. A name, or a form, does not set aside what holds the page's article, the outermost
+    article or main element with the most text; nor what holds over half of the article's text, or of the page's
+    if it has no article. What readers write has to hold nearly all of it.
+    """
+    total = 0
+    for _, text, element in tokens:
+        if text and element is not None:
+            element.chars += len(text)
+    for element in reversed(elements):
+        if element.state < 2:
+            if element.parent is None:
+                total += element.chars
+            else:
+                element.parent.chars += element.chars
+    # parents come before their children
+    hidden: set[int] = set()
+    article = None
+    for element in elements:
+        if element.state == 2 or id(element.parent) in hidden:
+            hidden.add(id(element))
+        elif element.name in MAIN and not (element.parent is not None and element.parent.inside):
+            if article is None or element.chars > article.chars:
+                article = element
+    holders, above = set(), article
+    while above is not None:
+        holders.add(id(above))
+        above = above.parent
+    within = {id(article)} if article is not None else set()
+    for element in elements:
+        parent = element.parent
+        if parent is not None and id(parent) in within:
+            within.add(id(element))
+        if element.weak and id(element) not in holders:
+            whole = total if article is None else article.chars if id(element) in within else 0
+            most = 19 * whole <= 20 * element.chars if READERS.search(element.names) else whole < 2 * element.chars
+            if not (whole and most):
+                element.state = 2
+        if parent is not None:
+            element.state = max(element.state, parent.state)
+        if element.state == 1 and element.name in HEADINGS:
+            element.state = 0
+
+
+def page_tokens(html: str | None) -> Iterator[tuple[str, str, bool | None]]:
+    """The page's tokens in order: (role, "", None) for a tag, (role, text, main) for a block of text.
+
+    A role names the elements a token stands in. ``main`` tells whether a block stands in an article, and in
+    nothing that is set aside; without an article or main element anywhere it is None, if not set aside.
+    Character references are decoded, white space in a block is one space, empty blocks are left out.
+    """
+    tokens, elements = _parsed(html or "")
+    _set_aside(tokens, elements)
+    for role, text, element in tokens:
+        if not text or element is None:
+            yield role, text, None
+        else:
+            yield role, text, False if element.state else (True if element.inside else None)
 
 
 def _hash(role: str, text: str) -> int:
@@ -128,7 +205,7 @@ COUNTED = (
 
 def count_tokens(pages: DataFrame) -> DataFrame:
     """For every token of a host: pages that have it, occurrences, a hash of its occurrence vector, mean places,
-    and its blocks and characters in articles.
+    its blocks and characters in articles, and the characters of all articles of its pages.
 
     The vector's hash is a sum over the pages, so each task sums what it has before anything is shuffled.
     Rows need ``host`` and ``html``. The token 0 stands for the page itself, with the blocks of its article.
@@ -316,6 +393,15 @@ def count_slots(rows: DataFrame) -> DataFrame:
     return found.groupBy("host", "slot").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
 
 
+# Containers that are whole pages.
+PAGE_PATHS = ("", "/html", "/html/body", "/body")
+
+
+def _container(role: Column) -> Column:
+    """The path of the element that text after a tag stands in: its own, or its parent's after an end tag."""
+    return F.when(F.endswith(role, F.lit(">")), F.regexp_replace(role, "/(?:[^/\\[]|\\[[^\\]]*\\])*>$", "")).otherwise(role)
+
+
 def main_blocks(blocks: list[tuple[int, str, bool | None, bool]], slots: frozenset[int] | None) -> list[str]:
     """The texts of a page's article, from ``page_blocks``; ``slots`` are the host's slots of articles, if known.
 
@@ -342,8 +428,9 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html", out: st
 
     Blocks of the template's classes are not the page's own and go, unless the article would lose all or most of
     its blocks. The others stand in slots between the classes' tokens. Article and main elements choose
-    the host's slots; in these all stays but what is set aside (menus, headers, footers, sidebars,
-    notices, adverts, forms, comments, scripts, styles). On a host without a template the page's own
+    the host's slots; where most pages have none, the element does in which the slot with most of the text stands.
+    In these all stays but what is set aside (menus, headers, footers, sidebars, notices, adverts, forms,
+    comments, scripts, styles). On a host without a template the page's own
     elements decide; on a page without an article or main element, all that is not set aside. A null
     or empty page, and one without such a block, has the empty text. Repeated rows are judged alike;
     a column ``out`` is replaced.
@@ -352,14 +439,30 @@ def extract_text(pages: DataFrame, url: str = "url", html: str = "html", out: st
     rows = pages.withColumn(host, host_of(F.col(url)))
     slim = rows.select(F.col(host).alias("host"), F.col(html).cast("string").alias("html"))
     tokens = lambda which: F.array_sort(F.collect_set(F.when(F.expr(which), F.col("token"))))
-    template = deduce(slim).groupBy(F.col("host").alias("h"))
+    found = written(deduce(slim), "template")
+    template = found.groupBy(F.col("host").alias("h"))
     template = template.agg(tokens("block AND constant").alias("constant"), tokens("once").alias("bounds"))
     template = written(template, "templates")
     slots = count_slots(slim.join(template, F.col("host") == F.col("h")).select("host", "html", "constant", "bounds"))
     pick = F.when(F.expr("slot >= 0 AND inside > 0 AND inside >= outside"), F.col("slot"))
     named = F.max(F.expr(f"slot = -1 AND inside >= {SHARE} * outside"))
-    slots = slots.groupBy(F.col("host").alias("s")).agg(named.alias("named"), F.array_sort(F.collect_set(pick)).alias("slots"))
-    slots = slots.select("s", F.when(F.col("named"), F.col("slots")).otherwise(F.array().cast("array<long>")).alias("slots"))
+    around = found.filter("once").groupBy(F.col("host").alias("b"), F.col("token").alias("slot"))
+    around = around.agg(_container(F.min("role")).alias("container"))
+    slots = slots.join(around, (F.col("host") == F.col("b")) & (slots["slot"] == around["slot"]), "left").drop(around["slot"], "b")
+    most = F.max(F.when(F.expr("slot >= 0"), F.struct("outside", "container"))).alias("most")
+    total = F.sum(F.expr("if(slot >= 0, outside, 0)")).alias("total")
+    places = F.collect_set(F.when(F.expr("slot >= 0"), F.struct("slot", "container"))).alias("places")
+    slots = slots.groupBy(F.col("host").alias("s")).agg(
+        named.alias("named"), F.array_sort(F.collect_set(pick)).alias("slots"), most, total, places
+    )
+    # without articles: the slots in the element that holds the slot with most of the text, unless it holds the page
+    inside = lambda p: (p["container"] == F.col("most.container")) | F.startswith(
+        p["container"], F.concat("most.container", F.lit("/"))
+    )
+    beside = F.array_sort(F.transform(F.filter("places", inside), lambda p: p["slot"]))
+    clear = F.expr("2 * most.outside > total") & ~F.col("most.container").isin(*PAGE_PATHS)
+    none = F.array().cast("array<long>")
+    slots = slots.select("s", F.when(F.col("named"), F.col("slots")).when(clear, beside).otherwise(none).alias("slots"))
     template = template.join(slots, F.col("h") == F.col("s"), "left")
     template = written(template.select("h", F.struct("constant", "bounds", "slots").alias(known)), "slots")
 

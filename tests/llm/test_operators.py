@@ -340,6 +340,53 @@ def test_pages_of_the_table(spark):
         assert r["text"] == text_of(source[r["page_id"]]) and r["n_chars"] == len(r["text"])
 
 
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout has-sidebar">{}</div>', '<div class="page no-sidebar">{}</div>', "<form action=/x>{}</form>",
+    '<section id="content-with-comments" role="main"><div class="widget">{}</div></section>', "{}",
+])
+@pytest.mark.parametrize("inner", [
+    "<main><article>{}</article></main>", "<article>{}</article>", '<main><div class="post share-enabled">{}</div></main>',
+    '<article class="ad"><form class="share">{}</form></article>',
+])
+def test_names_set_nothing_aside_that_holds_the_article(wrap, inner):
+    body = f"<h1>{prose(1, 4)}</h1><p>{prose(2, 40)}</p>" + '{}' + f"<p>{prose(3, 30)}</p>"
+    text = f"{prose(1, 4)}\n{prose(2, 40)}\n{prose(3, 30)}"
+    side = '<div class="sidebar"><p>Side</p></div><div class="comments"><article class="comment">Great!</article></div>'
+    for noise in ("", '<div class="share">Tell</div>', '<p class="ad">Buy<div class="ad">Now</div>', "<form>Mail</form>", "<aside>x</aside>"):
+        page = f"<html><body><header><h1>Site</h1></header>{wrap.format(inner.format(body.format(noise)))}{side}<footer>f</footer></body></html>"
+        assert text_of(page) == text
+    # without article elements a name sets aside what holds less than half of the page
+    plain = wrap.format(f"<div>{body.format('<p class=ad>Buy</p>')}</div>")
+    blocks = [t for _, t, main in templates.page_tokens(f"<body>{side.replace('article', 'div')}{plain}</body>") if t and main is None]
+    assert "\n".join(blocks) == text
+
+
+def test_an_unclosed_paragraph_swallows_nothing():
+    assert text_of('<article><p>one<p class="ad">Buy<div>two</div><h2>three</h2></article>') == "one\ntwo\nthree"
+    assert text_of("<article><header><h1>Title</h1><p>By me</p></header><p>Text</p></article>") == "Title\nText"
+    long = prose(5, 60)
+    assert text_of(f"<article><p>{prose(4, 10)}</p><div class='comments'><p>{long}</p></div></article>") == prose(4, 10)
+
+
+def test_classes_find_the_article_when_no_name_does(spark):
+    """The given pages with all elements renamed: the template's slots have to say what the articles' names did."""
+    source = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    names = {"article": "x-one", "nav": "x-two", "footer": "x-three", 'div class="ad"': "x-four", "/div": "/x-four"}
+
+    def renamed(html):
+        for old, new in names.items():
+            html = html.replace(f"<{old}>", f"<{new}>").replace(f"</{old}>", f"</{new}>").replace("<" + old + ">", "<" + new + ">")
+        return html
+
+    rows = [(r["page_id"], r["url"], renamed(r["html"] or "")) for r in source]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    hosts = df.select(templates.host_of(F.col("url")).alias("h"), "html").distinct().groupBy("h").count().filter("count >= 8")
+    got = templates.extract_text(df).join(hosts, templates.host_of(F.col("url")) == F.col("h"), "left_semi")
+    want = {r["page_id"]: text_of(r["html"]) for r in source}
+    rows = got.select("page_id", "text").collect()
+    assert len(rows) > 60 and sum(r["text"] == want[r["page_id"]] for r in rows) == len(rows)
+
+
 # ---- packing ---------------------------------------------------------------------------------
 
 
