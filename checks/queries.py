@@ -1017,6 +1017,17 @@ def ledger_of_files(spark, sf_dir):
     return rows.groupBy("movie.Id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("movie.Id").alias("n_ids"))
 
 
+@check(movie("""select "Id", "Title", "Budget", cast(len(genres) as bigint) n_genres, count(*) n from movie group by all"""))
+def split_documents(spark, sf_dir):
+    """The raw documents split at their records by many tasks, and loaded."""
+    cfg = fresh(spark, sf_dir, root=shared_folder(spark, "split"), database=database(spark), split=True)
+    raw_to_bronze(spark, cfg)
+    rows = spark.table(cfg.table("bronze")).select("movie.Id", "movie.Title", "movie.Budget", F.size("movie.genres").cast("long").alias("n_genres"))
+    return rows.withColumn("n_genres", F.when(F.col("n_genres") >= 0, F.col("n_genres"))).groupBy("Id", "Title", "Budget", "n_genres").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @check(movie(f"""select case when "Id" in (select distinct "Id" from movie order by 1 limit 2) then 'quarantined'
   when {MOVIE_STRICT} then 'loaded' else 'quarantined' end status, count(*) n from movie group by 1"""))
 def merge_of_few_keys(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.extras import merged
+from oreflow.functions.files import delete_folder
 from oreflow.operators import explode_records, flatten, repair, split, stamp, strict, verdict
 from oreflow.operators import budget_only as budget_rule
 from oreflow.operators.quality import CLEAN, QUARANTINE, Rule, counts
@@ -36,6 +38,7 @@ from oreflow.sinks.sketches import run_of, sketch_run
 from oreflow.sinks.tables import partitions
 from oreflow.sources import read_json_batch, read_status, split_rejects, with_extra_fields
 from oreflow.sources.json_files import is_rejected
+from oreflow.sources.large import split_documents
 from oreflow.sources.ledger import arrived, listed_files, not_copies, with_digest
 
 PAYLOAD = "movie"
@@ -126,6 +129,12 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
     run = 1 + max((run_of(part[STEP]) or 0 for part in there if part[BATCH] == batch), default=-1)
     if cfg.ledger:
         cfg = replace(cfg, raw=unread_files(spark, cfg, batch, str(run)), modified_after=None)
+    pieces = f"{cfg.path('split')}/{batch_folder(batch)}-{run}"
+    if cfg.split:
+        paths = cfg.raw_path if cfg.modified_after is None else _changed_after(spark, cfg)
+        if paths:
+            paths = split_documents(spark, paths, PAYLOAD, pieces)
+        cfg = replace(cfg, raw=paths, modified_after=None, multiline=False)
     schema = raw_schema(spark, cfg)
     raw = read_json_batch(spark, cfg.raw_path, schema, cfg.multiline, cfg.modified_after)
     documents = Counted(
@@ -155,9 +164,21 @@ def raw_to_bronze(spark: SparkSession, cfg: Settings, reset: bool = False) -> di
         rejects = split_rejects(raw, PAYLOAD)[1] if report["rejected"] != 0 else _none(spark, REJECTS)
         rejects = rejects.withColumn(INGEST_DATE, F.lit(now.date())).withColumn(BATCH, F.lit(batch))
         _add_batch(rejects, cfg, "rejects", REJECTS, [BATCH], batch, reset)
+    if cfg.split:
+        delete_folder(spark, pieces)
     return report
 
 
+def batch_folder(batch: str) -> str:
+    """A folder's name for a batch, whose own name may hold any sign."""
+    return hashlib.md5(batch.encode()).hexdigest()
+
+
+def _changed_after(spark: SparkSession, cfg: Settings) -> list[str]:
+    files = listed_files(spark, cfg.raw_path)
+    return [r["path"] for r in files.filter(F.col("modified") > F.lit(cfg.modified_after).cast("timestamp")).collect()]
+
+
 def _none(spark: SparkSession, schema: T.StructType) -> DataFrame:
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     return spark.range(0).select(*columns)

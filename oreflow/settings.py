@@ -34,6 +34,8 @@ class Settings:
     that are many and alike do better without.
 
     ``raw`` is a folder or a list of paths, of which only files changed after ``modified_after`` are read.
+    ``split`` is for multi-line documents too large for one task: a pass of its own splits them at their records, among
+    many tasks, into JSON Lines under ``root``.
     With ``ledger`` the files that a run reads are kept in a table, and later runs read those alone that it lacks: late
     files with old times are read, and a file sent again, with the same lines under any name or time, is not.
     ``batch`` names the run's batch; a run of the same batch replaces it. Without a name it is called after
@@ -53,6 +55,7 @@ class Settings:
     record: T.StructType | None = None
     multiline: bool = True
     spread: bool = False
+    split: bool = False
     floor: float = BUDGET_FLOOR
     rules: str = "strict"
     unrouted: str = "quarantine"
