@@ -20,7 +20,7 @@ WINDOW = 5
 @dataclass(frozen=True)
 class Rule:
     """``fails`` is true for a row to reject; null counts as passed. ``work`` is the effort of testing one
-    row, in characters looked at, so that costs of rules can be compared and reruns agree."""
+    row, the characters that the test reads, so that costs of rules can be compared and reruns agree."""
 
     name: str
     fails: Column
@@ -64,7 +64,7 @@ def n_dup_lines(text: Column) -> Column:
     return let(lines_of(text), lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long")
 
 
-def n_repeat_words(text: Column, width: int = WINDOW) -> Column:
+def repeats(words: Column, width: int = WINDOW) -> Column:
     """Words inside windows of ``width`` words that the text holds twice or more, the first included.
 
     Windows are compared by a 64-bit hash over their words. A text without a repeated one, which
@@ -94,26 +94,52 @@ def n_repeat_words(text: Column, width: int = WINDOW) -> Column:
     def count(h: Column) -> Column:
         return F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(0)
 
-    return F.coalesce(let(let(words_of(text), hashes), count), F.lit(0)).cast("long")
+    return F.coalesce(let(let(words, hashes), count), F.lit(0)).cast("long")
+
+
+def n_repeat_words(text: Column, width: int = WINDOW) -> Column:
+    """``repeats`` of a text's words."""
+    return repeats(words_of(text), width)
+
+
+def word_measures(text: Column) -> Column:
+    """``n_words``, ``word_chars`` and ``n_repeat_words`` of a text that is taken apart once."""
 
+    def of(words: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            repeats(words).alias("n_repeat_words"),
+        )
 
-def default_rules(m: dict[str, Column], size: Column) -> list[Rule]:
+    return let(words_of(text), of)
+
+
+def default_rules(m: dict[str, Column], size: Column, known: Sequence[str] = ()) -> list[Rule]:
     """The rules of the ``op10`` query over the measures ``m`` of a text of ``size`` code points.
 
+    A rule's work is the characters that it has to read: none for the measures that are ``known``, the others one
+    by one as far as the test gets. So a rule's measures are taken only where the cascade reaches it.
+
     Besides too few words and repeated passages: many symbols, repeated lines, words too short or
     too long to be prose, and shouting. The last four leave a wide margin, so that prose passes, also in
     scripts without case, which cannot shout, and without spaces, whose words have no length here.
     """
-    n = m["n_words"]
-    long = (m["word_chars"] > 20 * n) & (m["word_chars"] - m["n_unspaced"] > 20 * n)
+    n, dup = m["n_words"], m["n_dup_lines"]
+    far = m["word_chars"] > 20 * n
+
+    def reads(measure: str, passes: int = 1) -> Column:
+        return F.lit(0) if measure in known else passes * size
+
     return [
-        Rule("few_words", n < 10, size),
-        Rule("repeated_words", 100 * m["n_repeat_words"] > 20 * n, 12 * size),
-        Rule("symbols", 100 * m["n_symbols"] > 40 * n, size),
-        Rule("repeated_lines", 100 * m["n_dup_lines"] > 40 * m["n_lines"], 2 * size),
-        Rule("word_length", (m["word_chars"] < 2 * n) | long, size + size),
-        Rule("shouting", 100 * m["n_lowered"] < 50 * n, 3 * size),
-    ]
+        Rule("few_words", n < 10, reads("n_words")),
+        # each word is taken apart, and hashed in five windows
+        Rule("repeated_words", 100 * m["n_repeat_words"] > 20 * n, reads("n_repeat_words", 1 + WINDOW)),
+        Rule("symbols", 100 * m["n_symbols"] > 40 * n, reads("n_symbols")),
+        Rule("repeated_lines", (dup > 0) & (100 * dup > 40 * m["n_lines"]), reads("n_dup_lines") + F.when(dup > 0, reads("n_lines")).otherwise(0)),
+        Rule("word_length", (m["word_chars"] < 2 * n) | (far & (m["word_chars"] - m["n_unspaced"] > 20 * n)),
+             reads("word_chars") + F.when(far, reads("n_unspaced")).otherwise(0)),
+        Rule("shouting", 100 * m["n_lowered"] < 50 * n, reads("n_lowered")),
+    ]
 
 
 MEASURES = {
@@ -182,14 +208,15 @@ def quality_cascade(
     return df.withColumn(out, rejected_by(order_rules(sampled(df) if sample is None else sample, rules)))
 
 
-def measured(df: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """Add every measure of the text; the second value gives the columns' names, by measure."""
-    names = {}
-    source = F.col(text)
-    for measure, make in MEASURES.items():
+def measured(df: DataFrame, text: str = "text", extra: Sequence[str] = ("n_symbols", "n_dup_lines")) -> tuple[DataFrame, dict[str, str]]:
+    """Add the measures of a text's words and ``extra`` ones; the second value gives the columns' names, by measure."""
+    names, words = {}, fresh(df, "word_measures")
+    df = df.withColumn(words, word_measures(F.col(text)))
+    for measure in ("n_words", "word_chars", "n_repeat_words", *extra):
         names[measure] = fresh(df, measure)
-        df = df.withColumn(names[measure], make(source))
-    return df, names
+        made = MEASURES[measure](F.col(text)) if measure in extra else F.col(words)[measure]
+        df = df.withColumn(names[measure], made)
+    return df.drop(words), names
 
 
 def drop_rejected(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -203,7 +230,7 @@ def drop_rejected(docs: DataFrame, text: str = "text") -> DataFrame:
     size = F.length(F.coalesce(source, F.lit("")))
 
     def rules(n: Column) -> list[Rule]:
-        return default_rules({name: make(source) for name, make in MEASURES.items()} | {"n_words": n}, size)
+        return default_rules({name: make(source) for name, make in MEASURES.items()} | {"n_words": n}, size, ["n_words"])
 
     order = [rule.name for rule in order_rules(sampled(docs), rules(n_words(source)))]
     # most rules need the number of words: it is counted once, and the rest as the cascade gets there

@@ -14,8 +14,9 @@ from oreflow.llm.common import table
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs, m = quality.measured(source)
-    cols = {name: F.col(c) for name, c in m.items()}
-    rules = quality.default_rules(cols, F.length(F.coalesce("text", F.lit(""))))
+    # the contract's measures are taken of every row, the others where the cascade gets to them
+    cols = {name: make(F.col("text")) for name, make in quality.MEASURES.items()} | {name: F.col(c) for name, c in m.items()}
+    rules = quality.default_rules(cols, F.length(F.coalesce("text", F.lit(""))), list(m))
     base = (cols["n_words"] < 10) | (100 * cols["n_repeat_words"] > 20 * cols["n_words"])
     judged = quality.quality_cascade(docs, rules, quality.measured(quality.sampled(source))[0])
     return judged.select(

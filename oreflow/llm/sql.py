@@ -17,14 +17,16 @@ m AS (SELECT w.doc_id, len(ws) AS n_words,
              len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
              coalesce(l.n_dup_lines, 0) AS n_dup_lines, coalesce(l.n_lines, 0) AS n_lines,
              coalesce(n.n_repeat_words, 0) AS n_repeat_words,
-             len(regexp_extract_all(t, '[^\x20\x09-\x0D]*\p{Ll}[^\x20\x09-\x0D]*')) AS n_lowered
+             len(regexp_extract_all(t, '[^\x20\x09-\x0D]*([\p{Ll}]|[^\P{Lo}\x{AA}\x{BA}])[^\x20\x09-\x0D]*')) AS n_lowered,
+             length(regexp_replace(t, '[^\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\x{3000}-\x{303F}\x{FF00}-\x{FFEF}]+', '', 'g')) AS n_unspaced
       FROM w LEFT JOIN l ON l.k = w.k LEFT JOIN n ON n.k = w.k)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 40 * n_words
-            OR 100 * n_dup_lines > 40 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 100 * n_dup_lines > 40 * n_lines OR word_chars < 2 * n_words
+            OR (word_chars > 20 * n_words AND word_chars - n_unspaced > 20 * n_words)
             OR 100 * n_lowered < 50 * n_words) AS kept
 FROM m
 """
