@@ -4,11 +4,14 @@ A text's probability is that of its words' classes, each given the class before,
 its class. Exchange clustering assigns the classes: a word moves to the class where the corpus becomes most
 probable, until none moves.
 
-What is clustered are units, whose number is fixed: the most frequent words, and for the others their
-endings. A word that shares a unit is emitted by its count among the unit's words, less a discount. What the
-discounts leave is the probability of an unknown word in that unit: as in the base score, all words that
-training did not meet are one word. Counts cover every word of the training texts. The most frequent ones
-travel to the tasks, a fixed number; the others are joined.
+What is clustered are units: words that training met a few times, and the endings of all others. A word that shares
+a unit is emitted by its count among the unit's words, less a discount. What the discounts leave is the
+probability of an unknown word in that unit: as in the base score, all words that training did not meet are one word.
+
+Exchange goes in two steps. The most frequent units are exchanged one by one, with all counts of pairs at hand. Then
+Spark counts, for every other word, the classes before and after it, over all texts; tasks move each word to the
+class that gains most, and the round is kept if the corpus became more probable. The words of units travel to
+the tasks, up to a bound; the counts of the others are joined.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -31,15 +35,18 @@ END = ""  # the word that ends a text; no other is empty
 
 @dataclass(frozen=True)
 class Sizes:
-    """``words`` and ``endings`` that are units, ``classes``, code points of an ending, words whose counts travel,
-    passes of clustering, and how much is taken off a count."""
+    """``words`` that are exchanged one by one, with ``endings``, into ``classes``; code points of an ending; ``head``
+    bounds the words that are units, of at least ``least`` occurrences; passes of the first step, ``rounds`` of
+    the second, and how much is taken off a count."""
 
     words: int = 640
     endings: int = 382
     classes: int = 48
     ending: int = 3
     head: int = 1 << 17
+    least: int = 3
     passes: int = 12
+    rounds: int = 2
     discount: float = 0.75
 
 
@@ -168,6 +175,84 @@ def exchange(pairs: np.ndarray, classes: int, passes: int) -> np.ndarray:
     return label
 
 
+def _gains(after: np.ndarray, before: np.ndarray, table: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """How much the corpus gains from each word in each class: of words with counts of the classes after and before
+    them, which are in class ``own`` now. What a word is beside itself is left out."""
+    out = np.empty(after.shape)
+    for k in range(len(out)):
+        t = table.copy()
+        t[own[k]] -= after[k]
+        t[:, own[k]] -= before[k]
+        t = np.maximum(t, 0)
+        rows, columns = t.sum(1), t.sum(0)
+        gain = (_xlogx(t + after[k]) - _xlogx(t)).sum(1) + (_xlogx(t.T + before[k]) - _xlogx(t.T)).sum(1)
+        gain -= _xlogx(rows + after[k].sum()) - _xlogx(rows) + _xlogx(columns + before[k].sum()) - _xlogx(columns)
+        out[k] = gain
+    return out
+
+
+def _likelihood(table: np.ndarray) -> float:
+    """What the classes add to the log probability of the corpus."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def count_classes(texts: DataFrame, units: Units, label: np.ndarray, first: int) -> tuple[np.ndarray, DataFrame]:
+    """How often each class follows each other, and a table ``word``, ``slot``, ``n``: for the words of the units from
+    ``first`` on, the classes after (slot is the class) and before (the class, and all classes further on)."""
+    classes = int(label.max()) + 1
+    free = max(0, 2 + len(units.words) - first)
+    width = 2 * classes
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, cells = np.zeros(classes * classes, np.int64), np.zeros(free * width, np.int32)
+        for batch in parts(batches):
+            if batch.num_rows:
+                sequence, _ = units.sequence(*tokens(batch["text"]))
+                kinds = label[sequence]
+                previous = np.concatenate([label[:1], kinds[:-1]])
+                table += np.bincount(previous * classes + kinds, minlength=classes * classes)
+                here = np.flatnonzero((sequence >= first) & (sequence < first + free))
+                word = (sequence[here] - first) * width
+                for at in (word + kinds[here + 1], word + classes + previous[here]):
+                    places, n = np.unique(at, return_counts=True)
+                    cells[places] += n.astype(np.int32)
+        for word, counts in ((0, cells), (-1, table)):
+            at = np.flatnonzero(counts)
+            for k in range(0, len(at), 100_000):
+                some = at[k : k + 100_000]
+                words = np.full(len(some), -1) if word else some // width
+                slots = some if word else some % width
+                columns = [pa.array(c, pa.int64()) for c in (words, slots, counts[some])]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "slot", "n"])
+
+    rows = texts.mapInArrow(of, "word long, slot long, n long").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    rows = written(rows, "classes")
+    found, table = rows.filter("word < 0").toArrow(), np.zeros(classes * classes)
+    table[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return table.reshape(classes, classes), rows.filter("word >= 0")
+
+
+def move_words(found: DataFrame, table: np.ndarray, label: np.ndarray, first: int) -> np.ndarray:
+    """The labels after every word counted has moved to its best class; words of a task at a time."""
+    classes, at_once = len(table), 512
+
+    def best(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        words, index = np.unique(frame["word"].to_numpy(), return_inverse=True)
+        counts = np.zeros((len(words), 2 * classes))
+        counts[index, frame["slot"].to_numpy()] = frame["n"].to_numpy()
+        own = label[first + words]
+        gain = _gains(counts[:, :classes], counts[:, classes:], table, own)
+        to = gain.argmax(1)
+        moves = gain[np.arange(len(words)), to] > gain[np.arange(len(words)), own] + 1e-9
+        return pd.DataFrame({"word": words[moves], "to": to[moves]})
+
+    groups = found.withColumn("group", F.floor(F.col("word") / at_once)).groupBy("group")
+    moved = groups.applyInPandas(best, "word long, to long").toArrow()  # a row for a word of the head at most
+    label = label.copy()
+    label[first + moved["word"].to_numpy()] = moved["to"].to_numpy()
+    return label
+
+
 @dataclass
 class Model:
     """Everything a task needs to score a text but for the counts of rare words."""
@@ -176,9 +261,10 @@ class Model:
     units: Units
     n: int
     v: int
-    head: pa.Array
-    head_counts: np.ndarray
-    step: np.ndarray  # log10 of a unit after a unit: class after class, times unit in class
+    head_counts: np.ndarray  # of the units' words
+    label: np.ndarray  # the class of each unit
+    after: np.ndarray  # log10 of a class after a class
+    inside: np.ndarray  # log10 of a unit in its class
     mass: np.ndarray  # tokens of each unit that words share
     unknown: np.ndarray  # the probability of a word that is not known, in each unit
 
@@ -189,64 +275,95 @@ class Model:
         return np.log10(np.maximum(counts - self.sizes.discount, 1e-9) / np.maximum(self.mass[unit], 1))
 
 
-def _transitions(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """log10 of every unit after every unit, smoothed so that none is impossible."""
-    classes = int(label.max()) + 1
-    member = np.zeros((len(pairs), classes))
-    member[np.arange(len(pairs)), label] = 1
-    table = member.T @ pairs @ member
-    unit = pairs.sum(0) + 0.5
+def _after(table: np.ndarray, trust: float = 20.0) -> np.ndarray:
+    """log10 of every class after every class, smoothed so that none is impossible."""
     share = table.sum(0) + 1.0
     share /= share.sum()
-    trust = 20.0
-    after = (table + trust * share) / (table.sum(1, keepdims=True) + trust)
-    inside = unit / (member.T @ unit)[label]
-    return (np.log10(after)[:, label] + np.log10(inside))[label].astype(np.float32)
+    return np.log10((table + trust * share) / (table.sum(1, keepdims=True) + trust))
+
+
+def _inside(unit: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """log10 of every unit in its class, from the units' counts."""
+    return np.log10((unit + 0.5) / np.bincount(label, unit + 0.5)[label])
+
+
+def _transitions(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """log10 of every unit after every unit."""
+    member = np.zeros((len(pairs), int(label.max()) + 1))
+    member[np.arange(len(pairs)), label] = 1
+    return (_after(member.T @ pairs @ member)[:, label] + _inside(pairs.sum(0), label))[label]
 
 
 def train(texts: DataFrame, sizes: Sizes = Sizes()) -> tuple[Model, DataFrame]:
-    """The model of all rows of ``text``, and the table of all words' counts."""
+    """The model of all rows of ``text``, and the table of all words' counts. No rows give a model of ends alone.
+
+    The units' words are the most frequent ones, equally frequent ones by code point.
+    """
     counts = written(count_words(texts), "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     words = counts.filter(F.col("word") != END)
-    # the words from a count on that at most ``head`` of them reach, found by counting, without a sort
+    # a count that ``head`` words reach, found by counting, so that few more are sorted
     level = F.floor(F.log2("n") * 16).alias("level")
-    levels = sorted(map(tuple, words.groupBy(level).agg(F.count("*").alias("n"), F.min("n").alias("least")).collect()))
-    least, reached = None, 0
-    for _, some, count in reversed(levels):
-        reached += some
-        if reached > sizes.head:
+    levels = words.filter(F.col("n") >= sizes.least).groupBy(level).agg(F.count("*").alias("n"), F.min("n").alias("low"))
+    low, reached = sizes.least, 0
+    for row in sorted(levels.collect(), key=lambda row: -row["level"]):
+        if reached >= sizes.head:
             break
-        least = count
-    head = words.filter(F.col("n") >= least if least is not None else F.lit(False)).toArrow()
+        low, reached = row["low"], reached + row["n"]
+    head = words.filter(F.col("n") >= low).orderBy(F.desc("n"), F.asc("word")).limit(sizes.head).toArrow()
     head = head.sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks()
-    own = head.slice(0, sizes.words)
-    rest = words
-    if own.num_rows:
-        n, word = own["n"][-1].as_py(), own["word"][-1].as_py()
-        rest = rest.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(word))))
+
+    def beyond(some: pa.Table) -> Column:
+        if not some.num_rows:
+            return F.lit(True)
+        n, word = some["n"][-1].as_py(), some["word"][-1].as_py()
+        return (F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(word)))
+
+    core = head.slice(0, sizes.words)
     ending = F.expr(f"right(word, {sizes.ending})").alias("ending")
-    shared = rest.groupBy(ending).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    alone = F.when(beyond(head), F.col("n"))
+    shared = words.filter(beyond(core)).groupBy(ending).agg(
+        F.sum("n").alias("n"), F.sum(alone).alias("mass"), F.count(alone).alias("kinds")
+    )
     shared = written(shared, "endings")
     top = shared.orderBy(F.desc("n"), F.asc("ending")).limit(sizes.endings).collect()
-    everything = shared.agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).first()
-    own_words = pa.array(own["word"].to_pylist(), pa.string())
-    units = Units(own_words, pa.array([r["ending"] for r in top], pa.string()), sizes.ending)
+    everything = shared.agg(F.sum("mass").alias("mass"), F.sum("kinds").alias("kinds")).first()
+    endings = pa.array([r["ending"] for r in top], pa.string())
+    first = Units(pa.array(core["word"].to_pylist(), pa.string()), endings, sizes.ending)
+    units = Units(pa.array(head["word"].to_pylist(), pa.string()), endings, sizes.ending)
     mass, kinds = np.zeros(len(units)), np.zeros(len(units))
-    mass[2 + own.num_rows :] = [r["n"] for r in top]
-    kinds[2 + own.num_rows :] = [r["kinds"] for r in top]
-    mass[1] = (everything["n"] or 0) - mass.sum()
+    mass[2 + head.num_rows :] = [r["mass"] or 0 for r in top]
+    kinds[2 + head.num_rows :] = [r["kinds"] for r in top]
+    mass[1] = (everything["mass"] or 0) - mass.sum()
     kinds[1] = (everything["kinds"] or 0) - kinds.sum()
     unknown = np.where(mass > 0, sizes.discount * kinds / np.maximum(mass, 1), 1.0)
-    pairs = count_pairs(texts, units)
+    label = exchange(count_pairs(texts, first), sizes.classes, sizes.passes)
+    # words that have not been exchanged start in the class of their ending
+    starts = label[first.of(units.words)] if head.num_rows else np.zeros(0, np.int64)
+    label = np.concatenate([label[:2], starts, label[2 + core.num_rows :]])
+    free = 2 + core.num_rows
+    table, found = count_classes(texts, units, label, free)
+    for _ in range(sizes.rounds if head.num_rows > core.num_rows else 0):
+        moved = move_words(found, table, label, free)
+        then, found = count_classes(texts, units, moved, free)
+        if _likelihood(then) <= _likelihood(table):
+            break
+        label, table = moved, then
+    ends = (total["n"] or 0) - head_total(head) - mass.sum()
+    head_counts = head["n"].to_numpy().astype(np.float64)
+    unit_counts = mass.copy()
+    unit_counts[0] = ends
+    unit_counts[2 : 2 + head.num_rows] = head_counts
     model = Model(
-        sizes, units, total["n"] or 0, total["v"],
-        pa.array(head["word"].to_pylist(), pa.string()), head["n"].to_numpy().astype(np.float64),
-        _transitions(pairs, exchange(pairs, sizes.classes, sizes.passes)), mass, unknown,
-    )
+        sizes, units, total["n"] or 0, total["v"], head_counts, label, _after(table), _inside(unit_counts, label), mass, unknown
+    )
     return model, counts
 
 
+def head_total(head: pa.Table) -> int:
+    return pc.sum(head["n"]).as_py() or 0
+
+
 _RARE = {"word": T.StringType(), "n": T.LongType(), "mass": T.DoubleType(), "unknown": T.DoubleType()}
 RARE = T.ArrayType(T.StructType([T.StructField(name, kind) for name, kind in _RARE.items()]))
 
@@ -257,7 +374,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
     Null texts count as empty; an empty text is its end alone. Repeated rows and keys stay. The base score is
     that of single words with one added to every count. ``perplexity`` is 10 to minus the mean score.
     """
-    of = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of units and words, some MB
+    of = docs.sparkSession.sparkContext.broadcast(model)  # a bounded number of units, some MB
     schema = T.StructType(
         [T.StructField("row", T.LongType()), T.StructField("key", docs.schema[key].dataType)]
         + [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")]
@@ -275,17 +392,15 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id",
                 kinds = words.dictionary.cast(pa.string())
                 index = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 unit = m.units.of(kinds)
-                at = pc.fill_null(pc.index_in(kinds, value_set=m.head), -1).to_numpy(zero_copy_only=False)
-                seen = np.where(at >= 0, m.head_counts[np.maximum(at, 0)] if len(m.head_counts) else 0.0, 0.0)
-                shares = (unit == 1) | (unit >= 2 + len(m.units.words))
-                rare = at < 0
-                alone = np.where(shares & ~rare, m.emitted(seen, unit), 0.0)
+                rare = (unit < 2) | (unit >= 2 + len(m.units.words))
+                seen = np.where(rare, 0.0, m.head_counts[np.where(rare, 0, unit - 2)] if len(m.head_counts) else 0.0)
                 base = np.where(rare, 0.0, m.base(seen))
                 units, ends = m.units.sequence(words, bounds)
-                steps = m.step[np.concatenate([[0], units[:-1]]), units]
+                kind = m.label[units]
+                steps = m.after[np.concatenate([m.label[:1], kind[:-1]]), kind] + m.inside[units]
                 starts = np.concatenate([[0], ends[:-1] + 1])
                 doc = np.repeat(np.arange(n), np.diff(bounds))
-                total = np.add.reduceat(steps, starts) + np.bincount(doc, alone[index], n)
+                total = np.add.reduceat(steps, starts)
                 bases = np.bincount(doc, base[index], n) + end
                 known = np.bincount(doc, ~rare[index], n).astype(np.int64) + (ends_seen > 0)
                 # the rare words of each text, each once

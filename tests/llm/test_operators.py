@@ -233,6 +233,58 @@ def test_probabilities_of_a_unit_add_up(spark):
         assert share[unit == u].sum() + model.unknown[u] == pytest.approx(1.0)
 
 
+def test_scores_are_those_of_the_model(spark):
+    """Token by token from the model's parts, with known, shared and unknown words."""
+    train = spark.createDataFrame([(prose(k, 300, 900),) for k in range(40)], "text string")
+    model, counts = classlm.train(train, classlm.Sizes(words=30, endings=12, classes=5, head=200))
+    known = {r["word"]: r["n"] for r in counts.collect()}
+    units = model.units
+    at = {w: k + 2 for k, w in enumerate(units.words.to_pylist())}
+    ends = {e: k + 2 + len(at) for k, e in enumerate(units.endings.to_pylist())}
+    texts = [None, "", "never seen", prose(3, 80, 900), prose(77, 120, 5000), " ".join(units.words.to_pylist()[:50]) + " Qq xyzzy"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in classlm.score(docs, model, counts).collect()}
+    for k, text in enumerate(texts):
+        total, before = 0.0, model.label[0]
+        for word in [*(text or "").lower().split(), ""]:
+            unit = 0 if word == "" else at.get(word, ends.get(word[-3:], 1))
+            total += model.after[before, model.label[unit]] + model.inside[unit]
+            if word and word not in at:
+                n = known.get(word, 0)
+                total += math.log10((n - 0.75) / model.mass[unit] if n else model.unknown[unit])
+            before = model.label[unit]
+        assert got[k] == pytest.approx(total)
+    # classes follow classes, and units stand in their class, with probability one
+    assert (10**model.after).sum(1) == pytest.approx(1.0)
+    assert np.bincount(model.label, 10**model.inside) == pytest.approx(1.0)
+
+
+def test_words_move_to_the_class_they_belong_to(spark):
+    """Three kinds of words in turn: frequent ones are exchanged, rarer ones find their kind by Spark's counts."""
+    rand = random.Random(4)
+    common = [[f"{'abc'[k]}{i}" for i in range(4)] for k in range(3)]
+    rare = [[f"{rand.choice('xyz')}{k}{i}q" for i in range(30)] for k in range(3)]
+
+    def text():
+        return " ".join(rand.choice(common[k % 3] if rand.random() < 0.7 else rare[k % 3]) for k in range(90))
+
+    texts = spark.createDataFrame([(text(),) for _ in range(200)], "text string")
+    model, _ = classlm.train(texts, classlm.Sizes(words=12, endings=5, classes=4, head=1000))
+    label = dict(zip(model.units.words.to_pylist(), model.label[2:].tolist()))
+    kinds = [{label[w] for w in some} for some in common]
+    assert all(len(kind) == 1 for kind in kinds) and len(set.union(*kinds)) == 3
+    assert all({label[w] for w in some} == kind for some, kind in zip(rare, kinds))
+
+
+def test_equally_frequent_words_are_units(spark):
+    texts = spark.createDataFrame([(" ".join(f"w{k:03}" for k in range(200)),)] * 5, "text string")
+    model, counts = classlm.train(texts, classlm.Sizes(words=10, endings=5, classes=3, head=50))
+    assert model.units.words.to_pylist() == [f"w{k:03}" for k in range(50)]
+    none, counts = classlm.train(texts.limit(0), classlm.Sizes())
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    assert all(r["score"] <= 0 and r["n_known"] == 0 for r in classlm.score(docs, none, counts).collect())
+
+
 # ---- HTML ------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a = "<p>no</p>";</script></head><body>
