@@ -154,7 +154,8 @@ def train(
 
     ``categories`` are conditions on columns of ``labels``, in the chain's order; null counts as false. The
     rows are those with the smallest hashes of the key, so that reruns agree; the others' number enters
-    as a weight. A key that is labelled twice counts once, with the larger marks; a null key not at all.
+    as a weight. A key that is labelled twice counts once, with the larger marks; a null key not at all; a
+    document's key that stands several times counts with one of its texts, the same in every run.
     Without labelled documents the chain is not fitted, and calls nothing toxic.
     """
     marks = [F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in categories.items()]
@@ -180,13 +181,15 @@ def train(
         + [T.StructField("found", T.StringType())]
     )
     rows = rows.select("k", *categories, "text").mapInPandas(seen, schema)
-    taken = sorted(map(tuple, rows.dropDuplicates(["k"]).collect()))
+    # of a key that stands several times the smallest features, whatever the partitions
+    least = rows.groupBy("k").agg(F.min(F.struct("found", *categories)).alias("row"))
+    taken = sorted(map(tuple, least.select("k", "row.*").collect()))
     if not taken:
         return Chain(tuple(categories))
-    columns = {name: np.array([row[1 + j] for row in taken], np.float64) for j, name in enumerate(categories)}
+    columns = {name: np.array([row[2 + j] for row in taken], np.float64) for j, name in enumerate(categories)}
     sampled = Counter(columns[target].tolist())
     weight = np.array([sizes[bool(y)] / sampled[y] for y in columns[target]])
-    return fit((row[-1].split("\n") for row in taken), columns, weight, most)
+    return fit((row[1].split("\n") for row in taken), columns, weight, most)
 
 
 def judge(docs: DataFrame, chain: Chain, names: Sequence[str], text: str = "text") -> DataFrame:

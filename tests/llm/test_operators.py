@@ -100,6 +100,17 @@ def test_toxic_documents_go_and_clean_ones_stay(spark, edge_docs, no_docs):
     assert toxicity.drop_toxic(no_docs, labels).count() == 0
 
 
+def test_a_key_that_stands_twice_gives_one_chain(spark):
+    rows = [(k % 60, prose(k, 40) + " schuft" * (k % 5 == 0)) for k in range(240)]
+    labels = spark.createDataFrame([(k, 1, int(k % 5 == 0)) for k in range(60)], "doc_id long, quality int, toxic int")
+    chains = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(1 + len(chains) * 3)
+        chains.append(toxicity.default_chain(docs, labels))
+    assert chains[0].places == chains[1].places
+    assert all((a == b).all() for a, b in zip(chains[0].weights, chains[1].weights, strict=True))
+
+
 def test_a_chain_without_labels_keeps_everything(spark, edge_docs):
     labels = spark.createDataFrame([(10**9, 1, 1)], "doc_id long, quality int, toxic int")
     for known in (labels, labels.limit(0)):  # labels of other documents, none
