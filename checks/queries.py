@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -1041,6 +1042,56 @@ def merge_of_few_keys(spark, sf_dir):
     return spark.table(cfg.table("bronze")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---- what a user looks at --------------------------------------------------------------------
+
+
+@check(movie("""select 'documents and records' what, count(*) n from movie
+union all select 'clean', count(*) from movie where """ + MOVIE_STRICT + """
+union all select 'quarantine', count(*) from movie where not (""" + MOVIE_STRICT + ")"))
+def cached_batch(spark, sf_dir):
+    """A raw batch that is parsed once, kept, and used for several counts."""
+    raw = read_json_batch(spark, R.documents(spark, sf_dir, "movie"), RAW)
+    batch = explode_records(raw, "movie", "movie").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = flatten(batch, "movie", ["Budget", "RunTime"])
+    n = F.count(F.lit(1)).alias("n")
+    sides = [("clean", split(rows, strict(), "keep")[0]), ("quarantine", split(rows, strict(), "keep")[1])]
+    found = batch.agg(n).select(F.lit("documents and records").alias("what"), "n")
+    for what, side in sides:
+        found = found.unionByName(side.agg(n).select(F.lit(what).alias("what"), "n"))
+    return found
+
+
+@check(movie('select "Id", "Title", "Budget" from movie order by "Budget" desc nulls last, "Id", "Title" limit 20'))
+def shown_rows(spark, sf_dir):
+    """What ``show`` prints of a table: its first rows in an order, the limit being the point."""
+    rows = flatten(explode_records(read_json_batch(spark, R.documents(spark, sf_dir, "movie"), RAW), "movie", "movie"), "movie", ["Id", "Title", "Budget"])
+    rows.show(20, truncate=False)
+    return rows.orderBy(F.desc_nulls_last("Budget"), "Id", "Title").limit(20)
+
+
+@check(movie("""select 'Budget' as name, 'double' as type, count("Budget") n from movie
+union all select 'CreatedDate', 'date', count("CreatedDate") from movie union all select 'Id', 'bigint', count("Id") from movie
+union all select 'RunTime', 'bigint', count("RunTime") from movie union all select 'Title', 'string', count("Title") from movie
+union all select 'genres', 'array<struct<id:bigint,name:string>>', count(genres) from movie"""))
+def schema_report(spark, sf_dir):
+    """What ``printSchema`` prints of a flattened batch, with the values of each column counted."""
+    raw = explode_records(read_json_batch(spark, R.documents(spark, sf_dir, "movie"), RAW), "movie", "movie")
+    rows = flatten(raw, "movie", ["Budget", "CreatedDate", "Id", "RunTime", "Title", "genres"], ["CreatedDate"])
+    rows.printSchema()
+    columns = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.count(f.name).alias("n")) for f in rows.schema.fields]
+    return rows.agg(F.array(*columns).alias("columns")).select(F.inline("columns"))
+
+
+@check(movie("""select a."Id", a."Title", count(*) n from movie a join movie b on a."Id" = b."Id" and b."Budget" < 1000000 group by 1, 2"""))
+def aliased_relations(spark, sf_dir):
+    """One table twice under two names, joined on columns of both."""
+    raw = explode_records(read_json_batch(spark, R.documents(spark, sf_dir, "movie"), RAW), "movie", "movie")
+    rows = flatten(raw, "movie", ["Id", "Title", "Budget"])
+    low = rows.alias("quarantine").filter("quarantine.Budget < 1000000")
+    pairs = rows.alias("bronze").join(low, F.expr("bronze.Id = quarantine.Id"))
+    return pairs.groupBy("bronze.Id", "bronze.Title").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- flagship --------------------------------------------------------------------------------
 
 
