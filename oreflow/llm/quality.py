@@ -229,10 +229,15 @@ def drop_rejected(docs: DataFrame, text: str = "text") -> DataFrame:
     source = F.col(text)
     size = F.length(F.coalesce(source, F.lit("")))
 
-    def rules(n: Column) -> list[Rule]:
-        return default_rules({name: make(source) for name, make in MEASURES.items()} | {"n_words": n}, size, ["n_words"])
-
-    order = [rule.name for rule in order_rules(sampled(docs), rules(n_words(source)))]
-    # most rules need the number of words: it is counted once, and the rest as the cascade gets there
-    verdict = let(n_words(source), lambda n: rejected_by(sorted(rules(n), key=lambda rule: order.index(rule.name))))
+    def rules(words: Column) -> list[Rule]:
+        of_words = {
+            "n_words": F.size(words).cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"),
+            "n_repeat_words": repeats(words),
+        }
+        others = {name: make(source) for name, make in MEASURES.items() if name not in of_words}
+        return default_rules(others | of_words, size, ["n_words"])
+
+    order = [rule.name for rule in order_rules(sampled(docs), rules(words_of(source)))]
+    # most rules need the words: they are taken apart once, and the rest as the cascade gets there
+    verdict = let(words_of(source), lambda words: rejected_by(sorted(rules(words), key=lambda rule: order.index(rule.name))))
     return docs.filter(verdict.isNull())
