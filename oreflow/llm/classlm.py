@@ -46,7 +46,7 @@ class Sizes:
     head: int = 1 << 17
     least: int = 3
     passes: int = 12
-    rounds: int = 2
+    rounds: int = 1
     discount: float = 0.75
 
 
@@ -196,11 +196,12 @@ def _likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
 
 
-def count_classes(texts: DataFrame, units: Units, label: np.ndarray, first: int) -> tuple[np.ndarray, DataFrame]:
+def count_classes(texts: DataFrame, units: Units, label: np.ndarray, first: int | None) -> tuple[np.ndarray, DataFrame]:
     """How often each class follows each other, and a table ``word``, ``slot``, ``n``: for the words of the units from
-    ``first`` on, the classes after (slot is the class) and before (the class, and all classes further on)."""
+    ``first`` on, none if that is None, the classes after (slot is the class) and before (the class, and all
+    classes further on)."""
     classes = int(label.max()) + 1
-    free = max(0, 2 + len(units.words) - first)
+    free = max(0, 2 + len(units.words) - first) if first is not None else 0
     width = 2 * classes
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,6 +212,8 @@ def count_classes(texts: DataFrame, units: Units, label: np.ndarray, first: int)
                 kinds = label[sequence]
                 previous = np.concatenate([label[:1], kinds[:-1]])
                 table += np.bincount(previous * classes + kinds, minlength=classes * classes)
+                if not free:
+                    continue
                 here = np.flatnonzero((sequence >= first) & (sequence < first + free))
                 word = (sequence[here] - first) * width
                 for at in (word + kinds[here + 1], word + classes + previous[here]):
@@ -246,7 +249,8 @@ def move_words(found: DataFrame, table: np.ndarray, label: np.ndarray, first: in
         moves = gain[np.arange(len(words)), to] > gain[np.arange(len(words)), own] + 1e-9
         return pd.DataFrame({"word": words[moves], "to": to[moves]})
 
-    groups = found.withColumn("group", F.floor(F.col("word") / at_once)).groupBy("group")
+    # frequent words, which have most counts, are spread over the groups
+    groups = found.withColumn("group", F.col("word") % max(1, -(-(len(label) - first) // at_once))).groupBy("group")
     moved = groups.applyInPandas(best, "word long, to long").toArrow()  # a row for a word of the head at most
     label = label.copy()
     label[first + moved["word"].to_numpy()] = moved["to"].to_numpy()
@@ -342,10 +346,11 @@ def train(texts: DataFrame, sizes: Sizes = Sizes()) -> tuple[Model, DataFrame]:
     starts = label[first.of(units.words)] if head.num_rows else np.zeros(0, np.int64)
     label = np.concatenate([label[:2], starts, label[2 + core.num_rows :]])
     free = 2 + core.num_rows
-    table, found = count_classes(texts, units, label, free)
-    for _ in range(sizes.rounds if head.num_rows > core.num_rows else 0):
+    rounds = sizes.rounds if head.num_rows > core.num_rows else 0
+    table, found = count_classes(texts, units, label, free if rounds else None)
+    for k in range(rounds):
         moved = move_words(found, table, label, free)
-        then, found = count_classes(texts, units, moved, free)
+        then, found = count_classes(texts, units, moved, free if k + 1 < rounds else None)
         if _likelihood(then) <= _likelihood(table):
             break
         label, table = moved, then
