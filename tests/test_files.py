@@ -1,10 +1,12 @@
 """Raw files: good, broken and odd ones."""
 
+import gzip
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import records as R
 from checks.records import write_documents
 from oreflow.operators import explode_records
 from oreflow.schemas import RAW
@@ -76,3 +78,53 @@ def test_written_documents_are_one_array_per_file(spark, tmp_path, files):
     found = [json.loads(p.read_text()) for p in (tmp_path / "out").glob("part-*")]
     assert sorted(r["Id"] for doc in found for r in doc["movie"]) == [0, 1, 2, 3, 4]
     assert ids(read_json_batch(spark, str(tmp_path / "out"), RAW)) == [0, 1, 2, 3, 4]
+
+
+def test_peek_of_a_compressed_file(spark, tmp_path):
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress('{"movie": ["é"]}'.encode()))
+    assert peek_raw(spark, str(tmp_path)).first()[0] == '{"movie": ["é"]}'
+    assert peek_raw(spark, str(tmp_path), 13).first()[0] == '{"movie": ["é'
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Orders of two customers, one order without parts, a part in many orders, an order that comes twice."""
+    folder = tmp_path / "tables"
+
+    def write(name, rows):
+        rows.write.parquet(f"{folder}/{name}.parquet")
+
+    day = F.lit("2024-01-02").cast("timestamp").alias("o_orderdate")
+    order = [F.lit(1e5).alias("o_totalprice"), day, F.lit("F").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority")]
+    orders = spark.range(1, 121).union(spark.range(3, 4))
+    write("orders", orders.select(F.col("id").alias("o_orderkey"), (F.col("id") % 2).alias("o_custkey"), *order))
+    write("customer", spark.range(2).select(
+        F.col("id").alias("c_custkey"), F.lit(5.5).alias("c_acctbal"), F.lit("X").alias("c_mktsegment"),
+        F.concat(F.lit("C"), "id").alias("c_name")))
+    write("part", spark.range(1, 4).select(F.col("id").alias("p_partkey"), F.concat(F.lit("p"), "id").alias("p_name")))
+    lines = spark.range(1, 120).crossJoin(spark.range(1, 4).toDF("part"))
+    write("lineitem", lines.select(F.col("id").alias("l_orderkey"), F.col("part").alias("l_partkey")))
+    return str(folder)
+
+
+def test_records_are_dealt_out_before_they_are_made(spark, tables, monkeypatch):
+    monkeypatch.setattr(R, "PER_FILE", 10)
+    rows = R.movies(spark, tables)
+    exchanges = [x for x in rows._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x]
+    assert exchanges and not any("array_sort" in x or "struct" in x for x in exchanges)
+    assert rows.rdd.getNumPartitions() == 12
+    found = {}
+    for row in rows.select("movie.Id", "movie.Title", "movie.genres").collect():
+        found.setdefault(row["Id"], []).append((row["Title"], row["genres"] and [tuple(g) for g in row["genres"]]))
+    parts = [(1, " p1  "), (2, " p2  "), (3, " p3  ")]
+    assert {k: len(v) for k, v in found.items() if len(v) > 1} == {3: 2, 50: 2, 100: 2}
+    assert found[120] == [("C0", None)] and len(found) == 120
+    assert all(v[0] == (f"C{k % 2}", parts) for k, v in found.items() if k < 120)
+
+
+def test_raw_documents_are_compressed_and_shuffled_once(spark, tables, monkeypatch):
+    monkeypatch.setattr(R, "PER_FILE", 10)
+    folder = R.documents(spark, tables, "movie")
+    files = [row["path"] for row in raw_files(spark, folder).collect()]
+    assert len(files) == 12 and all(path.endswith(".gz") for path in files)
+    assert len(ids(read_json_batch(spark, folder, RAW))) == 123
