@@ -260,4 +260,6 @@ def rebuild_silver(spark: SparkSession, cfg: Settings) -> None:
     good, rest = split(loaded, rules_of(cfg))
     rows = good.unionByName(repaired(rest, cfg))
     parts = [*SILVER_PARTS, *cfg.silver_partition_by]
-    write_snapshot(rows, cfg.table("silver"), SILVER, cfg.path("silver"), parts)
+    # as in the load, tasks read one batch each, mostly: without further parts there is nothing to bring together
+    one_value = not cfg.silver_partition_by
+    write_snapshot(rows, cfg.table("silver"), SILVER, cfg.path("silver"), parts, one_value=one_value)

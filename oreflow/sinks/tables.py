@@ -11,6 +11,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from contextlib import contextmanager, nullcontext
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -25,6 +26,8 @@ from oreflow.sources.tables import location_of
 CATALOG = threading.RLock()
 # A quarter smaller than Spark's default codec, written and read in the same time.
 CODEC = "zstd"
+# Files that a task keeps open at once, where each task has rows of few partitions; it sorts what is beyond them.
+OPEN_FILES = 4
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -141,6 +144,18 @@ def _spread(df: DataFrame, partition_by: Sequence[str], one_value: bool) -> Data
     return df.hint("rebalance", *partition_by) if partition_by and not one_value else df
 
 
+@contextmanager
+def _unsorted(spark: SparkSession):
+    """Writes within it keep a file open for each of a task's first partitions instead of sorting its rows."""
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    was = spark.conf.get(option)
+    spark.conf.set(option, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, was)
+
+
 def batch_writer(
     df: DataFrame,
     partition_by: str | Sequence[str],
@@ -175,9 +190,15 @@ def append_rows(
 
 
 def insert_rows(df: DataFrame, table: str, partition_by: Sequence[str] = (), one_value: bool = False) -> None:
-    """Append to a table that is there, columns by name. The rows may be read from other partitions of it."""
-    rows = _spread(df, partition_by, one_value).select(*df.sparkSession.table(table).columns)
-    rows.write.mode("append").insertInto(table)
+    """Append to a table that is there, columns by name. The rows may be read from other partitions of it.
+
+    With ``one_value`` a task has few partitions' rows and writes them as they come: whole rows are not sorted by
+    partition first, which would spill where a task reads much.
+    """
+    spark = df.sparkSession
+    rows = _spread(df, partition_by, one_value).select(*spark.table(table).columns)
+    with _unsorted(spark) if one_value and partition_by else nullcontext():
+        rows.write.mode("append").insertInto(table)
 
 
 def write_snapshot(
@@ -196,7 +217,8 @@ def write_snapshot(
     require_shape(df.schema, schema, table)
     folder = run_folder(path)
     rows = _spread(df.select(*schema.fieldNames()), partition_by, one_value)
-    rows.write.option("compression", CODEC).partitionBy(*partition_by).parquet(folder)
+    with _unsorted(spark) if one_value and partition_by else nullcontext():
+        rows.write.option("compression", CODEC).partitionBy(*partition_by).parquet(folder)
     with CATALOG:
         if not partition_by and table_exists(spark, table):
             if shape(spark.table(table).schema) == shape(schema):

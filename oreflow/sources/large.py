@@ -93,6 +93,6 @@ def split_documents(spark: SparkSession, paths: str | Sequence[str], array_col:
     pieces = f"{folder}-pieces"
     records = document_records(spark, paths, array_col, pieces)
     line = F.concat(F.lit(f'{{"{array_col}": ['), "value", F.lit("]}"))
-    records.select(line.alias("value")).write.mode("overwrite").text(folder)
+    records.select(line.alias("value")).write.mode("overwrite").text(folder, compression="gzip")
     delete_folder(spark, pieces)
     return folder

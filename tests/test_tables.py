@@ -1,6 +1,7 @@
 """Table writes: appends, snapshots, partition swaps."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,3 +161,28 @@ def test_a_table_left_under_its_other_name_comes_back(spark, database, tmp_path,
     spark.sql(f"ALTER TABLE {table} RENAME TO {table}__before")
     append_rows(frame, table, AB, str(tmp_path / "t"))
     assert spark.table(table).count() == 6
+
+
+def test_rows_of_few_partitions_are_not_sorted_before_a_write(spark, database, tmp_path, monkeypatch):
+    """More partitions than files are kept open for, in one task, also arrive; the session's setting comes back."""
+    option, table, seen = "spark.sql.maxConcurrentOutputFileWriters", f"{database}.t", []
+    insert, was = DataFrameWriter.insertInto, spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+
+    def watched(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(option)))
+        return insert(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", watched)
+    rows_ = spark.range(70).coalesce(1).select("id", (F.col("id") % 7).cast("string").alias("p"))
+    schema = struct(id=T.LongType(), p=T.StringType())
+    append_rows(rows_, table, schema, str(tmp_path / "t"), ["p"], one_value=True)
+    append_rows(rows_, table, schema, str(tmp_path / "t"), ["p"])
+    assert seen[0] > 1 and seen[1] == int(was) == int(spark.conf.get(option))
+    found = spark.table(table).groupBy("id", "p").count()
+    assert found.filter("count = 2 AND id % 7 = int(p)").count() == 70
+
+
+def test_a_snapshot_of_one_value_is_not_shuffled(spark, database, tmp_path):
+    rows_ = spark.range(0, 40, 1, 4).select("id", F.lit("a").alias("p"))
+    write_snapshot(rows_, f"{database}.t", struct(id=T.LongType(), p=T.StringType()), str(tmp_path / "t"), ["p"], one_value=True)
+    assert spark.table(f"{database}.t").count() == 40 and len(spark.table(f"{database}.t").inputFiles()) == 4
