@@ -1,5 +1,6 @@
 """Large documents, split at their records."""
 
+import gzip
 import json
 import random
 
@@ -49,6 +50,22 @@ def test_records_are_those_of_the_document(spark, tmp_path, small_blocks, style)
     assert values == sorted((m for rows in some.values() for m in rows), key=str)
 
 
+def test_text_is_not_shuffled_but_at_the_ends_of_blocks(spark, tmp_path, small_blocks):
+    """Whatever the batches that Arrow cuts a block into."""
+    (tmp_path / "a.json").write_text(STYLES["pretty"](records(40, 5)))
+    (tmp_path / "b.json.gz").write_bytes(gzip.compress(STYLES["compact"](records(30, 6)).encode()))
+    blocks = spark.read.option("lineSep", "}").text(str(tmp_path)).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = document_records(spark, str(tmp_path), "movie", f"{tmp_path}-pieces").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    values = sorted((json.loads(r["value"]) for r in got), key=str)
+    assert values == sorted([*records(40, 5), *records(30, 6)], key=str)
+    kinds = {r[0]: r[1] for r in spark.read.parquet(f"{tmp_path}-pieces").groupBy("kind").count().collect()}
+    assert kinds["record"] > 40 and kinds["part"] <= 2 * blocks
+
+
 def test_documents_that_break_off_give_their_records_so_far(spark, tmp_path, small_blocks):
     text = STYLES["pretty"](records(10, 3))
     (tmp_path / "a.json").write_text(text[: len(text) * 2 // 3])
