@@ -18,7 +18,7 @@ from oreflow.functions.files import delete_folder, read_text, write_text
 from oreflow.operators import merge_status, one_per_key
 from oreflow.schemas import BATCH, BRONZE_PARTS, RECORD_KEY, STATUS, STEP
 from oreflow.settings import NEW, QUARANTINED
-from oreflow.sinks.sketches import may_hold, place_column, place_of, run_of
+from oreflow.sinks.sketches import BITMAP, has_bit, may_hold, place_column, place_of, run_of
 from oreflow.sinks.tables import drop_partitions, insert_rows, partitions, table_exists
 from oreflow.sources.tables import location_of
 
@@ -26,6 +26,10 @@ from oreflow.sources.tables import location_of
 LOAD, REPAIR = "l", "r"
 # Where a merge says what it is about to do, in the table's folder.
 INTENT = "_merge.json"
+# Bitmaps of changed rows, of 4 kB and for up to ``BITMAP`` rows each, that every task gets whole. More are joined by
+# a shuffle.
+MOST_MAPS = 16_384
+MAP = ["file", "file2", "bitmap"]
 
 
 def at_status(spark: SparkSession, table: str, status: str) -> list[dict]:
@@ -43,6 +47,30 @@ def stale_places(table: DataFrame, source: DataFrame, status: str, key: str = RE
     return stale.join(one_per_key(source, key), key, "left_semi").select("place").distinct()
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with the bitmap of their file, and the bit in it, that stands for each. A file's path is two hashes."""
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    return rows.select(
+        "*", F.xxhash64(path).alias("file"), F.xxhash64(path, F.lit(7)).alias("file2"),
+        F.floor(row / BITMAP).alias("bitmap"), (row % BITMAP).alias("bit"),
+    )
+
+
+def _changes(rows: DataFrame, source: DataFrame, key: str, status: str) -> DataFrame:
+    """Which rows of the table's files a merge gives another status, as bitmaps. Keys are shuffled, and no payload."""
+    narrow = _numbered(rows).select(key, STATUS, *MAP, "bit")
+    changed = merge_status(narrow.filter(F.col(STATUS) != status), source, key, status).filter(F.col(STATUS) == status)
+    return changed.groupBy(*MAP).agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _with_status(rows: DataFrame, changes: DataFrame, status: str) -> DataFrame:
+    """The rows, with the status for those that the bitmaps name. Few bitmaps go to the rows, which stay in their order."""
+    maps = F.broadcast(changes) if changes.count() <= MOST_MAPS else changes
+    marked = _numbered(rows).join(maps, MAP, "left")
+    new = F.when(has_bit(F.col("bits"), F.col("bit")), status).otherwise(F.col(STATUS))
+    return marked.withColumn(STATUS, new).select(*rows.columns)
+
+
 def undo_unfinished(spark: SparkSession, bronze: str, silver: str | None = None) -> None:
     """Put right what a step left that was cut short. Reads the catalog and one small file.
 
@@ -60,6 +88,7 @@ def undo_unfinished(spark: SparkSession, bronze: str, silver: str | None = None)
             drop_partitions(spark, bronze, lambda part: place_of(part) in set(left["places"]))
         else:
             drop_partitions(spark, bronze, lambda part: (part[STEP] or "").endswith(left["mark"]))
+        delete_folder(spark, f"{note}.rows-{left['mark']}")
         delete_folder(spark, note)
         delete_folder(spark, f"{note}.{left['mark']}")
     there = partitions(spark, bronze)
@@ -89,8 +118,9 @@ def update_status(
     """Merge one status into the table for every row that matches a row of ``source``, all copies of it.
 
     ``source`` is any DataFrame with the key column; it may be derived from the table itself. A first,
-    narrow pass finds the partitions that change; they alone are rewritten. With few keys, sketches of the
-    batches' keys tell which of them that pass need not read. Returns whether any row changed.
+    narrow pass finds the partitions that change, a second one their rows; these partitions alone are rewritten, by
+    tasks that read them and shuffle nothing. With few keys, sketches of the
+    batches' keys tell which of them the first pass need not read. Returns whether any row changed.
 
     What the merge will replace is noted in the table's folder before it writes, and noted again when it has
     written; so after a stop the next call finishes it or takes it back, and then merges.
@@ -107,11 +137,15 @@ def update_status(
         note = f"{location_of(spark, table).rstrip('/')}/{INTENT}"
         mark = f"u{uuid.uuid4().hex[:12]}"
         write_text(spark, note, json.dumps({"mark": mark, "places": places}))
-        merged = merge_status(rows.filter(place_column().isin(places)), source, key, status)
+        here, found = rows.filter(place_column().isin(places)), f"{note}.rows-{mark}"
+        changes = _changes(here, source, key, status)
+        changes.write.option("compression", "zstd").parquet(found)
+        merged = _with_status(here, spark.read.schema(changes.schema).parquet(found), status)
         run = F.regexp_extract(STEP, r"^\d+", 0)
-        insert_rows(merged.withColumn(STEP, F.concat(run, F.lit(mark))), table, BRONZE_PARTS)
+        insert_rows(merged.withColumn(STEP, F.concat(run, F.lit(mark))), table, BRONZE_PARTS, one_value=True)
         write_text(spark, f"{note}.{mark}", "written")
         drop_partitions(spark, table, lambda part: place_of(part) in set(places))
+        delete_folder(spark, found)
         delete_folder(spark, note)
         delete_folder(spark, f"{note}.{mark}")
     return bool(places)

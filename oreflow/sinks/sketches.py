@@ -54,6 +54,12 @@ def _positions(room: Column, key: str) -> Column:
     return F.array(F.pmod(F.xxhash64(key), room), F.pmod(F.xxhash64(key, F.lit(1)), room))
 
 
+def has_bit(bits: Column, bit: Column) -> Column:
+    """Whether a bitmap has a bit."""
+    byte = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) > 0
+
+
 def sketch_run(spark: SparkSession, table: str, batch: str, run: int, rows: DataFrame, n: int) -> None:
     """Sketch the ``n`` rows of a run of a batch. Sketches of runs that the table no longer has go."""
     base, mine = _folder(spark, table), _name({BATCH: batch, STEP: str(run)})
@@ -93,9 +99,7 @@ def may_hold(spark: SparkSession, table: str, source: DataFrame, parts: Sequence
     wanted = [row[0] for row in bits.select("bitmap").distinct().limit(257).collect()]
     if len(wanted) <= 256:  # a filter that reaches the files
         sketches = sketches.filter(F.col("bitmap").isin(wanted))
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = byte.bitwiseAND(F.pow(F.lit(2), F.col("bit") % 8).cast("int")) > 0
-    hits = sketches.join(F.broadcast(bits), ["room", "bitmap"]).filter(hit)
+    hits = sketches.join(F.broadcast(bits), ["room", "bitmap"]).filter(has_bit(F.col("bits"), F.col("bit")))
     found = hits.groupBy("at", RECORD_KEY).agg(F.count_distinct("which").alias("n")).filter("n = 2")
     held = {row[0] for row in found.select("at").distinct().collect()}
     return [part for part in parts if _name(part) in held or _name(part) not in there]

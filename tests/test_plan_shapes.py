@@ -133,6 +133,32 @@ def test_a_merge_writes_few_files_a_partition(spark, database, tmp_path):
     assert len(found.inputFiles()) <= 6 * 2 * 3
 
 
+def test_a_merge_shuffles_no_payload(spark, bronze, monkeypatch):
+    table, _ = bronze
+    written, real = [], status_plans.insert_rows
+
+    def spy(df, *args, **kwargs):
+        written.append((plan(df), kwargs.get("one_value", False)))
+        real(df, *args, **kwargs)
+
+    monkeypatch.setattr(status_plans, "insert_rows", spy)
+    monkeypatch.setattr(status_plans, "BITMAP", 8)
+    options = dict(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    before = {tuple(r) for r in spark.table(table).select("movie.Id", "p_ingestdate").collect()}
+    # no source, few bitmaps, and more of them than every task is to get
+    for most, where, status in ((99, "Id < 0", "loaded"), (99, "Id % 3 = 0", "loaded"), (0, "Id % 2 = 0", "quarantined")):
+        monkeypatch.setattr(status_plans, "MOST_MAPS", most)
+        source = movies(spark, 80).select("movie", "movie.Id").filter(where)
+        source = stamp(source, "movie", "here").select("record_key")
+        with conf(spark, **options):
+            assert update_status(spark, table, source, status) == (where != "Id < 0")
+    assert len(written) == 2 and all(one_value for _, one_value in written)
+    assert "Exchange hashpartitioning" not in written[0][0] and "SortMergeJoin" not in written[0][0]
+    got = spark.table(table).select("movie.Id", "p_ingestdate", "status").collect()
+    assert {(r[0], r[1]) for r in got} == before and len(got) == 120
+    assert all(r[2] == ("quarantined" if r[0] % 2 == 0 else "loaded" if r[0] % 3 == 0 else "new") for r in got)
+
+
 SKEW = dict(
     spark__sql__autoBroadcastJoinThreshold="-1",
     spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
