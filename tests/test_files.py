@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import records as R
+from checks.queries import QUERIES
 from checks.records import write_documents
 from oreflow.operators import explode_records
 from oreflow.schemas import RAW
@@ -128,3 +129,13 @@ def test_raw_documents_are_compressed_and_shuffled_once(spark, tables, monkeypat
     files = [row["path"] for row in raw_files(spark, folder).collect()]
     assert len(files) == 12 and all(path.endswith(".gz") for path in files)
     assert len(ids(read_json_batch(spark, folder, RAW))) == 123
+
+
+@pytest.mark.parametrize("name, ids", [("unlisted_fields", range(1, 121))])
+def test_documents_that_a_query_does_not_read_are_not_written(spark, tables, monkeypatch, name, ids):
+    def documents(*_):
+        raise AssertionError(f"{name} reads files of its own")
+
+    monkeypatch.setattr(R, "documents", documents)
+    rows = QUERIES[name](spark, tables).collect()
+    assert {row["Id"] for row in rows} == set(ids) and {row["n_keys"] for row in rows} == {2}
