@@ -131,7 +131,7 @@ def test_raw_documents_are_compressed_and_shuffled_once(spark, tables, monkeypat
     assert len(ids(read_json_batch(spark, folder, RAW))) == 123
 
 
-@pytest.mark.parametrize("name, ids", [("unlisted_fields", range(1, 121))])
+@pytest.mark.parametrize("name, ids", [("unlisted_fields", range(1, 121)), ("unlisted_nested_fields", range(1, 120))])
 def test_documents_that_a_query_does_not_read_are_not_written(spark, tables, monkeypatch, name, ids):
     def documents(*_):
         raise AssertionError(f"{name} reads files of its own")
